@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import row_digest, surrogate_key
 from shelfline.operators.dedup import latest_per_key
 
-HISTORY_COLUMNS = ("version_key", "valid_from", "valid_to", "is_current", "row_digest")
+HISTORY_COLUMNS = ("surrogate_key", "valid_from", "valid_to", "is_current", "row_digest")
 
 
 def open_history(incoming: DataFrame, natural_key: str, tracked: Sequence[str],
@@ -21,7 +21,7 @@ def open_history(incoming: DataFrame, natural_key: str, tracked: Sequence[str],
     return newest.select(
         natural_key,
         *attributes,
-        surrogate_key(natural_key, F.col(effective).cast("date")).alias("version_key"),
+        surrogate_key(natural_key, F.col(effective).cast("date")).alias("surrogate_key"),
         F.col(effective).cast("date").alias("valid_from"),
         F.lit(None).cast("date").alias("valid_to"),
         F.lit(True).alias("is_current"),
@@ -51,7 +51,7 @@ def apply_history(state: DataFrame | None, incoming: DataFrame, natural_key: str
     changed = old.isNotNull() & nxt.isNotNull() & (old["row_digest"] != nxt["row_digest"])
     later = nxt["valid_from"] > old["valid_from"]
     shut = old.withField("valid_to", nxt["valid_from"]).withField("is_current", F.lit(False))
-    fixed = nxt.withField("valid_from", old["valid_from"]).withField("version_key", old["version_key"])
+    fixed = nxt.withField("valid_from", old["valid_from"]).withField("surrogate_key", old["surrogate_key"])
     versions = (
         F.when(old.isNull(), F.array(nxt))
         .when(changed & later, F.array(shut, nxt))

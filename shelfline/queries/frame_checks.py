@@ -1,4 +1,6 @@
 from shelfline.queries import sqlframes
+from shelfline.queries.frames import Frames
 from shelfline.queries.registry import query
 for _n in sqlframes.FRAMES:
-    query(f"zz_{_n}", f"SELECT * FROM {_n}")(lambda f, _n=_n: getattr(f, _n))
+    if hasattr(Frames, _n):
+        query(f"zz_{_n}", f"SELECT * FROM {_n}")(lambda f, _n=_n: getattr(f, _n))

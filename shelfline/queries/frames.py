@@ -14,6 +14,12 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.functions import surrogate_key
+from shelfline.plans import (
+    conform, dimensions, facts, kpi_accounts, kpi_core, kpi_delivery, kpi_production, kpi_sales,
+    kpi_stock,
+)
+
 AS_OF = "2001-07-15"
 EVENTS_AS_OF = "2024-01-30"
 EVENTS_NOW = "2024-01-31 00:00:00"
@@ -253,3 +259,163 @@ class Frames:
             F.when(down, ts + F.make_dt_interval(secs=F.floor(F.col("value") * 60).cast("decimal(18,6)"))).alias("downtime_end_ts"),
             e.alias("event_no"),
         )
+
+    # --- conformed and star-schema frames --------------------------------
+    @cached_property
+    def batches(self) -> DataFrame:
+        return conform.conform_batches(self.plant_events)
+
+    @cached_property
+    def prod_events(self) -> DataFrame:
+        return conform.conform_events(self.plant_events)
+
+    @cached_property
+    def reorder(self) -> DataFrame:
+        return conform.reorder_points(self.stock)
+
+    @cached_property
+    def spend(self) -> DataFrame:
+        """Monthly spend of each account, booked in its activation month."""
+        k = F.col("custkey")
+        start = F.trunc("account_activation_date", "month")
+        feed = self.account_feed.select(
+            "retailer_id", "retail_segment", "region",
+            (k % 50 * 100).cast("decimal(14,4)").alias("trade_spend_usd"),
+            (k % 20 * 50).cast("decimal(14,4)").alias("broker_commission_usd"),
+            (k % 10 * 75).cast("decimal(14,4)").alias("field_sales_cost_usd"),
+            start.alias("period_start_date"), F.last_day(start).alias("period_end_date"))
+        return conform.conform_spend(feed)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return self.account_history.withColumn("surrogate_key", surrogate_key("retailer_id", "valid_from"))
+
+    @cached_property
+    def order_days(self) -> DataFrame:
+        """Calendar of the years in which orders were placed."""
+        return dimensions.calendar_of(self.table("orders").select(
+            F.col("o_orderdate").cast("date").alias("d")), "d")
+
+    @cached_property
+    def ship_days(self) -> DataFrame:
+        return dimensions.calendar_of(self.table("lineitem").select(
+            F.col("l_shipdate").cast("date").alias("d")), "d")
+
+    @cached_property
+    def event_days(self) -> DataFrame:
+        return dimensions.calendar_of(self.table("events").select(F.col("ts").cast("date").alias("d")), "d")
+
+    @cached_property
+    def fact_sales(self) -> DataFrame:
+        keyed = self.sale_lines.withColumn("transaction_key", surrogate_key("transaction_id", "line_no", "sku_id"))
+        return facts.compute_fact_sales(keyed, self.products, self.customers, self.order_days)
+
+    @cached_property
+    def fact_inventory(self) -> DataFrame:
+        return facts.compute_fact_inventory_snapshot(
+            conform.compute_days_of_supply(self.stock), self.reorder, self.order_days)
+
+    @cached_property
+    def fact_batch(self) -> DataFrame:
+        """Batch fact; stoppages reach their batch by time overlap."""
+        hit = facts.attribute_downtime(self.batches, self.prod_events)
+        booked = hit.select(
+            "batch_id", F.lit("DOWNTIME_PLANNED").alias("event_type"),
+            (F.col("downtime_seconds").cast("decimal(18,0)") / F.lit(3600).cast("decimal(4,0)"))
+            .cast("decimal(8,2)").alias("downtime_hours"))
+        return facts.compute_fact_production_batch(self.batches, booked, self.event_days)
+
+    @cached_property
+    def fact_shipment(self) -> DataFrame:
+        flagged = conform.compute_on_time_flag(self.shipments).withColumn(
+            "shipment_key", surrogate_key("shipment_id"))
+        return facts.compute_fact_shipment(flagged, self.customers, self.ship_days)
+
+    @cached_property
+    def kc_revenue(self) -> DataFrame:
+        return kpi_core.compute_kpi_daily_revenue(self.fact_sales, self.products, self.customers)
+
+    @cached_property
+    def kc_fulfillment(self) -> DataFrame:
+        return kpi_core.compute_kpi_fulfillment_rate(self.fact_shipment, self.customers)
+
+    @cached_property
+    def kc_turnover(self) -> DataFrame:
+        return kpi_core.compute_kpi_inventory_turnover(self.fact_inventory, self.fact_sales)
+
+    @cached_property
+    def kc_yield(self) -> DataFrame:
+        return kpi_core.compute_kpi_production_yield(self.fact_batch)
+
+    # --- specification KPIs ----------------------------------------------
+    @cached_property
+    def kpi_s01(self) -> DataFrame:
+        return kpi_sales.daily_revenue(self.sales, self.returns, self.products)
+
+    @cached_property
+    def kpi_s02(self) -> DataFrame:
+        return kpi_sales.period_comparison(self.kpi_s01, AS_OF)
+
+    @cached_property
+    def kpi_s04(self) -> DataFrame:
+        return kpi_sales.weekly_margin(self.sale_lines, self.returns, self.products, AS_OF)
+
+    @cached_property
+    def kpi_i01(self) -> DataFrame:
+        return kpi_stock.stock_levels(self.stock, self.reorder, self.products, AS_OF)
+
+    @cached_property
+    def kpi_i02(self) -> DataFrame:
+        return kpi_stock.turnover_30d(self.sale_lines, self.stock, self.products, AS_OF)
+
+    @cached_property
+    def kpi_i03(self) -> DataFrame:
+        return kpi_stock.days_sales_of_inventory(self.sale_lines, self.stock, AS_OF)
+
+    @cached_property
+    def kpi_p01(self) -> DataFrame:
+        return kpi_production.batch_yield(self.batches, self.products)
+
+    @cached_property
+    def kpi_p02(self) -> DataFrame:
+        return kpi_production.quality_rate(self.batches, self.products)
+
+    @cached_property
+    def kpi_p03(self) -> DataFrame:
+        return kpi_production.unplanned_downtime(self.prod_events)
+
+    @cached_property
+    def kpi_p04(self) -> DataFrame:
+        return kpi_production.traceability(self.batches, self.shipments, self.accounts, EVENTS_NOW)
+
+    @cached_property
+    def kpi_d01(self) -> DataFrame:
+        return kpi_delivery.on_time_delivery(self.shipments)
+
+    @cached_property
+    def kpi_d02(self) -> DataFrame:
+        return kpi_delivery.order_fulfillment(self.shipments)
+
+    @cached_property
+    def kpi_d03(self) -> DataFrame:
+        return kpi_delivery.cost_per_case(self.shipments)
+
+    @cached_property
+    def kpi_d04(self) -> DataFrame:
+        return kpi_delivery.worst_routes(self.shipments)
+
+    @cached_property
+    def kpi_c01(self) -> DataFrame:
+        return kpi_accounts.top_retailers(self.sale_lines, self.returns, self.accounts, AS_OF)
+
+    @cached_property
+    def kpi_c02(self) -> DataFrame:
+        return kpi_accounts.acquisition_cost(self.accounts, self.spend, AS_OF)
+
+    @cached_property
+    def kpi_c03(self) -> DataFrame:
+        return kpi_accounts.retention(self.sale_lines, self.accounts, AS_OF)
+
+    @cached_property
+    def kpi_c04(self) -> DataFrame:
+        return kpi_accounts.concentration(self.sale_lines, self.returns, AS_OF)
