@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from shelfline.operators.dedup import latest_per_key
+
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     seen = Observation()
@@ -80,6 +82,24 @@ def write_next(df: DataFrame, root: str, by: Sequence[str] = ()) -> int:
     return overwrite(df, f"{root}/v={(have[-1] + 1) if have else 1}", by)
 
 
+def append_epoch(df: DataFrame, root: str, epoch: int) -> None:
+    """Store the rows a micro-batch changed under its epoch.
+
+    The cost follows the micro-batch, not the table. A replayed epoch replaces itself.
+    """
+    overwrite_partitions(df.withColumn("epoch", F.lit(epoch).cast("bigint")), root, ["epoch"])
+
+
+def latest_rows(spark: SparkSession, root: str, keys: Sequence[str]) -> DataFrame:
+    """Current table behind ``append_epoch``: the newest row of every key."""
+    return latest_per_key(spark.read.parquet(root), keys, ["epoch"]).drop("epoch")
+
+
+def compact(spark: SparkSession, root: str, keys: Sequence[str], target: str) -> int:
+    """Fold all epochs into one row per key in the next version of ``target``."""
+    return write_next(latest_rows(spark, root, keys), target)
+
+
 def append_rejects(rejects: DataFrame, path: str) -> None:
     """Quarantine append; readers merge the differing columns."""
     rejects.write.mode("append").parquet(path)

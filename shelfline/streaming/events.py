@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.contracts import EVENT_SCHEMA
-from shelfline.operators.upsert import merge_upsert
+from shelfline.operators.dedup import latest_per_key
 from shelfline.plans import conform, ingest, kpi_production
 from shelfline.sources import sinks
 
@@ -55,64 +55,55 @@ def daily_stoppages(events: DataFrame, late: str = LATE) -> DataFrame:
             .select(F.to_date("w.start").alias("event_date"), "production_line_id", "stoppages"))
 
 
-def upsert_batches(events: DataFrame, raw_path: str, table_root: str, checkpoint: str,
-                   batch_id: str = "stream") -> StreamingQuery:
-    """Assemble batches as their events arrive.
+def rebuild_touched(micro: DataFrame, epoch: int, raw_path: str, lookback_days: int = 7) -> DataFrame:
+    """Store a micro-batch and rebuild the batches it touched from everything stored.
 
-    A micro-batch stores its events, then rebuilds only the batches it touched from
-    everything stored and merges them: late end or check events simply rebuild their
-    batch. Events of a replayed micro-batch overwrite their own ``epoch`` partition,
-    so a retry stores nothing twice.
+    Late end or check events simply rebuild their batch. Storage is partitioned by
+    event date and epoch: only the days a batch can reach back to are read, and a
+    replayed micro-batch overwrites its own partitions, so a retry stores nothing twice.
     """
+    spark = micro.sparkSession
+    dated = micro.withColumn("event_date", F.col("event_timestamp").try_cast("timestamp").cast("date"))
+    sinks.overwrite_partitions(dated.withColumn("epoch", F.lit(epoch)), raw_path, ["event_date", "epoch"])
+    stored = spark.read.parquet(raw_path)
+    now = stored.where(F.col("epoch") == epoch)
+    oldest = now.agg(F.date_sub(F.min("event_date"), lookback_days)).first()[0]
+    recent = stored.where(F.col("event_date") >= oldest) if oldest else stored
+    touched = now.where("batch_id IS NOT NULL").select("batch_id").distinct()
+    events = recent.drop("epoch", "event_date").join(touched, "batch_id", "left_semi")
+    return conform.conform_batches(latest_per_key(events, ["event_id"], []))
+
+
+def upsert_batches(events: DataFrame, raw_path: str, table_root: str, checkpoint: str) -> StreamingQuery:
+    """Assemble batches as their events arrive; read the table with ``sinks.latest_rows``."""
 
     def apply(micro: DataFrame, epoch: int) -> None:
-        if micro.isEmpty():
-            return
-        spark = micro.sparkSession
-        sinks.overwrite_partitions(micro.withColumn("epoch", F.lit(epoch)), raw_path, ["epoch"])
-        stored = spark.read.parquet(raw_path)
-        touched = (stored.where(F.col("epoch") == epoch).where("batch_id IS NOT NULL")
-                   .select("batch_id").distinct())
-        events = stored.drop("epoch").join(touched, "batch_id", "left_semi").dropDuplicates(["event_id"])
-        fresh = conform.conform_batches(events)
-        current = sinks.read_current(spark, table_root)
-        merged = fresh if current is None else merge_upsert(current, fresh, ["batch_id"])
-        sinks.write_next(merged, table_root)
+        if not micro.isEmpty():
+            sinks.append_epoch(rebuild_touched(micro, epoch, raw_path), table_root, epoch)
 
     return (events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
-def upsert_yield(events: DataFrame, products: DataFrame, raw_path: str, table_root: str, kpi_root: str,
+def upsert_yield(events: DataFrame, products: DataFrame, raw_path: str, kpi_root: str,
                  checkpoint: str) -> StreamingQuery:
-    """Batch assembly followed by the yield KPI of the rebuilt table."""
+    """Yield KPI of every batch a micro-batch touched, keyed by batch."""
 
     def apply(micro: DataFrame, epoch: int) -> None:
-        if micro.isEmpty():
-            return
-        spark = micro.sparkSession
-        sinks.overwrite_partitions(micro.withColumn("epoch", F.lit(epoch)), raw_path, ["epoch"])
-        stored = spark.read.parquet(raw_path)
-        touched = (stored.where(F.col("epoch") == epoch).where("batch_id IS NOT NULL")
-                   .select("batch_id").distinct())
-        again = stored.drop("epoch").join(touched, "batch_id", "left_semi").dropDuplicates(["event_id"])
-        fresh = kpi_production.batch_yield(conform.conform_batches(again), products)
-        current = sinks.read_current(spark, kpi_root)
-        sinks.write_next(fresh if current is None else merge_upsert(current, fresh, ["batch_id"]), kpi_root)
+        if not micro.isEmpty():
+            fresh = kpi_production.batch_yield(rebuild_touched(micro, epoch, raw_path), products)
+            sinks.append_epoch(fresh, kpi_root, epoch)
 
     return (events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
 def upsert_shipments(updates: DataFrame, table_root: str, checkpoint: str) -> StreamingQuery:
-    """Late delivery dates replace the stored shipment."""
+    """Late delivery dates replace the stored shipment, by its id."""
 
     def apply(micro: DataFrame, epoch: int) -> None:
-        if micro.isEmpty():
-            return
-        current = sinks.read_current(micro.sparkSession, table_root)
-        merged = micro if current is None else merge_upsert(current, micro, ["shipment_id"])
-        sinks.write_next(merged, table_root)
+        if not micro.isEmpty():
+            sinks.append_epoch(micro, table_root, epoch)
 
     return (updates.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
