@@ -30,7 +30,7 @@ def health_row(df: DataFrame, table: str, key: Sequence[str], columns: Sequence[
     one = by_key.agg(
         F.sum("_rows").alias("row_count"),
         F.sum(F.col("_rows") - 1).alias("duplicate_rows"),
-        F.count_if("_rows > 1").alias("duplicate_keys"),
+        F.count_if(F.col("_rows") > 1).alias("duplicate_keys"),
         *[F.sum(f"_n_{c}").alias(f"_n_{c}") for c in columns])
     rates = {c: pct(f"_n_{c}", "row_count") for c in columns}
     worst = F.greatest(*rates.values()) if len(rates) > 1 else next(iter(rates.values()))

@@ -192,7 +192,7 @@ def clean_rows(tagged: DataFrame) -> DataFrame:
 def rejected_rows(tagged: DataFrame, rules: Sequence[Rule | None]) -> DataFrame:
     reasons = F.array(*[F.lit(r.reason if r else "") for r in rules])
     return (tagged.where(F.col(FAILED).isNotNull())
-            .withColumn(REASON, F.element_at(reasons, F.col(FAILED) + 1)).drop(FAILED))
+            .withColumn(REASON, F.try_element_at(reasons, F.col(FAILED) + 1)).drop(FAILED))
 
 
 def failure_counts(tagged: DataFrame, rules: Sequence[Rule | None]) -> DataFrame:
@@ -226,7 +226,7 @@ def reject_log(tagged: DataFrame, rules: Sequence[Rule | None], source: str, tar
                batch_id: str, run_id: str, at: str) -> DataFrame:
     """Rejected rows as log entries holding the original row in JSON."""
     data = [c for c in tagged.columns if not c.startswith("_dq_")]
-    pick = lambda values: F.element_at(F.array(*[F.lit(v) for v in values]), F.col(FAILED) + 1)
+    pick = lambda values: F.try_element_at(F.array(*[F.lit(v) for v in values]), F.col(FAILED) + 1)
     known = [r for r in rules]
     ids = [(r.rule_id or f"{target}-{i}") if r else "" for i, r in enumerate(known)]
     body = F.to_json(F.struct(*data), {"ignoreNullFields": "false"})
