@@ -18,8 +18,8 @@ ORACLES: dict[str, str] = {}
 def query(key: str, sql: str | None = None):
     """Register ``fn(frames) -> DataFrame`` under ``key``.
 
-    ``sql`` may name shared frames with ``{name}``-free plain identifiers; the
-    needed common table expressions are put in front.
+    ``sql`` may name the shared oracle frames; ``with_frames`` puts the needed common
+    table expressions in front once all modules are loaded.
     """
 
     def register(fn: Callable[[Frames], DataFrame]):
@@ -31,7 +31,7 @@ def query(key: str, sql: str | None = None):
 
         PLANS[key] = run
         if sql is not None:
-            ORACLES[key] = with_frames(sql)
+            ORACLES[key] = sql
         return fn
 
     return register

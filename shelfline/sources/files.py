@@ -25,12 +25,23 @@ def read_csv_by_name(spark: SparkSession, path: str, columns: Sequence[str]) ->
     return raw.select(*[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
-def read_csv_capturing(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """CSV with malformed lines kept in the corrupt column, and the file of each row."""
-    schema = T.StructType([*text_schema(*columns).fields, T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).csv(path)
-            .withColumn("_source_file", F.col("_metadata.file_path")))
+def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType, parse) -> DataFrame:
+    """Parse text lines into columns, the raw line of a bad record and its file.
+
+    Parsing the line as an expression, not as a scan, leaves any later projection
+    free to drop columns.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_source_file"))
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    row = parse(F.col("value"), wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return lines.withColumn("_row", row).select("_row.*", "_source_file", F.col("value").alias("_line"))
+
+
+def read_csv_capturing(spark: SparkSession, path: str, columns: Sequence[str], header: bool = True) -> DataFrame:
+    """Comma-separated lines with malformed ones marked instead of dropped."""
+    parse = lambda v, schema, options: F.from_csv(v, schema.simpleString()[7:-1].replace(":", " "), options)
+    rows = _parsed_lines(spark, path, text_schema(*columns), parse)
+    return rows.where(F.col("_line") != ",".join(columns)) if header else rows
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -39,25 +50,18 @@ def read_ndjson(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def read_ndjson_capturing(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(wide).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", CORRUPT).json(path)
-            .withColumn("_source_file", F.col("_metadata.file_path")))
+    """JSON lines with malformed ones marked instead of dropped."""
+    return _parsed_lines(spark, path, schema, F.from_json)
 
 
 def well_formed(captured: DataFrame) -> DataFrame:
-    return captured.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return captured.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_line")
 
 
 def malformed(captured: DataFrame) -> DataFrame:
-    """Bad lines with their file and a reason.
-
-    A corrupt column alone cannot be selected from text sources, so one data column
-    stays in the scan.
-    """
-    first = captured.columns[0]
-    return (captured.select(first, CORRUPT, "_source_file").where(F.col(CORRUPT).isNotNull())
-            .select("_source_file", F.col(CORRUPT).alias("raw_line"), F.lit("MALFORMED_RECORD").alias("reason")))
+    """Bad lines with their file and a reason."""
+    return captured.where(F.col(CORRUPT).isNotNull()).select(
+        "_source_file", F.col("_line").alias("raw_line"), F.lit("MALFORMED_RECORD").alias("reason"))
 
 
 def table(spark: SparkSession, path: str, merge_schema: bool = False) -> DataFrame:

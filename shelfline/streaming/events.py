@@ -55,6 +55,17 @@ def daily_stoppages(events: DataFrame, late: str = LATE) -> DataFrame:
             .select(F.to_date("w.start").alias("event_date"), "production_line_id", "stoppages"))
 
 
+def keep_updates(rows: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Store changed aggregate rows per epoch, so open windows are visible at once."""
+
+    def apply(micro: DataFrame, epoch: int) -> None:
+        if not micro.isEmpty():
+            sinks.append_epoch(micro, root, epoch)
+
+    return (rows.writeStream.outputMode("update").foreachBatch(apply)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 def rebuild_touched(micro: DataFrame, epoch: int, raw_path: str, lookback_days: int = 7) -> DataFrame:
     """Store a micro-batch and rebuild the batches it touched from everything stored.
 
