@@ -9,6 +9,7 @@ from shelfline.functions import pct, ratio
 from shelfline.functions.time import day, months_back, week_start
 from shelfline.operators.ranking import rank_within, top_n
 from shelfline.plans.facts import net_sale_lines
+from shelfline.session import settle
 
 
 def _flag(condition):
@@ -30,6 +31,8 @@ def top_retailers(sales: DataFrame, returns: DataFrame, accounts: DataFrame, as_
         F.sum(F.when(week, F.col("net_revenue"))).cast("decimal(18,4)").alias("retailer_net_revenue"),
         F.sum(F.when(~week, F.col("net_revenue"))).cast("decimal(18,4)").alias("prior_revenue"))
     named = by_account.join(accounts.select("retailer_id", "retailer_name", "region", "retail_segment"), "retailer_id")
+    # One row per account; total, ranking and prior rank all read it.
+    named = settle(named, "account-weeks")
     sold = named.where("retailer_net_revenue IS NOT NULL")
     total = sold.agg(F.sum("retailer_net_revenue")).scalar()
     best = top_n(sold, [F.col("retailer_net_revenue").desc(), F.col("retailer_id")], k, "revenue_rank")
@@ -83,6 +86,7 @@ def concentration(sales: DataFrame, returns: DataFrame, as_of: str) -> DataFrame
     d = F.col("transaction_date")
     lines = net_sale_lines(sales.where((d >= first) & (d < upto)), returns, ["retailer_id"])
     by_account = lines.groupBy("retailer_id").agg(F.sum("net_revenue").cast("decimal(18,4)").alias("net"))
+    by_account = settle(by_account, "account-month")
     total = by_account.agg(F.sum("net").cast("decimal(18,4)")).scalar()
     top = top_n(by_account, [F.col("net").desc(), F.col("retailer_id")], 5, "_rank")
     kpi = top.agg(F.sum("net").cast("decimal(18,4)").alias("top5_net_revenue"),

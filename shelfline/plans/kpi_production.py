@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import pct, surrogate_key
 from shelfline.functions.time import hours_between
+from shelfline.session import settle
 
 
 def _below(column: str, limit: float):
@@ -58,8 +59,14 @@ def traceability(batches: DataFrame, shipments: DataFrame, accounts: DataFrame,
     done = batches.where("batch_end_ts IS NOT NULL").select("batch_id", "batch_end_ts", "qc_status")
     ship = shipments.where("batch_id IS NOT NULL").select("batch_id", "shipment_id", "retailer_id")
     known = accounts.select("retailer_id").distinct().withColumn("_known", F.lit(True))
-    chain = (done.join(ship, "batch_id", "left").join(known, "retailer_id", "left")
-             .withColumn("is_fully_traceable", F.col("shipment_id").isNotNull() & F.col("_known").isNotNull()))
+    # Matched and unmatched batches are joined apart: an inner join can be split on
+    # either side when one batch has a large share of the shipments.
+    matched = ship.join(done, "batch_id")
+    waiting = done.join(ship.select("batch_id").distinct(), "batch_id", "left_anti")
+    both = matched.unionByName(waiting, allowMissingColumns=True)
+    chain = both.join(known, "retailer_id", "left").withColumn(
+        "is_fully_traceable", F.col("shipment_id").isNotNull() & F.col("_known").isNotNull()).drop("_known")
+    chain = settle(chain, "trace-chain")
     share = (chain.groupBy("batch_id").agg(F.bool_or("is_fully_traceable").alias("ok"))
              .agg(F.count("*").alias("n"), F.count_if("ok").alias("k"))
              .select(pct("k", "n"))).scalar()

@@ -49,9 +49,7 @@ def csv_by_name(f: Frames):
 @query("src_02_ndjson_scan", "SELECT transaction_id, line_no, sku_id, quantity, unit_price, discount_pct FROM pos_raw")
 def ndjson_scan(f: Frames):
     path = work_dir(f.spark, "json") + "/pos_transactions"
-    items = F.transform("items", lambda i: F.struct(i["sku_id"].alias("sku_id"), i["qty"].alias("qty"),
-                                                    i["price"].alias("price"), i["discount"].alias("discount")))
-    receipts(f).withColumn("items", items).write.json(path)
+    receipts(f).write.json(path)
     raw = files.read_ndjson(f.spark, path, c.POS_SCHEMA)
     return ingest.flatten_pos(raw).select("transaction_id", "line_no", "sku_id", "quantity", "unit_price", "discount_pct")
 

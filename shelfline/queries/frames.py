@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions import surrogate_key
+from shelfline.session import spread
 from shelfline.plans import (
     conform, dimensions, facts, kpi_accounts, kpi_core, kpi_delivery, kpi_production, kpi_sales,
     kpi_stock,
@@ -26,6 +27,24 @@ EVENTS_NOW = "2024-01-31 00:00:00"
 
 MONEY = "decimal(10,2)"
 
+# Schemas of the provided tables: no job is spent on reading footers.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+# Join key of the large tables.
+SPREAD_BY = {"lineitem": "l_orderkey", "events": "event_id"}
+
 
 def channel_of(key: str) -> Column:
     return (F.when(F.col(key) % 3 == 0, "Retail").when(F.col(key) % 3 == 1, "Wholesale")
@@ -44,7 +63,7 @@ class Frames:
         self.dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return spread(self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet"), SPREAD_BY.get(name))
 
     @cached_property
     def regions(self) -> DataFrame:

@@ -19,20 +19,19 @@ from shelfline.queries.registry import query
 s.FRAMES.update({
     "pos_receipts": """
 SELECT 'TXN-' || l_orderkey AS transaction_id, 'ST-' || (o_custkey % 50) AS store_id,
-       CASE WHEN o_orderkey % 97 <> 0 THEN 'RTL-' || o_custkey END AS customer_id,
-       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS timestamp, l_linenumber, l_suppkey, l_partkey,
+       CASE WHEN o_orderkey % 97 <> 0 THEN 'RTL-' || o_custkey END AS retailer_id,
+       strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS transaction_timestamp,
        CASE WHEN l_partkey % 53 <> 0 THEN 'SKU-' || l_partkey END AS sku_id,
-       CASE WHEN l_partkey % 41 = 0 THEN 'abc' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS qty,
-       CASE WHEN l_partkey % 61 <> 0 THEN CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) END AS price,
-       CAST(CAST(l_discount AS DECIMAL(4,2)) AS VARCHAR) AS discount, CAST(l_shipdate AS DATE) AS seen
+       CASE WHEN l_partkey % 41 = 0 THEN 'abc' ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
+       CASE WHEN l_partkey % 61 <> 0 THEN CAST(CAST(p_retailprice AS DECIMAL(10,2)) AS VARCHAR) END AS unit_price,
+       CAST(CAST(l_discount AS DECIMAL(4,2)) AS VARCHAR) AS discount_pct
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
     "pos_raw": """
-SELECT transaction_id, store_id, customer_id AS retailer_id, timestamp AS transaction_timestamp, 'card' AS payment_method,
-       CAST(count(*) OVER (PARTITION BY transaction_id) AS VARCHAR) AS transaction_total,
-       CAST(row_number() OVER (PARTITION BY transaction_id ORDER BY l_linenumber, l_partkey, l_suppkey, qty, price, discount, seen)
-            AS VARCHAR) AS line_no,
-       sku_id, qty AS quantity, price AS unit_price, discount AS discount_pct, 'Retail' AS channel, '' AS region, '' AS state
-FROM pos_receipts""",
+SELECT transaction_id, store_id, retailer_id, transaction_timestamp, 'card' AS payment_method, '2' AS transaction_total,
+       x.line_no, CASE x.line_no WHEN '1' THEN sku_id ELSE 'SKU-BAG' END AS sku_id,
+       CASE x.line_no WHEN '1' THEN quantity ELSE '1' END AS quantity, CASE x.line_no WHEN '1' THEN unit_price ELSE '1.00' END AS unit_price,
+       CASE x.line_no WHEN '1' THEN discount_pct ELSE '0.00' END AS discount_pct, 'Retail' AS channel, '' AS region, '' AS state
+FROM pos_receipts, (VALUES ('1'), ('2')) AS x(line_no)""",
     "pos_checked": """
 SELECT * FROM pos_raw WHERE transaction_id IS NOT NULL AND retailer_id IS NOT NULL AND sku_id IS NOT NULL
 AND unit_price IS NOT NULL""",
@@ -40,25 +39,22 @@ AND unit_price IS NOT NULL""",
 
 
 def receipts(f: Frames) -> DataFrame:
-    """Nested point-of-sale receipts: one row per transaction with its items."""
+    """Nested point-of-sale receipts: every order line sells its article and a bag."""
     p = f.table("part").select("p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("price"))
     k = F.col("l_partkey")
-    lines = f.lines.join(p, k == F.col("p_partkey")).select(
+    article = F.struct(
+        F.when(k % 53 != 0, F.concat(F.lit("SKU-"), "l_partkey")).alias("sku_id"),
+        F.when(k % 41 == 0, "abc").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("qty"),
+        F.when(k % 61 != 0, F.col("price").cast("string")).alias("price"),
+        F.col("l_discount").cast("decimal(4,2)").cast("string").alias("discount"))
+    bag = F.struct(F.lit("SKU-BAG").alias("sku_id"), F.lit("1").alias("qty"), F.lit("1.00").alias("price"),
+                   F.lit("0.00").alias("discount"))
+    return f.lines.join(p, k == F.col("p_partkey")).select(
         F.concat(F.lit("TXN-"), "l_orderkey").alias("transaction_id"),
         F.concat(F.lit("ST-"), F.col("o_custkey") % 50).alias("store_id"),
         F.when(F.col("o_orderkey") % 97 != 0, F.concat(F.lit("RTL-"), "o_custkey")).alias("customer_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("timestamp"),
-        F.struct(
-            "l_linenumber", "l_partkey", "l_suppkey",
-            F.when(k % 41 == 0, "abc").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("qty"),
-            F.when(k % 61 != 0, F.col("price").cast("string")).alias("price"),
-            F.col("l_discount").cast("decimal(4,2)").cast("string").alias("discount"),
-            F.col("l_shipdate").cast("date").alias("seen"),
-            F.when(k % 53 != 0, F.concat(F.lit("SKU-"), "l_partkey")).alias("sku_id")).alias("item"))
-    # A receipt holds the lines of one order, a handful by nature.
-    return lines.groupBy("transaction_id", "store_id", "customer_id", "timestamp").agg(
-        F.sort_array(F.collect_list("item")).alias("items")).withColumns({
-            "payment_method": F.lit("card"), "total": F.size("items").cast("string")})
+        F.array(article, bag).alias("items"), F.lit("card").alias("payment_method"), F.lit("2").alias("total"))
 
 
 @query("brz_01_pos_ingest", "SELECT * FROM pos_checked")
@@ -72,7 +68,7 @@ def array_explode(f: Frames):
 
 
 @query("prj_08_struct_access", """
-SELECT sku_id, count(*) AS lines, count(qty) AS with_quantity, count(price) AS with_price FROM pos_receipts GROUP BY 1""")
+SELECT sku_id, count(*) AS lines, count(quantity) AS with_quantity, count(unit_price) AS with_price FROM pos_raw GROUP BY 1""")
 def struct_access(f: Frames):
     items = receipts(f).select(F.explode("items").alias("item"))
     return items.groupBy("item.sku_id").agg(
@@ -394,7 +390,7 @@ SELECT transaction_id, sku_id, retailer_id, {s.key('transaction_id', 'sku_id')}
        TRY_CAST(quantity AS INTEGER) AS quantity_sold, CAST(unit_price AS DECIMAL(10,2)) AS unit_price,
        CAST(CAST(unit_price AS DECIMAL(10,2)) * TRY_CAST(quantity AS INTEGER) AS DECIMAL(12,2)) AS net_line_amount,
        CAST(CAST(transaction_timestamp AS TIMESTAMP) AS DATE) AS transaction_date, line_no, channel
-FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id, sku_id ORDER BY CAST(line_no AS INTEGER) DESC) AS rn FROM pos_checked)
+FROM (SELECT *, row_number() OVER (PARTITION BY transaction_id, sku_id ORDER BY CAST(line_no AS INTEGER) DESC, quantity, discount_pct) AS rn FROM pos_checked)
 WHERE rn = 1) WHERE unit_price BETWEEN 0.01 AND 10000 AND quantity_sold >= 1"""
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     # of all rows on one key must not become one task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Plans are built from many small expressions; skip the call-site lookup of each.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -43,6 +45,18 @@ def local_session(app: str = "shelfline", cpus: int | str = "*", shuffle: int =
     return spark
 
 
+def spread(df: DataFrame, key: str | None) -> DataFrame:
+    """Give a table stored in fewer pieces than there are cores to all cores, once.
+
+    Row groups bound the splits of a scan: one small file would run every following
+    map step in one task. Tables with enough splits, as on a cluster, are unchanged.
+    """
+    if key is None:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 
@@ -55,3 +69,14 @@ def work_dir(spark: SparkSession, label: str) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix=f"shelfline-{label}-")
     raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+
+
+def settle(df: DataFrame, label: str) -> DataFrame:
+    """Write an intermediate that several branches read, and continue from the table.
+
+    The result is computed once, its lineage ends at files that outlive any executor,
+    and its measured size guides the joins above it.
+    """
+    path = f"{work_dir(df.sparkSession, label)}/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
