@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.operators.dedup import latest_per_key
+from shelfline.operators.upsert import merge_columns, merge_upsert
+from shelfline.session import settle
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -82,6 +84,33 @@ def write_next(df: DataFrame, root: str, by: Sequence[str] = ()) -> int:
     return overwrite(df, f"{root}/v={(have[-1] + 1) if have else 1}", by)
 
 
+def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], by: str,
+                      update: Sequence[str] | None = None) -> int:
+    """Merge into a partitioned table by rewriting only the partitions it touches.
+
+    Touched are the partitions of the source rows and those that hold a matching key,
+    found by scanning the key columns alone, so a row whose partition value changes
+    leaves no copy behind. With ``update``, matched rows take just those columns. The
+    merged rows are settled before any file is replaced. Returns the rows written.
+    """
+    if not exists(spark, path):
+        return overwrite_partitions(source, path, [by])
+    current = spark.read.parquet(path)
+    current = current.select(*[F.col(c).cast(source.schema[c].dataType) if c in source.columns else F.col(c)
+                               for c in current.columns])
+    held = current.join(source.select(*keys).distinct(), list(keys), "left_semi").select(by).distinct()
+    touched = held.unionByName(source.select(by)).distinct().withColumnRenamed(by, "_by")
+    affected = current.join(touched, F.col(by).eqNullSafe(F.col("_by")), "left_semi")
+    merged = merge_upsert(affected, source, keys) if update is None else merge_columns(affected, source, keys, update)
+    merged = settle(merged, "merge")
+    emptied = held.join(merged.select(by).distinct(), by, "left_anti").where(F.col(by).isNotNull()).collect()
+    rows = overwrite_partitions(merged, path, [by])
+    for row in emptied:  # partitions whose last row moved elsewhere
+        fs, hadoop, _ = _folder(spark, f"{path}/{by}={row[0]}")
+        fs.delete(hadoop, True)
+    return rows
+
+
 def append_epoch(df: DataFrame, root: str, epoch: int) -> None:
     """Store the rows a micro-batch changed under its epoch.
 
