@@ -307,11 +307,14 @@ def conform_shipments(raw: DataFrame, run_ts: str | None = None) -> tuple[DataFr
 
 
 def resolve_shipment_party(shipments: DataFrame, orders: DataFrame) -> DataFrame:
-    """Fill the retailer of a shipment from its order header.
+    """Fill the retailer of a shipment from its order.
 
-    ``orders`` has one row per order, so the join never multiplies shipments.
+    ``orders`` may hold many lines per order: only the orders shipped here are kept
+    and folded to one row each, so the join never multiplies shipments.
     """
-    header = orders.select("order_id", F.col("retailer_id").alias("_buyer")).dropDuplicates(["order_id"])
+    wanted = shipments.select("order_id").distinct()
+    header = (orders.join(wanted, "order_id", "left_semi").groupBy("order_id")
+              .agg(F.min("retailer_id").alias("_buyer")))
     return (shipments.join(header, "order_id", "left")
             .withColumn("retailer_id", F.coalesce(
                 F.when(F.col("retailer_id") != "", F.col("retailer_id")), "_buyer")).drop("_buyer"))

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline import contracts as c
+from shelfline.functions import as_int, month_label
 from shelfline.operators import history
 from shelfline.operators import quality as q
+from shelfline.operators.dedup import latest_per_key
 from shelfline.operators.reasons import monitoring_row
 from shelfline.plans import conform, dimensions, facts, ingest, kpi_core
 from shelfline.sources import files, sinks
@@ -92,11 +94,18 @@ def run_inventory(spark: SparkSession, config: dict, run_ts: str, run_id: str, l
     return rows
 
 
-def run_production(spark: SparkSession, config: dict, run_ts: str) -> int:
+def run_production(spark: SparkSession, config: dict, run_ts: str, load: str | None = None) -> int:
+    """Rebuild the batches a load touched from all their events, and store its events."""
     silver = config["tables"]["silver"]
-    events = _raw(spark, config, "iot_sensor_events", None)
-    batches = conform.stamp(conform.conform_batches(events), run_ts, "production")
-    sinks.upsert_partitions(spark, silver["production_events"], conform.stamp(conform.conform_events(events), run_ts, "production"),
+    events = now = _raw(spark, config, "iot_sensor_events", None)
+    if load is not None:
+        now = events.where(F.col("_batch_id") == load)
+        touched = now.where("batch_id IS NOT NULL").select("batch_id").distinct()
+        events = events.join(touched, "batch_id", "left_semi")
+    once = latest_per_key(events, ["event_id"], ["_ingested_at"])
+    batches = conform.stamp(conform.conform_batches(once), run_ts, "production")
+    fresh = conform.conform_events(latest_per_key(now, ["event_id"], ["_ingested_at"]))
+    sinks.upsert_partitions(spark, silver["production_events"], conform.stamp(fresh, run_ts, "production"),
                             ["event_key"], "event_date")
     return sinks.upsert_partitions(spark, silver["production_batches"], batches, ["batch_key"], "batch_date")
 
@@ -108,42 +117,68 @@ def run_shipments(spark: SparkSession, config: dict, run_ts: str, run_id: str, l
     return sinks.upsert_partitions(spark, config["tables"]["silver"]["shipments"], clean, ["shipment_key"], "ship_date")
 
 
-def run_gold(spark: SparkSession, config: dict) -> dict[str, int]:
-    """Dimensions, facts and the four standing KPI tables."""
-    silver, gold = config["tables"]["silver"], config["tables"]["gold"]
-    read = spark.read.parquet
+def _from(df: DataFrame, date: str, since: str | None) -> DataFrame:
+    """Rows from the month of ``since`` on; the partition column prunes the rest."""
+    return df if since is None else df.where(F.col(date) >= F.trunc(F.lit(since).cast("date"), "month"))
+
+
+def run_dimensions(spark: SparkSession, config: dict) -> dict[str, int]:
+    silver, gold, span = config["tables"]["silver"], config["tables"]["gold"], config["date_spine"]
     current = lambda name: sinks.read_current(spark, silver[name])
-    span = config["date_spine"]
     dim_date = dimensions.generate_date_dimension(spark, span["start_year"], span["end_year"])
-    products, customers = current("products"), current("customers")
-    out = {"dim_date": sinks.overwrite(dim_date, gold["dim_date"], ["year"]),
-           "dim_product": sinks.overwrite(dimensions.product_dimension(products), gold["dim_product"]),
-           "dim_customer": sinks.overwrite(dimensions.customer_dimension(customers), gold["dim_customer"])}
-    days = read(gold["dim_date"])
-    sales = facts.compute_fact_sales(read(silver["sales_transactions"]), products, customers, days)
-    stock = facts.compute_fact_inventory_snapshot(read(silver["inventory_stock"]), current("ref_reorder_points"), days)
-    batches, events = read(silver["production_batches"]), read(silver["production_events"])
-    hit = facts.attribute_downtime(batches, events)
+    places = current("warehouses").select(
+        "warehouse_id", F.col("name").alias("warehouse_name"), "region", F.lit(None).cast("string").alias("state"),
+        F.lit(None).cast("string").alias("warehouse_type"), as_int("capacity_cases").alias("capacity_units"))
+    return {"dim_date": sinks.overwrite(dim_date, gold["dim_date"], ["year"]),
+            "dim_product": sinks.overwrite(dimensions.product_dimension(current("products")), gold["dim_product"]),
+            "dim_customer": sinks.overwrite(dimensions.customer_dimension(current("customers")), gold["dim_customer"]),
+            "dim_warehouse": sinks.overwrite(dimensions.warehouse_dimension(places), gold["dim_warehouse"])}
+
+
+def run_facts(spark: SparkSession, config: dict, since: str | None = None) -> dict[str, int]:
+    """Facts of all days, or only of the months from ``since`` on."""
+    silver, gold = config["tables"]["silver"], config["tables"]["gold"]
+    current = lambda name: sinks.read_current(spark, silver[name])
+    recent = lambda name, date: _from(spark.read.parquet(silver[name]), date, since)
+    products, customers, days = current("products"), current("customers"), spark.read.parquet(gold["dim_date"])
+    batches = recent("production_batches", "batch_date")
+    hit = facts.attribute_downtime(batches, spark.read.parquet(silver["production_events"]))
     booked = hit.select("batch_id", F.lit("DOWNTIME_PLANNED").alias("event_type"),
                         (F.col("downtime_seconds") / 3600).cast("decimal(8,2)").alias("downtime_hours"))
-    produced = facts.compute_fact_production_batch(batches, booked, days)
-    shipped = facts.compute_fact_shipment(read(silver["shipments"]), customers, days)
-    for name, df, by in (("fact_sales", sales, "transaction_date"), ("fact_inventory", stock, "snapshot_date"),
-                         ("fact_production", produced, "batch_date"), ("fact_shipment", shipped, "ship_date")):
-        out[name] = sinks.overwrite(df, gold[name], [by])
-    fact = {n: read(gold[n]) for n in ("fact_sales", "fact_inventory", "fact_production", "fact_shipment")}
-    # Raw sales name no warehouse: cost is booked without one until a feed does.
-    sold = fact["fact_sales"] if "warehouse_key" in fact["fact_sales"].columns else fact["fact_sales"].withColumn(
-        "warehouse_key", F.lit(None).cast("bigint"))
-    kpis = {
-        "kpi_daily_revenue": kpi_core.compute_kpi_daily_revenue(fact["fact_sales"], products, customers),
-        "kpi_fulfillment": kpi_core.compute_kpi_fulfillment_rate(fact["fact_shipment"], customers),
-        "kpi_inv_turnover": kpi_core.compute_kpi_inventory_turnover(fact["fact_inventory"], sold),
-        "kpi_prod_yield": kpi_core.compute_kpi_production_yield(fact["fact_production"]),
+    plans = (
+        ("fact_sales", "transaction_date", facts.compute_fact_sales(
+            recent("sales_transactions", "transaction_date"), products, customers, days)),
+        ("fact_inventory", "snapshot_date", facts.compute_fact_inventory_snapshot(
+            recent("inventory_stock", "snapshot_date"), current("ref_reorder_points"), days)),
+        ("fact_production", "batch_date", facts.compute_fact_production_batch(batches, booked, days)),
+        ("fact_shipment", "ship_date", facts.compute_fact_shipment(recent("shipments", "ship_date"), customers, days)),
+    )
+    put = sinks.overwrite if since is None else sinks.overwrite_partitions
+    return {name: put(df, gold[name], [by]) for name, by, df in plans}
+
+
+def run_kpis(spark: SparkSession, config: dict, since: str | None = None) -> dict[str, int]:
+    """The four standing KPI tables, one partition per month."""
+    silver, gold = config["tables"]["silver"], config["tables"]["gold"]
+    current = lambda name: sinks.read_current(spark, silver[name])
+    fact = lambda name, date: _from(spark.read.parquet(gold[name]), date, since)
+    products, customers = current("products"), current("customers")
+    sales = fact("fact_sales", "transaction_date")
+    # Receipts name no warehouse; their cost counts once a feed does.
+    located = sales if "warehouse_key" in sales.columns else sales.withColumn("warehouse_key", F.lit(None).cast("bigint"))
+    monthly = lambda df: df.withColumn("report_month", month_label("report_date"))
+    plans = {
+        "kpi_daily_revenue": monthly(kpi_core.compute_kpi_daily_revenue(sales, products, customers)),
+        "kpi_fulfillment": monthly(kpi_core.compute_kpi_fulfillment_rate(fact("fact_shipment", "ship_date"), customers)),
+        "kpi_inv_turnover": kpi_core.compute_kpi_inventory_turnover(fact("fact_inventory", "snapshot_date"), located),
+        "kpi_prod_yield": monthly(kpi_core.compute_kpi_production_yield(fact("fact_production", "batch_date"))),
     }
-    # KPI tables are small: one folder each, no daily partitions of tiny files.
-    out.update({name: sinks.overwrite(df, gold[name]) for name, df in kpis.items()})
-    return out
+    put = sinks.overwrite if since is None else sinks.overwrite_partitions
+    return {name: put(df, gold[name], ["report_month"]) for name, df in plans.items()}
+
+
+def run_gold(spark: SparkSession, config: dict, since: str | None = None) -> dict[str, int]:
+    return {**run_dimensions(spark, config), **run_facts(spark, config, since), **run_kpis(spark, config, since)}
 
 
 def run_all(spark: SparkSession, config: dict, batch_id: str, run_ts: str) -> dict[str, int]:
@@ -154,6 +189,6 @@ def run_all(spark: SparkSession, config: dict, batch_id: str, run_ts: str) -> di
     run_warehouses(spark, config, run_ts)
     run_sales(spark, config, run_ts, batch_id, batch_id)
     run_inventory(spark, config, run_ts, batch_id, batch_id)
-    run_production(spark, config, run_ts)
+    run_production(spark, config, run_ts, batch_id)
     run_shipments(spark, config, run_ts, batch_id, batch_id)
     return {**landed, **run_gold(spark, config)}

@@ -130,3 +130,7 @@ def test_layers_end_to_end(spark, tmp_path):
     jobs.run_sales(spark, config, "2025-03-03 06:00:00", "load-1", "load-1")
     sales = spark.read.parquet(config["tables"]["silver"]["sales_transactions"])
     assert sales.count() == 1 and sales.select(F.date_format("updated_at", "yyyy-MM-dd")).first()[0] == "2025-03-03"
+    # Rebuilding only the current month leaves the same KPI rows.
+    before = sorted(map(str, spark.read.parquet(gold["kpi_daily_revenue"]).collect()))
+    jobs.run_gold(spark, config, since="2025-03-01")
+    assert sorted(map(str, spark.read.parquet(gold["kpi_daily_revenue"]).collect())) == before
