@@ -55,6 +55,8 @@ LIMITS = (
     Limit("KPI-D01-COMPANY", "rolling_otd", ("ship_date",), "otd_7d_pct", "false", "otd_7d_pct < 80"),
     Limit("KPI-D02", "kpi_d02", ("ship_date", "channel"), "fulfillment_rate_pct",
           "fulfillment_rate_pct < 95", "fulfillment_rate_pct < 90"),
+    Limit("KPI-D02-COMPANY", "rolling_fulfillment", ("ship_date",), "fulfillment_7d_pct",
+          "false", "fulfillment_7d_pct < 90"),
     Limit("KPI-D03", "kpi_d03", ("week_start_date", "region", "route_id", "channel"), "cost_per_case",
           "cost_per_case > 5", "cost_per_case > 6"),
     Limit("KPI-D03-COMPANY", "company_cost", ("week_start_date",), "cost_per_case",
@@ -67,6 +69,8 @@ LIMITS = (
     Limit("KPI-C02-COMPANY", "company_cac", (), "cac_usd", "false", "cac_usd > 4000"),
     Limit("KPI-C03", "kpi_c03", ("region", "retail_segment"), "retention_rate_pct",
           "retention_rate_pct < 85", "retention_rate_pct < 75"),
+    Limit("KPI-C03-COMPANY", "company_retention", (), "retention_rate_pct",
+          "false", "retention_rate_pct < 75"),
     Limit("KPI-C04", "kpi_c04", ("period_month",), "top5_concentration_pct",
           "top5_concentration_pct > 30", "top5_concentration_pct > 40 OR top1_revenue_pct > 15"),
 )

@@ -54,8 +54,9 @@ def net_sale_lines(sales: DataFrame, returns: DataFrame, dims: list[str]) -> Dat
     repeated lines nor repeated returns multiply money. ``dims`` are attributes that
     are constant within a transaction.
     """
+    line = (F.col("unit_price") * F.col("quantity_sold")).cast("decimal(14,2)")
     s = sales.groupBy("transaction_id", "sku_id", *dims).agg(
-        F.sum(F.col("unit_price") * F.col("quantity_sold")).cast("decimal(18,4)").alias("gross_sales_amount"),
+        F.sum(line).cast("decimal(18,4)").alias("gross_sales_amount"),
         F.sum("quantity_sold").alias("units_sold"))
     r = returns.groupBy("transaction_id", "sku_id").agg(
         F.sum("return_amount").cast("decimal(18,4)").alias("return_amount"))

@@ -79,6 +79,13 @@ def run_customers(spark: SparkSession, config: dict, run_ts: str, load: str | No
     return sinks.write_next(history.apply_history(state, feed, "retailer_id", tracked, "record_effective_date"), root)
 
 
+def apply_scd_type2(spark: SparkSession, df_incoming: DataFrame, target_table: str, natural_key: str,
+                    tracked_cols: list[str], valid_from_col: str = "record_effective_date") -> None:
+    """Merge a feed into the stored history at ``target_table`` as its next version."""
+    state = sinks.read_current(spark, target_table)
+    sinks.write_next(history.apply_history(state, df_incoming, natural_key, tracked_cols, valid_from_col), target_table)
+
+
 def run_warehouses(spark: SparkSession, config: dict, run_ts: str) -> int:
     raw = q.clean_rows(q.tag(_raw(spark, config, "erp_warehouses", None), (q.not_null(["warehouse_id"]),)))
     return sinks.write_next(conform.transform_warehouses(raw, run_ts), config["tables"]["silver"]["warehouses"])

@@ -76,3 +76,12 @@ def rolling_on_time(otd: DataFrame, days: int = 7) -> DataFrame:
     rolled = trailing(daily.withColumn("_all", F.lit(1)), ["_all"], "ship_date", days,
                       {"total_7d": "total_shipments", "on_time_7d": "on_time_shipments"})
     return rolled.drop("_all").withColumn("otd_7d_pct", pct("on_time_7d", "total_7d"))
+
+
+def rolling_fulfillment(fulfillment: DataFrame, days: int = 7) -> DataFrame:
+    """Company fulfilment over trailing days, from daily numerators and denominators."""
+    daily = fulfillment.groupBy("ship_date").agg(F.sum("total_orders").alias("total_orders"),
+                                                 F.sum("fully_shipped_orders").alias("fully_shipped_orders"))
+    rolled = trailing(daily.withColumn("_all", F.lit(1)), ["_all"], "ship_date", days,
+                      {"orders_7d": "total_orders", "full_7d": "fully_shipped_orders"})
+    return rolled.drop("_all").withColumn("fulfillment_7d_pct", pct("full_7d", "orders_7d"))

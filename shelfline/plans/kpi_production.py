@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import pct, surrogate_key
 from shelfline.functions.time import hours_between
+from shelfline.operators.ranking import trailing
 from shelfline.session import settle
 
 
@@ -75,3 +76,12 @@ def traceability(batches: DataFrame, shipments: DataFrame, accounts: DataFrame,
         "batch_id", "shipment_id", "retailer_id", "is_fully_traceable",
         F.coalesce((F.col("qc_status") == "PASS") & (age > wait_hours), F.lit(False)).alias("eligible"),
         share.alias("traceability_pct"), F.coalesce(share < 98, F.lit(False)).alias("trace_warn_flag"))
+
+
+def quality_trend(quality: DataFrame, days: int = 30) -> DataFrame:
+    """Pass rate per line over trailing days, from daily counts."""
+    daily = quality.where("report_date IS NOT NULL").groupBy("production_line_id", "report_date").agg(
+        F.sum("total_batches").alias("total_batches"), F.sum("passed_batches").alias("passed_batches"))
+    rolled = trailing(daily, ["production_line_id"], "report_date", days,
+                      {"batches_30d": "total_batches", "passed_30d": "passed_batches"})
+    return rolled.withColumn("qc_pass_30d_pct", pct("passed_30d", "batches_30d"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions import pct, surrogate_key, week_start
@@ -101,3 +101,12 @@ def revenue_rollup(daily: DataFrame) -> DataFrame:
         F.grouping_id("report_month", "region", "channel").cast("int").alias("level"),
         F.sum("net_revenue").cast("decimal(18,4)").alias("net_revenue"),
         F.sum("units_sold").alias("units_sold"))
+
+
+def twelve_month_trend(daily: DataFrame, months: int = 12) -> DataFrame:
+    """Net revenue per month and over the trailing months, per channel."""
+    monthly = daily.groupBy("channel", F.trunc("report_date", "month").alias("month")).agg(
+        F.sum("net_revenue").cast("decimal(18,4)").alias("net_revenue"))
+    position = F.year("month") * 12 + F.month("month")
+    w = Window.partitionBy("channel").orderBy(position).rangeBetween(-(months - 1), 0)
+    return monthly.withColumn("trailing_revenue", F.sum("net_revenue").over(w).cast("decimal(18,4)"))

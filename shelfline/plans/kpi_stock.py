@@ -46,13 +46,12 @@ def turnover_30d(sales: DataFrame, stock: DataFrame, products: DataFrame, as_of:
             .agg(F.sum(F.col("standard_cost_per_unit") * F.col("units")).cast("decimal(18,4)").alias("cogs_30d")))
     value = (stock.where(F.col("snapshot_date") >= F.date_sub(day(as_of), days)).groupBy("warehouse_id")
              .agg(F.sum("inventory_value").alias("_v"), F.count("inventory_value").alias("_n")))
-    rate = lambda factor: ratio(F.col("cogs_30d") * F.col("_n"), "_v", 18, 4, factor)
     kpi = cogs.join(value, "warehouse_id").withColumns({
         "week_start_date": week_start(day(as_of)),
         "avg_inventory_value_30d": ratio("_v", "_n", 18, 4),
-        "inventory_turnover_rate": rate(1),
-        "annualized_turnover": rate(12),
     })
+    rate = lambda factor: ratio("cogs_30d", "avg_inventory_value_30d", 18, 4, factor)
+    kpi = kpi.withColumns({"inventory_turnover_rate": rate(1), "annualized_turnover": rate(12)})
     return kpi.withColumn("turnover_alert_flag",
                           F.coalesce(F.col("inventory_turnover_rate") < low, F.lit(False))).drop("_v", "_n")
 

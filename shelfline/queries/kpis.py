@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from shelfline.functions import pct
 from shelfline.functions.time import week_start
-from shelfline.plans import alerts, extras, kpi_delivery, kpi_sales, kpi_stock
+from shelfline.plans import alerts, extras, kpi_delivery, kpi_production, kpi_sales, kpi_stock
 from shelfline.queries import sqlframes as s
 from shelfline.queries.frames import AS_OF, EVENTS_AS_OF, Frames
 from shelfline.queries.registry import query
@@ -88,6 +88,15 @@ WINDOW w AS (ORDER BY ship_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURR
     "company_cost": f"""
 SELECT week_start_date, {s.ratio('sum(total_logistics_cost)', 'sum(total_cases_delivered)', 18, 4)} AS cost_per_case
 FROM kpi_d03 GROUP BY 1""",
+    "rolling_fulfillment": f"""
+SELECT *, {s.pct('full_7d', 'orders_7d')} AS fulfillment_7d_pct FROM (
+SELECT ship_date, total_orders, fully_shipped_orders,
+       CAST(sum(total_orders) OVER w AS BIGINT) AS orders_7d, CAST(sum(fully_shipped_orders) OVER w AS BIGINT) AS full_7d
+FROM (SELECT ship_date, CAST(sum(total_orders) AS BIGINT) AS total_orders,
+             CAST(sum(fully_shipped_orders) AS BIGINT) AS fully_shipped_orders FROM kpi_d02 GROUP BY 1)
+WINDOW w AS (ORDER BY ship_date RANGE BETWEEN INTERVAL 6 DAYS PRECEDING AND CURRENT ROW))""",
+    "company_retention": f"""
+SELECT {s.pct('sum(retained_count)', 'sum(prior_period_active_count)')} AS retention_rate_pct FROM kpi_c03""",
     "company_cac": f"""
 SELECT {s.ratio('sum(total_acquisition_spend)', 'sum(new_accounts_count)', 18, 4)} AS cac_usd FROM kpi_c02""",
 })
@@ -112,6 +121,9 @@ def alert_tables(f: Frames) -> dict:
                                     F.count_if(F.col("units_on_hand") == 0).alias("stockouts")),
         "trace_share": f.kpi_p04.agg(F.max("traceability_pct").alias("traceability_pct")),
         "rolling_otd": kpi_delivery.rolling_on_time(f.kpi_d01),
+        "rolling_fulfillment": kpi_delivery.rolling_fulfillment(f.kpi_d02),
+        "company_retention": f.kpi_c03.agg(
+            pct(F.sum("retained_count"), F.sum("prior_period_active_count")).alias("retention_rate_pct")),
         "company_cost": f.kpi_d03.groupBy("week_start_date").agg(
             kpi_ratio("total_logistics_cost", "total_cases_delivered").alias("cost_per_case")),
         "company_cac": f.kpi_c02.agg(
@@ -158,6 +170,31 @@ def trailing_on_time(f: Frames):
     return kpi_delivery.rolling_on_time(f.kpi_d01)
 
 
+@query("win_10_trailing_fulfillment", "SELECT * FROM rolling_fulfillment")
+def trailing_fulfillment(f: Frames):
+    return kpi_delivery.rolling_fulfillment(f.kpi_d02)
+
+
+@query("win_10_trailing_quality", f"""
+SELECT *, {s.pct('passed_30d', 'batches_30d')} AS qc_pass_30d_pct FROM (
+SELECT production_line_id, report_date, total_batches, passed_batches,
+       CAST(sum(total_batches) OVER w AS BIGINT) AS batches_30d, CAST(sum(passed_batches) OVER w AS BIGINT) AS passed_30d
+FROM (SELECT production_line_id, report_date, CAST(sum(total_batches) AS BIGINT) AS total_batches,
+             CAST(sum(passed_batches) AS BIGINT) AS passed_batches FROM kpi_p02 WHERE report_date IS NOT NULL GROUP BY 1, 2)
+WINDOW w AS (PARTITION BY production_line_id ORDER BY report_date RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW))""")
+def trailing_quality(f: Frames):
+    return kpi_production.quality_trend(f.kpi_p02)
+
+
+@query("win_10_trailing_months", """
+SELECT channel, month, net_revenue, CAST(sum(net_revenue) OVER (PARTITION BY channel ORDER BY year(month) * 12 + month(month)
+       RANGE BETWEEN 11 PRECEDING AND CURRENT ROW) AS DECIMAL(18,4)) AS trailing_revenue
+FROM (SELECT channel, CAST(date_trunc('month', report_date) AS DATE) AS month, CAST(sum(net_revenue) AS DECIMAL(18,4)) AS net_revenue
+      FROM kpi_s01 GROUP BY 1, 2)""")
+def trailing_months(f: Frames):
+    return kpi_sales.twelve_month_trend(f.kpi_s01)
+
+
 @query("ext_01_top_skus", """
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY week_start_date, region, channel
                ORDER BY net_revenue DESC, sku_id) AS sku_rank

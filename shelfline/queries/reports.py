@@ -5,7 +5,7 @@ from __future__ import annotations
 from shelfline.plans import dimensions, reports
 from shelfline.queries import sqlframes as s
 from shelfline.queries.frames import AS_OF, EVENTS_AS_OF, Frames
-from shelfline.queries.registry import query
+from shelfline.queries.registry import ORACLES, PLANS, query
 
 SINCE = f"{s.AS_OF} - 30"
 
@@ -117,3 +117,17 @@ SELECT warehouse_name, {s.ratio('sum(dsi_days)', 'count(dsi_days)', 18, 1)} AS a
 FROM newest_positions n JOIN warehouses w ON n.warehouse_id = w.warehouse_id GROUP BY 1""")
 def days_of_supply(f: Frames):
     return reports.days_of_supply(f.fact_inventory, dimensions.warehouse_dimension(f.warehouses), AS_OF)
+
+
+# Narrower datasets of the same reports.
+_DATASETS = {
+    "rpt_01_dataset": ("rpt_01_revenue_by_category", ["report_date", "product_category", "total_revenue", "total_gross_margin", "units_sold"]),
+    "rpt_02_dataset": ("rpt_02_revenue_by_region", ["report_date", "region", "total_revenue", "units_sold"]),
+    "rpt_04_dataset": ("rpt_04_yield_by_line", ["report_date", "production_line_id", "batch_count", "avg_yield_rate_pct",
+                                                 "min_yield_rate_pct", "max_yield_rate_pct", "qc_pass_rate_pct", "total_downtime_hours"]),
+    "rpt_05_dataset": ("rpt_05_fulfillment_by_channel", ["report_date", "channel", "region", "total_shipments",
+                                                          "on_time_delivery_pct", "fulfillment_rate_pct", "total_cases_delivered"]),
+}
+for _key, (_base, _columns) in _DATASETS.items():
+    query(_key, f"SELECT {', '.join(_columns)} FROM ({ORACLES[_base]})")(
+        lambda f, _base=_base, _columns=_columns: PLANS[_base](f.spark, f.dir).select(*_columns))

@@ -338,14 +338,14 @@ SELECT s.sku_id, k.warehouse_id, sum(s.quantity_sold) AS units FROM sale_lines s
 JOIN stock k ON s.sku_id = k.sku_id AND s.transaction_date = k.snapshot_date
 WHERE s.transaction_date >= {AS_OF} - 30 GROUP BY 1, 2""",
     "kpi_i02": f"""
-SELECT warehouse_id, cogs_30d, {WEEK0} AS week_start_date, {ratio('v', 'n', 18, 4)} AS avg_inventory_value_30d,
-       {ratio('cogs_30d * n', 'v', 18, 4)} AS inventory_turnover_rate,
-       {ratio('cogs_30d * n', 'v', 18, 4, 12)} AS annualized_turnover,
-       {_flag(ratio('cogs_30d * n', 'v', 18, 4) + ' < 0.5')} AS turnover_alert_flag
+SELECT *, {_flag('inventory_turnover_rate < 0.5')} AS turnover_alert_flag FROM (
+SELECT *, {ratio('cogs_30d', 'avg_inventory_value_30d', 18, 4)} AS inventory_turnover_rate,
+       {ratio('cogs_30d', 'avg_inventory_value_30d', 18, 4, 12)} AS annualized_turnover FROM (
+SELECT warehouse_id, cogs_30d, {WEEK0} AS week_start_date, {ratio('v', 'n', 18, 4)} AS avg_inventory_value_30d
 FROM (SELECT u.warehouse_id, CAST(sum(p.standard_cost_per_unit * u.units) AS DECIMAL(18,4)) AS cogs_30d
       FROM sold_where_stocked u JOIN products p ON u.sku_id = p.sku_id GROUP BY 1) c
 JOIN (SELECT warehouse_id, CAST(sum(inventory_value) AS DECIMAL(24,2)) AS v, count(inventory_value) AS n FROM stock
-      WHERE snapshot_date >= {AS_OF} - 30 GROUP BY 1) a USING (warehouse_id)""",
+      WHERE snapshot_date >= {AS_OF} - 30 GROUP BY 1) a USING (warehouse_id)))""",
     "kpi_i03": f"""
 SELECT *, {_flag('dsi_days < 10 OR dsi_days > 60')} AS dsi_warn_flag, {_flag('dsi_days < 7')} AS dsi_critical_flag
 FROM (SELECT k.sku_id, k.warehouse_id, units_on_hand, {AS_OF} AS report_date,
