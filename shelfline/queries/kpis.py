@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from shelfline.functions import pct
+from pyspark.sql import functions as F
+
+from shelfline.functions import pct, ratio
 from shelfline.functions.time import week_start
 from shelfline.plans import alerts, extras, kpi_delivery, kpi_production, kpi_sales, kpi_stock
 from shelfline.queries import sqlframes as s
 from shelfline.queries.frames import AS_OF, EVENTS_AS_OF, Frames
 from shelfline.queries.registry import query
-from pyspark.sql import functions as F
+from shelfline.session import settle
 
 _FRAME_QUERIES = {
     "kc_01_daily_revenue": "kc_revenue",
@@ -103,7 +105,10 @@ SELECT {s.ratio('sum(total_acquisition_spend)', 'sum(new_accounts_count)', 18, 4
 
 
 def alert_tables(f: Frames) -> dict:
-    """Every frame the limits refer to."""
+    """Every frame the limits refer to. KPI tables that several limits read are settled
+    first, as they would be stored."""
+    for name in ("kpi_s01", "kpi_s04", "kpi_d01", "kpi_d02", "kpi_d03", "fact_inventory"):
+        setattr(f, name, settle(getattr(f, name), name.replace("_", "-")))
     newest = f.fact_inventory.where(
         F.col("snapshot_date") == f.fact_inventory.agg(F.max("snapshot_date")).scalar())
     category = f.kpi_s02.groupBy("product_category").agg(
@@ -132,7 +137,6 @@ def alert_tables(f: Frames) -> dict:
 
 
 def kpi_ratio(a: str, b: str):
-    from shelfline.functions import ratio
     return ratio(F.sum(a), F.sum(b), 18, 4)
 
 
