@@ -16,6 +16,10 @@ RUNTIME_CONF = {
     # of all rows on one key must not become one task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+# Settings a session takes only when it is built.
+BUILD_CONF = {
     # Plans are built from many small expressions; skip the call-site lookup of each.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -38,7 +42,7 @@ def local_session(app: str = "shelfline", cpus: int | str = "*", shuffle: int =
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle))
     )
-    for name, value in RUNTIME_CONF.items():
+    for name, value in {**RUNTIME_CONF, **BUILD_CONF}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
