@@ -15,6 +15,7 @@ __all__ = ["arrow_session", "documents", "fresh", "in_slices", "mixed", "settle"
 
 # Rows per Arrow batch: documents may be megabytes long, so few are in memory at once.
 BATCH_ROWS = 256
+BATCH_BYTES = 16 << 20
 # Code points looked at in one vectorised step inside a task.
 STEP_CHARS = 1 << 18
 
@@ -23,6 +24,7 @@ def arrow_session(spark: SparkSession) -> SparkSession:
     """The library's runtime settings, with Arrow batches sized for whole documents."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

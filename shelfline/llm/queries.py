@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import chats, langid, licences, line_rules, packing, quality, token_files
+from shelfline.llm import balltree, chats, langid, licences, line_rules, packing, quality, setjoin, token_files
 from shelfline.llm.common import documents, work_dir
 from shelfline.llm.encode import tokenizer_path
 
@@ -88,6 +88,26 @@ FROM hits h WHERE NOT EXISTS (SELECT 1 FROM hits o WHERE o.doc_id = h.doc_id AND
 """
 
 
+def op6_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five best other vectors of every fiftieth vector."""
+    return balltree.top_k(documents(spark, sf_dir, "embeddings"))
+
+
+OP6_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+def op7_similar_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and links of every document among all others."""
+    return setjoin.similar_documents(documents(spark, sf_dir))
+
+
 def op8_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every maximal conversation, rendered."""
     return chats.format_chats(documents(spark, sf_dir, "conversations"))
@@ -113,4 +133,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Check statements of the operators that SQL can express."""
-    return {"op1_line_frequency": OP1_SQL, "op5_licences": _licence_sql(), "op8_chats": chats.SQL}
+    return {"op1_line_frequency": OP1_SQL, "op5_licences": _licence_sql(), "op6_top_k": OP6_SQL, "op8_chats": chats.SQL}
