@@ -110,9 +110,12 @@ def _without_lines(texts: pd.Series, hosts: pd.Series, keys: pd.Series) -> pd.Se
     return pd.Series(out, dtype=object)
 
 
-def apply_verdicts(docs: DataFrame, verdicts: DataFrame, host: str = "source", id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def apply_verdicts(docs: DataFrame, verdicts: DataFrame, host: str = "source", id_column: str = "doc_id", text: str = "text",
+                   length_column: str | None = None) -> DataFrame:
     """The kept documents with their frequent lines removed, all other columns as they were.
 
+    ``length_column`` names a column that follows the text's length.
+
     ``verdicts`` comes from ``judge_documents`` over the same rows. Rows with the same id, host and text
     have the same verdict, so those three columns are the key.
     """
@@ -124,4 +127,6 @@ def apply_verdicts(docs: DataFrame, verdicts: DataFrame, host: str = "source", i
     has = joined.where(F.col(gone).isNotNull())
     none = joined.where(F.col(gone).isNull())
     cleaned = has.withColumn(text, _without_lines(F.col(text), F.col(host).cast("string"), F.col(gone)))
+    if length_column:
+        cleaned = cleaned.withColumn(length_column, F.length(text).cast(docs.schema[length_column].dataType))
     return none.select(docs.columns).unionByName(cleaned.select(docs.columns))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import balltree, chats, langid, licences, line_rules, packing, quality, setjoin, token_files
+from shelfline.llm import balltree, chats, langid, licences, line_rules, mixing, packing, quality, setjoin, token_files
 from shelfline.llm.common import documents, work_dir
 from shelfline.llm.encode import tokenizer_path
 
@@ -63,6 +63,12 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words the mix takes of every document."""
+    return mixing.mix_plan(documents(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+
+
 def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence matches of every document."""
     return licences.scan_licences(documents(spark, sf_dir))

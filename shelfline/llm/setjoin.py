@@ -15,10 +15,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import mixed, settle, text_column
+from shelfline.llm.common import fresh, mixed, settle, text_column
 from shelfline.llm.components import components
 
 THRESHOLD = 0.8
@@ -104,9 +104,9 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sizes.append(len(tokens))
             sketched.append(low.astype("<u4").tobytes())
             short.append(low.astype(np.uint8).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(prints, pa.binary()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(prints, pa.binary()), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()),
                                           pa.array(sketched, pa.binary()), pa.array(short, pa.binary())],
-                                         names=["doc_id", "print", "node", "tokens", "sketch", "short"])
+                                         names=["doc_id", "text_hash", "print", "node", "tokens", "sketch", "short"])
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: int, solve: Callable, least: int = 2048) -> Iterator:
@@ -295,8 +295,30 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     for documents too; a class of NULL ids only has a NULL name. Repeated rows are copies of each other. An
     empty table gives no rows; extra columns are left behind.
     """
+    return classified(docs, threshold, recall, bucket, block, id_column, text).select("doc_id", "class_id", "n_links", "n_copies")
+
+
+def one_of_each_class(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without all but one document of each class: the least id (then the least hash of its text).
+
+    Texts without words are classes of their own and all stay. Of repeated rows one stays.
+    """
+    found = classified(docs, threshold, recall, id_column=id_column, text=text)
+    chosen = found.where("root IS NOT NULL").groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("c"))
+    ident, mark, bare, turn = (fresh(docs, n) for n in ("id", "hash", "bare", "turn"))
+    keep = chosen.select("c.doc_id", "c.text_hash", F.lit(False).alias(bare)).unionByName(
+        found.where("root IS NULL").select("doc_id", "text_hash", F.lit(True).alias(bare)).distinct()).toDF(ident, mark, bare)
+    same = docs[id_column].cast("bigint").eqNullSafe(F.col(ident)) & (F.xxhash64(text_column(docs, text)) == F.col(mark))
+    order = Window.partitionBy(ident, mark).orderBy(mark)
+    return docs.join(keep, same).withColumn(turn, F.row_number().over(order)).where(F.col(bare) | (F.col(turn) == 1)).select(docs.columns)
+
+
+def classified(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, bucket: int = BUCKET, block: int = BLOCK,
+               id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``similar_documents`` with the hash of the text and the class's root set (NULL without words)."""
     named = docs.select(docs[id_column].cast("bigint").alias("doc_id"), text_column(docs, text).alias("text"))
-    sketched = settle(named.mapInArrow(_sketches, "doc_id bigint, print binary, node bigint, tokens bigint, sketch binary, short binary"), "sketches")
+    sketched = settle(named.withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        _sketches, "doc_id bigint, text_hash bigint, print binary, node bigint, tokens bigint, sketch binary, short binary"), "sketches")
     sets = settle(
         sketched.where("print IS NOT NULL").groupBy("print").agg(
             F.min("doc_id").alias("first_id"), F.count("*").alias("copies"), F.first("node").alias("node"),
@@ -328,8 +350,8 @@ def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, recall: flo
     placed = sets.select("print", "first_id", "copies").join(roots, "print", "left").join(links, "print", "left").withColumn(
         "root", F.coalesce("root", "print"))
     names = placed.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    known = placed.join(names, "root").select("print", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+    known = placed.join(names, "root").select("print", "root", "class_id", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
                                               F.col("copies").alias("n_copies"))
-    return sketched.select("doc_id", "print").join(known, "print", "left").select(
-        "doc_id", F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+    return sketched.select("doc_id", "text_hash", "print").join(known, "print", "left").select(
+        "doc_id", "text_hash", "root", F.when(F.col("print").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("n_copies", F.lit(1)).cast("bigint").alias("n_copies"))
