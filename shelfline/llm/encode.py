@@ -13,7 +13,7 @@ import re
 
 import numpy as np
 
-GENERATION = 250_000  # pieces kept in the younger half of the cache; the older half has as many
+GENERATION = 400_000  # pieces kept in the younger half of the cache; the older half has as many
 JOINED = 2_000  # new pieces handed over in one call
 
 GLUE = "\x1f"  # leads a piece that had no space before it

@@ -151,7 +151,7 @@ def learn_quality(measured: DataFrame, labels: DataFrame, fit_rows: int = FIT_RO
         measured.where("doc_id IS NOT NULL").join(marks, "doc_id").withColumn("draw", F.xxhash64("doc_id", F.lit(3)))
         .orderBy("draw", "doc_id", "x").limit(fit_rows).select("doc_id", "x", "y").toPandas().drop_duplicates("doc_id")
     )
-    x = np.array(rows["x"].tolist(), dtype=np.float64).reshape(len(rows), -1)
+    x = np.array(rows["x"].tolist(), dtype=np.float64).reshape(len(rows), len(FEATURES))
     return BoostedTrees.fit(x, rows["y"].to_numpy(np.float64))
 
 
