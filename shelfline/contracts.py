@@ -189,7 +189,6 @@ def lake_config(source_root: str, lake_root: str) -> dict:
             "gold": {t: f"{lake_root}/gold/{t}" for t in gold},
         },
         "thresholds": {"dq_fail_rate_pct": 5.0},
-        "date_spine": {"start_year": 2023, "end_year": 2027},
     }
 
 

@@ -229,7 +229,7 @@ def pair_batches(events: DataFrame) -> DataFrame:
         "batch_id", "_end.*", "batch_start_ts", "end_events")
     status = F.col("qc_status")
     return out.withColumns({
-        "batch_date": F.col("batch_start_ts").cast("date"),
+        "batch_date": as_timestamp("batch_start_ts").cast("date"),
         "batch_key": surrogate_key("batch_id"),
         # Source states such as "completed" are not a verdict.
         "qc_status": F.when(status.isNull() | status.isin(*QC_STATES), status).otherwise("PENDING"),

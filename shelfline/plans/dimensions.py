@@ -9,6 +9,8 @@ from shelfline.functions import date_key, surrogate_key
 
 # Fixed values: (month, day) of the fixed-date holidays.
 HOLIDAYS = ((1, 1), (7, 4), (11, 11), (12, 25))
+# Sales regions and their codes.
+REGION_CODES = (("Northeast", "NE"), ("Southeast", "SE"), ("Midwest", "MW"), ("Southwest", "SW"), ("West", "W"))
 HOLIDAY_NAMES = ("New Year's Day", "Independence Day", "Veterans Day", "Christmas Day")
 
 
@@ -68,6 +70,16 @@ def calendar_of(df: DataFrame, date: str) -> DataFrame:
     return calendar(ends.select(F.explode(span).alias("full_date")))
 
 
+def calendar_over(dated: list[tuple[DataFrame, str]]) -> DataFrame:
+    """Calendar of the whole years that any of the (frame, date column) pairs spans."""
+    ends = None
+    for df, date in dated:
+        own = df.agg(F.min(date).alias("a"), F.max(date).alias("b"))
+        both = own.select(F.explode(F.array("a", "b")).alias("day")).where("day IS NOT NULL")
+        ends = both if ends is None else ends.unionByName(both)
+    return calendar_of(ends, "day")
+
+
 def product_dimension(products: DataFrame) -> DataFrame:
     return products.select(
         surrogate_key("sku_id").alias("product_key"), "sku_id", "product_name", "product_category",
@@ -86,6 +98,14 @@ def warehouse_dimension(warehouses: DataFrame) -> DataFrame:
         "region", "state", "warehouse_type", "capacity_units")
 
 
+def region_code(region: str) -> Column:
+    """The sales region's short code; any other region is its own name in capitals."""
+    code = F.upper(region)
+    for name, short in REGION_CODES:
+        code = F.when(F.col(region) == name, short).otherwise(code)
+    return code
+
+
 def region_dimension(members: DataFrame) -> DataFrame:
     """One row per region with its states, from (region, state) pairs.
 
@@ -95,7 +115,7 @@ def region_dimension(members: DataFrame) -> DataFrame:
     return pairs.groupBy("region").agg(
         F.array_join(F.sort_array(F.collect_set("state")), ",").alias("states_included")).select(
         surrogate_key("region").alias("region_key"),
-        F.upper(F.substring("region", 1, 2)).alias("region_id"),
+        region_code("region").alias("region_id"),
         F.col("region").alias("region_name"), "states_included",
         F.concat(F.col("region"), F.lit(" Territory")).alias("sales_territory"))
 

@@ -130,9 +130,12 @@ def _from(df: DataFrame, date: str, since: str | None) -> DataFrame:
 
 
 def run_dimensions(spark: SparkSession, config: dict) -> dict[str, int]:
-    silver, gold, span = config["tables"]["silver"], config["tables"]["gold"], config["date_spine"]
+    """Dimensions of what is stored; the calendar spans the years of all stored dates."""
+    silver, gold = config["tables"]["silver"], config["tables"]["gold"]
     current = lambda name: sinks.read_current(spark, silver[name])
-    dim_date = dimensions.generate_date_dimension(spark, span["start_year"], span["end_year"])
+    dated = (("sales_transactions", "transaction_date"), ("inventory_stock", "snapshot_date"),
+             ("production_batches", "batch_date"), ("shipments", "ship_date"))
+    dim_date = dimensions.calendar_over([(spark.read.parquet(silver[name]), date) for name, date in dated])
     places = current("warehouses").select(
         "warehouse_id", F.col("name").alias("warehouse_name"), "region", F.lit(None).cast("string").alias("state"),
         F.lit(None).cast("string").alias("warehouse_type"), as_int("capacity_cases").alias("capacity_units"))

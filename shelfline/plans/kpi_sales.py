@@ -59,8 +59,8 @@ def period_comparison(daily: DataFrame, as_of: str) -> DataFrame:
 
 def weekly_margin(sales: DataFrame, returns: DataFrame, products: DataFrame, as_of: str,
                   low_pct: float = 30) -> DataFrame:
-    """Margin per (week, sku) with an alert below ``low_pct``."""
-    lines = net_sale_lines(sales, returns, ["transaction_date"])
+    """Margin per (week, sku) of sales up to ``as_of``, with an alert below ``low_pct``."""
+    lines = net_sale_lines(sales.where(F.col("transaction_date") <= day(as_of)), returns, ["transaction_date"])
     # Weekly sums first: the product join then sees one row per sku and week.
     weekly = lines.groupBy(week_start("transaction_date").alias("week_start_date"), "sku_id").agg(
         F.sum("net_revenue").cast("decimal(18,4)").alias("net_revenue"),

@@ -26,14 +26,15 @@ def stock_levels(stock: DataFrame, reorder: DataFrame, products: DataFrame, as_o
 def _sold_where_stocked(sales: DataFrame, stock: DataFrame, as_of: str, days: int) -> DataFrame:
     """Units sold per (sku, warehouse) over the trailing window.
 
-    A sale counts for every warehouse that stocked the sku that day. Sales are
-    summed per (sku, day) before the join, so a hot sku contributes one row per day.
+    The window is ``days`` before ``as_of`` up to ``as_of``, both days included. A sale
+    counts for every warehouse that stocked the sku that day. Sales are summed per
+    (sku, day) before the join, so a hot sku contributes one row per day.
     """
-    first = F.date_sub(day(as_of), days)
-    sold = (sales.where(F.col("transaction_date") >= first)
+    first, last = F.date_sub(day(as_of), days), day(as_of)
+    sold = (sales.where(F.col("transaction_date").between(first, last))
             .groupBy("sku_id", F.col("transaction_date").alias("snapshot_date"))
             .agg(F.sum("quantity_sold").alias("units")))
-    held = stock.where(F.col("snapshot_date") >= first).select("sku_id", "warehouse_id", "snapshot_date")
+    held = stock.where(F.col("snapshot_date").between(first, last)).select("sku_id", "warehouse_id", "snapshot_date")
     return (sold.join(held, ["sku_id", "snapshot_date"])
             .groupBy("sku_id", "warehouse_id").agg(F.sum("units").alias("units")))
 
@@ -44,7 +45,7 @@ def turnover_30d(sales: DataFrame, stock: DataFrame, products: DataFrame, as_of:
     cost = products.select("sku_id", "standard_cost_per_unit")
     cogs = (_sold_where_stocked(sales, stock, as_of, days).join(cost, "sku_id").groupBy("warehouse_id")
             .agg(F.sum(F.col("standard_cost_per_unit") * F.col("units")).cast("decimal(18,4)").alias("cogs_30d")))
-    value = (stock.where(F.col("snapshot_date") >= F.date_sub(day(as_of), days)).groupBy("warehouse_id")
+    value = (stock.where(F.col("snapshot_date").between(F.date_sub(day(as_of), days), day(as_of))).groupBy("warehouse_id")
              .agg(F.sum("inventory_value").alias("_v"), F.count("inventory_value").alias("_n")))
     kpi = cogs.join(value, "warehouse_id").withColumns({
         "week_start_date": week_start(day(as_of)),
@@ -72,7 +73,7 @@ def days_sales_of_inventory(sales: DataFrame, stock: DataFrame, as_of: str, days
     })
 
 
-def reorder_alerts(fact_inventory: DataFrame) -> DataFrame:
-    """Positions at or below their reorder point on the newest snapshot day."""
-    newest = fact_inventory.agg(F.max("snapshot_date")).scalar()
+def reorder_alerts(fact_inventory: DataFrame, as_of: str) -> DataFrame:
+    """Positions at or below their reorder point on the newest snapshot day up to ``as_of``."""
+    newest = fact_inventory.where(F.col("snapshot_date") <= day(as_of)).agg(F.max("snapshot_date")).scalar()
     return fact_inventory.where(F.col("snapshot_date") == newest).where("reorder_alert_flag")

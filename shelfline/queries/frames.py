@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.functions import surrogate_key
-from shelfline.session import spread
 from shelfline.plans import (
     conform, dimensions, facts, kpi_accounts, kpi_core, kpi_delivery, kpi_production, kpi_sales,
     kpi_stock,
@@ -42,9 +41,6 @@ SCHEMAS = {
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
 }
 
-# Join key of the large tables.
-SPREAD_BY = {"lineitem": "l_orderkey", "events": "event_id"}
-
 
 def channel_of(key: str) -> Column:
     return (F.when(F.col(key) % 3 == 0, "Retail").when(F.col(key) % 3 == 1, "Wholesale")
@@ -63,7 +59,7 @@ class Frames:
         self.dir = sf_dir.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return spread(self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet"), SPREAD_BY.get(name))
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")
 
     @cached_property
     def regions(self) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import pct, ratio
 from shelfline.functions.time import week_start
-from shelfline.plans import alerts, extras, kpi_delivery, kpi_production, kpi_sales, kpi_stock
+from shelfline.plans import alerts, extras, kpi_delivery, kpi_production, kpi_sales, kpi_stock, reports
 from shelfline.queries import sqlframes as s
 from shelfline.queries.frames import AS_OF, EVENTS_AS_OF, Frames
 from shelfline.queries.registry import query
@@ -55,11 +55,11 @@ def year_over_year(f: Frames):
                             "yoy_pct_change", "data_as_of")
 
 
-@query("kpi_i04_reorder_alert", """
-SELECT * FROM fact_inventory WHERE snapshot_date = (SELECT max(snapshot_date) FROM fact_inventory)
+@query("kpi_i04_reorder_alert", f"""
+SELECT * FROM fact_inventory WHERE snapshot_date = (SELECT max(snapshot_date) FROM fact_inventory WHERE snapshot_date <= {s.AS_OF})
 AND reorder_alert_flag""")
 def reorder_alert(f: Frames):
-    return kpi_stock.reorder_alerts(f.fact_inventory)
+    return kpi_stock.reorder_alerts(f.fact_inventory, AS_OF)
 
 
 # --- company-wide helpers used by the alert limits ---------------------------
@@ -76,9 +76,9 @@ SELECT sum(current_month_revenue) AS c, sum(prior_month_revenue) AS p, sum(curre
     "company_margin": f"""
 SELECT week_start_date, {s.pct('sum(gross_margin_amount)', 'sum(net_revenue)', 18, 4)} AS gross_margin_pct
 FROM kpi_s04 GROUP BY 1""",
-    "reorder_count": """
+    "reorder_count": f"""
 SELECT count(*) FILTER (reorder_alert_flag) AS open_alerts, count(*) FILTER (units_on_hand = 0) AS stockouts
-FROM fact_inventory WHERE snapshot_date = (SELECT max(snapshot_date) FROM fact_inventory)""",
+FROM fact_inventory WHERE snapshot_date = (SELECT max(snapshot_date) FROM fact_inventory WHERE snapshot_date <= {s.AS_OF})""",
     "trace_share": "SELECT max(traceability_pct) AS traceability_pct FROM kpi_p04",
     "rolling_otd": f"""
 SELECT *, {s.pct('on_time_7d', 'total_7d')} AS otd_7d_pct FROM (
@@ -109,8 +109,7 @@ def alert_tables(f: Frames) -> dict:
     first, as they would be stored."""
     for name in ("kpi_s01", "kpi_s04", "kpi_d01", "kpi_d02", "kpi_d03", "fact_inventory"):
         setattr(f, name, settle(getattr(f, name), name.replace("_", "-")))
-    newest = f.fact_inventory.where(
-        F.col("snapshot_date") == f.fact_inventory.agg(F.max("snapshot_date")).scalar())
+    newest = f.fact_inventory.where(F.col("snapshot_date") == reports.newest_day(f.fact_inventory, "snapshot_date", AS_OF))
     category = f.kpi_s02.groupBy("product_category").agg(
         F.sum("current_month_revenue").alias("c"), F.sum("prior_month_revenue").alias("p"))
     plain = ("kpi_s04", "kpi_i01", "kpi_i02", "kpi_i03", "kpi_p01", "kpi_p02", "kpi_p03", "kpi_d01",
@@ -282,4 +281,4 @@ SELECT (SELECT CAST(coalesce(sum(net_revenue), 0) AS DECIMAL(18,2)) FROM company
 def morning_brief(f: Frames):
     return extras.morning_brief(
         kpi_sales.company_daily(f.kpi_s01), kpi_delivery.rolling_on_time(f.kpi_d01),
-        kpi_stock.reorder_alerts(f.fact_inventory), f.kc_yield, f.kpi_c01, AS_OF, EVENTS_AS_OF)
+        kpi_stock.reorder_alerts(f.fact_inventory, AS_OF), f.kc_yield, f.kpi_c01, AS_OF, EVENTS_AS_OF)

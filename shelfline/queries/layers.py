@@ -635,7 +635,7 @@ def dim_warehouse(f: Frames):
 
 
 @query("dim_05_region", f"""
-SELECT {s.key('region')} AS region_key, upper(substr(region, 1, 2)) AS region_id, region AS region_name,
+SELECT {s.key('region')} AS region_key, upper(region) AS region_id, region AS region_name,
        string_agg(DISTINCT state, ',' ORDER BY state) AS states_included, region || ' Territory' AS sales_territory
 FROM account_feed GROUP BY region""")
 def dim_region(f: Frames):

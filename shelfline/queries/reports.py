@@ -7,7 +7,7 @@ from shelfline.queries import sqlframes as s
 from shelfline.queries.frames import AS_OF, EVENTS_AS_OF, Frames
 from shelfline.queries.registry import ORACLES, PLANS, query
 
-SINCE = f"{s.AS_OF} - 30"
+WINDOW = f"BETWEEN {s.AS_OF} - 30 AND {s.AS_OF}"
 
 s.FRAMES["newest_positions"] = f"""
 SELECT * FROM fact_inventory WHERE snapshot_date = (SELECT max(snapshot_date) FROM fact_inventory WHERE snapshot_date <= {s.AS_OF})"""
@@ -18,7 +18,7 @@ SELECT report_date, product_category, CAST(sum(total_revenue) AS DECIMAL(18,2))
        CAST(sum(total_gross_margin) AS DECIMAL(18,2)) AS total_gross_margin,
        {s.ratio('sum(gross_margin_pct)', 'count(gross_margin_pct)', 10, 6)} AS avg_margin_pct,
        CAST(sum(units_sold) AS BIGINT) AS units_sold, CAST(sum(transaction_count) AS BIGINT) AS transaction_count
-FROM kc_revenue WHERE report_date >= {SINCE} AND product_category IS NOT NULL
+FROM kc_revenue WHERE report_date {WINDOW} AND product_category IS NOT NULL
 GROUP BY 1, 2 ORDER BY report_date DESC, total_revenue DESC""")
 def revenue_by_category(f: Frames):
     return reports.revenue_by_category(f.kc_revenue, AS_OF)
@@ -27,7 +27,7 @@ def revenue_by_category(f: Frames):
 @query("rpt_02_revenue_by_region", f"""
 SELECT report_date, region, CAST(sum(total_revenue) AS DECIMAL(18,2)) AS total_revenue,
        CAST(sum(total_gross_margin) AS DECIMAL(18,2)) AS total_gross_margin, CAST(sum(units_sold) AS BIGINT) AS units_sold
-FROM kc_revenue WHERE report_date >= {SINCE} AND region IS NOT NULL AND region <> ''
+FROM kc_revenue WHERE report_date {WINDOW} AND region IS NOT NULL AND region <> ''
 GROUP BY 1, 2 ORDER BY report_date DESC, region""")
 def revenue_by_region(f: Frames):
     return reports.revenue_by_region(f.kc_revenue, AS_OF)
@@ -35,7 +35,7 @@ def revenue_by_region(f: Frames):
 
 @query("rpt_03_turnover_by_warehouse", """
 SELECT report_month, warehouse_key, avg_inventory_value, total_cogs, inventory_turnover_rate,
-       days_inventory_outstanding, total_units_on_hand FROM kc_turnover WHERE report_month >= '2001-04'""")
+       days_inventory_outstanding, total_units_on_hand FROM kc_turnover WHERE report_month BETWEEN '2001-04' AND '2001-07'""")
 def turnover_by_warehouse(f: Frames):
     return reports.turnover_by_warehouse(f.kc_turnover, AS_OF)
 
@@ -43,7 +43,7 @@ def turnover_by_warehouse(f: Frames):
 @query("rpt_04_yield_by_line", """
 SELECT report_date, production_line_id, batch_count, avg_yield_rate_pct, min_yield_rate_pct, max_yield_rate_pct,
        overall_yield_pct, qc_pass_rate_pct, total_downtime_hours, total_expected_units, total_actual_units
-FROM kc_yield WHERE report_date >= DATE '2024-01-30' - 30""")
+FROM kc_yield WHERE report_date BETWEEN DATE '2024-01-30' - 30 AND DATE '2024-01-30'""")
 def yield_by_line(f: Frames):
     return reports.yield_by_line(f.kc_yield, EVENTS_AS_OF)
 
@@ -51,7 +51,7 @@ def yield_by_line(f: Frames):
 @query("rpt_05_fulfillment_by_channel", f"""
 SELECT report_date, channel, region, total_shipments, on_time_count, fully_shipped_count, on_time_delivery_pct,
        fulfillment_rate_pct, total_cases_delivered, total_logistics_cost, avg_logistics_cost_per_shipment
-FROM kc_fulfillment WHERE report_date >= {SINCE} AND channel IS NOT NULL AND channel <> ''""")
+FROM kc_fulfillment WHERE report_date {WINDOW} AND channel IS NOT NULL AND channel <> ''""")
 def fulfillment_by_channel(f: Frames):
     return reports.fulfillment_by_channel(f.kc_fulfillment, AS_OF)
 
@@ -61,19 +61,19 @@ SELECT *, {s.pct('total_gross_margin', 'total_revenue', 18, 2)} AS gross_margin_
 SELECT p.sku_id, p.product_name, p.product_category, p.price_tier, CAST(sum(net_revenue) AS DECIMAL(18,2)) AS total_revenue,
        CAST(sum(cogs) AS DECIMAL(18,2)) AS total_cogs, CAST(sum(gross_margin_amount) AS DECIMAL(18,2)) AS total_gross_margin,
        CAST(sum(quantity_sold) AS BIGINT) AS units_sold
-FROM fact_sales f JOIN products p ON f.sku_id = p.sku_id WHERE transaction_date >= {SINCE} GROUP BY 1, 2, 3, 4)
+FROM fact_sales f JOIN products p ON f.sku_id = p.sku_id WHERE transaction_date {WINDOW} GROUP BY 1, 2, 3, 4)
 ORDER BY total_gross_margin DESC, sku_id LIMIT 20""")
 def margin_by_sku(f: Frames):
     return reports.margin_by_sku(f.fact_sales, f.products, AS_OF)
 
 
-@query("rpt_07_reorder_status", """
+@query("rpt_07_reorder_status", f"""
 SELECT snapshot_date, warehouse_key, product_key, units_on_hand, reorder_point_units, inventory_value, dsi_days,
        reorder_alert_flag, CASE WHEN units_on_hand = 0 THEN 'OUT_OF_STOCK' WHEN reorder_alert_flag THEN 'REORDER_REQUIRED'
        ELSE 'OK' END AS stock_status
-FROM fact_inventory WHERE snapshot_date = (SELECT max(snapshot_date) FROM fact_inventory)""")
+FROM fact_inventory WHERE snapshot_date = (SELECT max(snapshot_date) FROM fact_inventory WHERE snapshot_date <= {s.AS_OF})""")
 def reorder_status(f: Frames):
-    return reports.reorder_status(f.fact_inventory)
+    return reports.reorder_status(f.fact_inventory, AS_OF)
 
 
 @query("rpt_08_month_cards", f"""
@@ -94,7 +94,7 @@ SELECT retailer_name, retail_segment, c.region, c.channel, CAST(sum(net_revenue)
        count(DISTINCT transaction_key) AS transaction_count,
        {s.ratio('sum(net_revenue)', 'count(net_revenue)', 18, 2)} AS avg_transaction_value
 FROM fact_sales f JOIN customers c ON f.customer_key = c.surrogate_key AND c.is_current
-WHERE transaction_date >= {SINCE} GROUP BY 1, 2, 3, 4 ORDER BY total_revenue DESC, 1, 2, 3, 4 LIMIT 10""")
+WHERE transaction_date {WINDOW} GROUP BY 1, 2, 3, 4 ORDER BY total_revenue DESC, 1, 2, 3, 4 LIMIT 10""")
 def top_customers(f: Frames):
     return reports.top_customers(f.fact_sales, f.customers, AS_OF)
 

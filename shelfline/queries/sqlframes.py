@@ -325,7 +325,7 @@ FROM (SELECT *, {pct('gross_margin_amount', 'net_revenue', 18, 4)} AS gross_marg
     SELECT {monday('transaction_date')} AS week_start_date, l.sku_id, product_category, product_name,
            CAST(sum(net_revenue) AS DECIMAL(18,4)) AS net_revenue, CAST(sum(units_sold) AS BIGINT) AS units_sold,
            CAST(sum(standard_cost_per_unit * units_sold) AS DECIMAL(18,4)) AS cogs
-    FROM net_lines l JOIN products p ON l.sku_id = p.sku_id GROUP BY ALL)))""",
+    FROM net_lines l JOIN products p ON l.sku_id = p.sku_id WHERE transaction_date <= {AS_OF} GROUP BY ALL)))""",
     "kpi_i01": f"""
 SELECT s.sku_id, s.warehouse_id, snapshot_date, units_on_hand, inventory_value, r.reorder_point_units, product_name,
        product_category, {key('snapshot_date', 's.sku_id', 's.warehouse_id')} AS stock_level_key,
@@ -336,7 +336,7 @@ JOIN products p ON s.sku_id = p.sku_id WHERE snapshot_date = {AS_OF}""",
     "sold_where_stocked": f"""
 SELECT s.sku_id, k.warehouse_id, sum(s.quantity_sold) AS units FROM sale_lines s
 JOIN stock k ON s.sku_id = k.sku_id AND s.transaction_date = k.snapshot_date
-WHERE s.transaction_date >= {AS_OF} - 30 GROUP BY 1, 2""",
+WHERE s.transaction_date BETWEEN {AS_OF} - 30 AND {AS_OF} GROUP BY 1, 2""",
     "kpi_i02": f"""
 SELECT *, {_flag('inventory_turnover_rate < 0.5')} AS turnover_alert_flag FROM (
 SELECT *, {ratio('cogs_30d', 'avg_inventory_value_30d', 18, 4)} AS inventory_turnover_rate,
@@ -345,7 +345,7 @@ SELECT warehouse_id, cogs_30d, {WEEK0} AS week_start_date, {ratio('v', 'n', 18,
 FROM (SELECT u.warehouse_id, CAST(sum(p.standard_cost_per_unit * u.units) AS DECIMAL(18,4)) AS cogs_30d
       FROM sold_where_stocked u JOIN products p ON u.sku_id = p.sku_id GROUP BY 1) c
 JOIN (SELECT warehouse_id, CAST(sum(inventory_value) AS DECIMAL(24,2)) AS v, count(inventory_value) AS n FROM stock
-      WHERE snapshot_date >= {AS_OF} - 30 GROUP BY 1) a USING (warehouse_id)))""",
+      WHERE snapshot_date BETWEEN {AS_OF} - 30 AND {AS_OF} GROUP BY 1) a USING (warehouse_id)))""",
     "kpi_i03": f"""
 SELECT *, {_flag('dsi_days < 10 OR dsi_days > 60')} AS dsi_warn_flag, {_flag('dsi_days < 7')} AS dsi_critical_flag
 FROM (SELECT k.sku_id, k.warehouse_id, units_on_hand, {AS_OF} AS report_date,

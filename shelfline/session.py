@@ -49,18 +49,6 @@ def local_session(app: str = "shelfline", cpus: int | str = "*", shuffle: int =
     return spark
 
 
-def spread(df: DataFrame, key: str | None) -> DataFrame:
-    """Give a table stored in fewer pieces than there are cores to all cores, once.
-
-    Row groups bound the splits of a scan: one small file would run every following
-    map step in one task. Tables with enough splits, as on a cluster, are unchanged.
-    """
-    if key is None:
-        return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
-
-
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 
@@ -70,7 +58,8 @@ def work_dir(spark: SparkSession, label: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/shelfline/{label}-{uuid.uuid4().hex[:12]}"
-    if spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master.startswith("local") and not master.startswith("local-cluster"):
         return tempfile.mkdtemp(prefix=f"shelfline-{label}-")
     raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
 

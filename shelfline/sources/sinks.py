@@ -111,6 +111,13 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
     return rows
 
 
+def drop_partitions(spark: SparkSession, root: str, parts: DataFrame) -> None:
+    """Delete whole partitions, listed by their column values: a few names, no rows."""
+    for row in parts.collect():
+        fs, hadoop, _ = _folder(spark, "/".join([root, *(f"{k}={v}" for k, v in row.asDict().items())]))
+        fs.delete(hadoop, True)
+
+
 def append_epoch(df: DataFrame, root: str, epoch: int) -> None:
     """Store the rows a micro-batch changed under its epoch.
 

@@ -15,10 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfline.contracts import EVENT_SCHEMA
 from shelfline.operators.dedup import latest_per_key
 from shelfline.plans import conform, ingest, kpi_production
+from shelfline.session import settle
 from shelfline.sources import sinks
 
-# Fixed value: the freshness limit of production data bounds how late an event may be.
-LATE = "15 minutes"
+# Streaming tables are laid out by a hash of their key, so that a micro-batch reads only the
+# part of the stored events that its keys can be in.
+BUCKET = "key_bucket"
+BUCKETS = 64
 
 
 def read_events(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA,
@@ -42,14 +45,33 @@ def land(events: DataFrame, path: str, checkpoint: str, batch_id: str, source: s
             .option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def without_repeats(events: DataFrame, late: str = LATE) -> DataFrame:
-    """First arrival of every event id; state older than the watermark is dropped."""
-    return typed_time(events).withWatermark("event_timestamp", late).dropDuplicatesWithinWatermark(["event_id"])
+def append_unseen_events(events: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
+    """Store every event id once, however late its repeat comes.
 
+    Ids already stored are looked up in the buckets the micro-batch touches, so no state has
+    to be kept and no late event is lost; a replayed epoch replaces its own rows.
+    """
+
+    def apply(micro: DataFrame, epoch: int) -> None:
+        if micro.isEmpty():
+            return
+        fresh = latest_per_key(bucketed(micro, "event_id"), ["event_id"], [])
+        spark = micro.sparkSession
+        if sinks.exists(spark, root):
+            known = touched_part(spark.read.parquet(root).where(F.col("epoch") != epoch), fresh)
+            fresh = fresh.join(known.select("event_id"), "event_id", "left_anti")
+        sinks.overwrite_partitions(fresh.withColumn("epoch", F.lit(epoch)), root, [BUCKET, "epoch"])
 
-def daily_stoppages(events: DataFrame, late: str = LATE) -> DataFrame:
-    """Unplanned stoppages per line and day as tumbling windows."""
-    down = typed_time(events).where("event_type = 'DOWNTIME_UNPLANNED'").withWatermark("event_timestamp", late)
+    return (events.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def daily_stoppages(events: DataFrame) -> DataFrame:
+    """Unplanned stoppages per line and day as tumbling windows.
+
+    No watermark: the state is one counter per line and day, and a late event still counts.
+    """
+    down = typed_time(events).where("event_type = 'DOWNTIME_UNPLANNED'")
     return (down.groupBy(F.window("event_timestamp", "1 day").alias("w"), "production_line_id")
             .agg(F.count("*").alias("stoppages"))
             .select(F.to_date("w.start").alias("event_date"), "production_line_id", "stoppages"))
@@ -66,25 +88,48 @@ def keep_updates(rows: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
-def rebuild_touched(micro: DataFrame, epoch: int, raw_path: str, lookback_days: int = 7) -> DataFrame:
+def rebuild_touched(micro: DataFrame, epoch: int, raw_path: str) -> DataFrame:
     """Store a micro-batch and rebuild the batches it touched from everything stored.
 
-    Late end or check events simply rebuild their batch. Storage is partitioned by
-    event date and epoch: only the days a batch can reach back to are read, and a
+    Late end or check events simply rebuild their batch, whatever their age. Storage is
+    partitioned by a hash of the batch and by epoch: only the hashes touched are read, and a
     replayed micro-batch overwrites its own partitions, so a retry stores nothing twice.
     """
     spark = micro.sparkSession
-    dated = micro.withColumn("event_date", F.col("event_timestamp").try_cast("timestamp").cast("date"))
-    sinks.overwrite_partitions(dated.withColumn("epoch", F.lit(epoch)), raw_path, ["event_date", "epoch"])
+    sinks.overwrite_partitions(bucketed(micro, "batch_id").withColumn("epoch", F.lit(epoch)), raw_path, [BUCKET, "epoch"])
     stored = spark.read.parquet(raw_path)
-    now = stored.where(F.col("epoch") == epoch)
-    oldest = now.agg(F.date_sub(F.min("event_date"), lookback_days)).first()[0]
-    recent = stored.where(F.col("event_date") >= oldest) if oldest else stored
-    touched = now.where("batch_id IS NOT NULL").select("batch_id").distinct()
-    events = recent.drop("epoch", "event_date").join(touched, "batch_id", "left_semi")
+    touched = stored.where((F.col("epoch") == epoch) & F.col("batch_id").isNotNull()).select(BUCKET, "batch_id").distinct()
+    events = touched_part(stored, touched).drop("epoch", BUCKET).join(touched.select("batch_id"), "batch_id", "left_semi")
     return conform.conform_batches(latest_per_key(events, ["event_id"], []))
 
 
+def bucketed(rows: DataFrame, key: str) -> DataFrame:
+    """Rows with the storage bucket of their key; NULL keys share one."""
+    return rows.withColumn(BUCKET, F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int"))
+
+
+def touched_part(stored: DataFrame, rows: DataFrame) -> DataFrame:
+    """Stored rows of the buckets that ``rows`` use: a list of ``BUCKETS`` numbers at most."""
+    used = [r[0] for r in rows.select(BUCKET).distinct().collect()]
+    return stored.where(F.col(BUCKET).isin(used))
+
+
+def compact_events(spark: SparkSession, root: str, before_epoch: int) -> int:
+    """Fold all epochs below ``before_epoch`` into one, bucket by bucket; returns the rows rewritten.
+
+    The folded rows are written first under the highest folded epoch; the emptied epochs go
+    last, and readers drop what they would see twice in between by its event id.
+    """
+    old = spark.read.parquet(root).where(F.col("epoch") < before_epoch)
+    into = old.agg(F.max("epoch")).first()[0]
+    if into is None:
+        return 0
+    folded = settle(latest_per_key(old, ["event_id"], ["epoch"]).withColumn("epoch", F.lit(into)).repartition(BUCKET), "compact")
+    rows = sinks.overwrite_partitions(folded, root, [BUCKET, "epoch"])
+    sinks.drop_partitions(spark, root, old.where(F.col("epoch") != into).select(BUCKET, "epoch").distinct())
+    return rows
+
+
 def upsert_batches(events: DataFrame, raw_path: str, table_root: str, checkpoint: str) -> StreamingQuery:
     """Assemble batches as their events arrive; read the table with ``sinks.latest_rows``."""
 

@@ -134,3 +134,30 @@ def test_layers_end_to_end(spark, tmp_path):
     before = sorted(map(str, spark.read.parquet(gold["kpi_daily_revenue"]).collect()))
     jobs.run_gold(spark, config, since="2025-03-01")
     assert sorted(map(str, spark.read.parquet(gold["kpi_daily_revenue"]).collect())) == before
+
+
+def test_stream_equals_batch_across_any_gap(spark, tmp_path):
+    """A start nine days before its end, and a stamp that does not parse."""
+    rows = [("e1", "b1", "BATCH_START", "2025-01-01 00:00:00", "100", None, None), ("e7", "b3", "BATCH_START", "sometime", "10", None, None),
+            ("e2", "b1", "BATCH_END", "2025-01-10 08:00:00", "100", "95", "completed"), ("e8", "b3", "BATCH_END", "2025-01-10 09:00:00", "10", "10", "completed")]
+    drop, raw, table, ckpt = (str(tmp_path / n) for n in ("drop", "raw", "table", "ckpt"))
+    for i, part in enumerate((rows[:2], rows[2:])):
+        write(tmp_path / "drop" / f"{i}.json", as_json(part))
+        st.upsert_batches(st.read_events(spark, drop), raw, table, ckpt).awaitTermination()
+    cols = ["batch_id", "batch_start_ts", "batch_date", "yield_rate_pct", "end_events"]
+    got = sorted(map(str, sinks.latest_rows(spark, table, ["batch_id"]).select(cols).collect()))
+    want = sorted(map(str, conform.conform_batches(files.read_ndjson(spark, drop, c.EVENT_SCHEMA)).select(cols).collect()))
+    assert got == want and "2025, 1, 1" in got[0]
+    before = sorted(map(str, spark.read.parquet(raw).drop("epoch").collect()))
+    assert st.compact_events(spark, raw, 100) == 4
+    assert sorted(map(str, spark.read.parquet(raw).drop("epoch").collect())) == before
+    assert spark.read.parquet(raw).select("epoch").distinct().count() == 1
+
+
+def test_late_events_are_stored_once(spark, tmp_path):
+    drop, root, ckpt = (str(tmp_path / n) for n in ("drop", "once", "ckpt"))
+    late = ("e0", "b0", "QC_CHECK", "2024-01-01 00:00:00", None, None, "PASS")
+    for i, part in enumerate((EVENTS[:4], [late, EVENTS[0], EVENTS[0]] + EVENTS[4:])):
+        write(tmp_path / "drop" / f"{i}.json", as_json(part))
+        st.append_unseen_events(st.read_events(spark, drop), root, ckpt).awaitTermination()
+    assert sorted(r.event_id for r in spark.read.parquet(root).select("event_id").collect()) == ["e0", "e1", "e2", "e3", "e4", "e5", "e6"]

@@ -140,3 +140,34 @@ def test_rank_within_population(spark):
 def test_keys_tell_null_from_empty(spark):
     df = spark.createDataFrame([(None, "b"), ("", "b"), ("a", "b")], "x string, y string")
     assert df.select(surrogate_key("x", "y").alias("k")).distinct().count() == 3
+
+
+def test_windows_end_at_as_of(spark):
+    """Rows after ``as_of`` change nothing."""
+    from shelfline.plans import kpi_stock, reports
+
+    def stock_of(days):
+        return spark.createDataFrame([("s", "w", day(2025, 1, d), 100, D("50.00")) for d in days],
+                                     "sku_id string, warehouse_id string, snapshot_date date, units_on_hand int, inventory_value decimal(14,2)")
+
+    def sales_of(days):
+        return spark.createDataFrame([("s", day(2025, 1, d), 3) for d in days], "sku_id string, transaction_date date, quantity_sold int")
+
+    products = spark.createDataFrame([("s", D("2.00"))], "sku_id string, standard_cost_per_unit decimal(10,2)")
+    for kpi in (lambda days: kpi_stock.turnover_30d(sales_of(days), stock_of(days), products, "2025-01-20"),
+                lambda days: kpi_stock.days_sales_of_inventory(sales_of(days), stock_of(days), "2025-01-20")):
+        assert list(map(str, kpi(range(1, 21)).collect())) == list(map(str, kpi(range(1, 32)).collect()))
+    fact = spark.createDataFrame([(day(2025, 1, d), 1, 1, 0, 5, D("1.00"), D("1.0"), d % 2 == 0) for d in (19, 20, 25)],
+                                 "snapshot_date date, warehouse_key bigint, product_key bigint, units_on_hand int, reorder_point_units int, "
+                                 "inventory_value decimal(14,2), dsi_days decimal(8,1), reorder_alert_flag boolean")
+    assert [r.snapshot_date for r in reports.reorder_status(fact, "2025-01-20").collect()] == [day(2025, 1, 20)]
+    assert [r.snapshot_date for r in kpi_stock.reorder_alerts(fact, "2025-01-22").collect()] == [day(2025, 1, 20)]
+
+
+def test_calendar_follows_the_data_and_region_codes_differ(spark):
+    dates = spark.createDataFrame([(day(2019, 5, 1),), (day(2021, 2, 3),), (None,)], "d date")
+    late = spark.createDataFrame([(day(2022, 7, 1),)], "d date")
+    span = dimensions.calendar_over([(dates, "d"), (late, "d"), (late.limit(0), "d")])
+    assert span.count() == 365 + 366 + 365 + 365
+    regions = spark.createDataFrame([(r, "x") for r in ("Northeast", "Southeast", "Midwest", "Southwest", "West", "ASIA")], "region string, state string")
+    assert sorted(r.region_id for r in dimensions.region_dimension(regions).collect()) == ["ASIA", "MW", "NE", "SE", "SW", "W"]
