@@ -174,11 +174,11 @@ def lake_config(source_root: str, lake_root: str) -> dict:
     """Where feeds are read from and tables are written to."""
     feeds = {"erp": "erp", "pos": "pos", "production": "production", "logistics": "logistics"}
     raw = ("pos_transactions", "erp_sales", "erp_returns", "erp_inventory", "iot_sensor_events",
-           "logistics_shipments", "erp_customers", "erp_products", "erp_warehouses")
+           "logistics_shipments", "erp_customers", "erp_products", "erp_warehouses", "malformed_lines")
     conformed = ("sales_transactions", "sales_returns", "sales_spend", "inventory_stock",
                  "ref_reorder_points", "production_batches", "production_events", "shipments",
                  "customers", "products", "warehouses", "dq_rejected_records", "pipeline_monitoring")
-    gold = ("dim_date", "dim_product", "dim_customer", "dim_warehouse", "fact_sales", "fact_inventory",
+    gold = ("dim_date", "dim_product", "dim_customer", "dim_warehouse", "dim_region", "dim_channel", "fact_sales", "fact_inventory",
             "fact_production", "fact_shipment", "kpi_daily_revenue", "kpi_inv_turnover", "kpi_prod_yield",
             "kpi_fulfillment")
     return {

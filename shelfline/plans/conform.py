@@ -68,6 +68,25 @@ SALES_OUTPUT_RULES = (
 )
 
 
+def shape_sales(present: DataFrame, run_ts: str | None = None) -> DataFrame:
+    """Typed sale lines, the latest of each position of a receipt.
+
+    Unlike ``deduplicate_transactions``, a product named twice on a receipt stays two lines.
+    """
+    typed = cast_and_validate_sales_transactions(present, run_ts).withColumn(
+        "transaction_key", surrogate_key("transaction_id", "line_no", "sku_id"))
+    return compute_net_line_amount(latest_per_key(typed, ["transaction_id", "line_no", "sku_id"], ["_ingested_at"]))
+
+
+def erp_sale_lines(raw: DataFrame) -> DataFrame:
+    """Invoice lines in the shape of raw sale lines; the order line is the position."""
+    return raw.select(
+        F.col("order_id").alias("transaction_id"), F.col("order_line_id").alias("line_no"), "retailer_id", "sku_id",
+        F.col("quantity_shipped").alias("quantity"), F.col("invoice_price").alias("unit_price"), "discount_pct",
+        F.col("order_date").alias("transaction_timestamp"), F.when(F.col("channel") != "", F.col("channel")).alias("channel"),
+        "region", "state", "_ingested_at", "_batch_id")
+
+
 def conform_sales(raw: DataFrame, run_ts: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Raw sale lines to (valid conformed rows, rejected conformed rows)."""
     present = q.clean_rows(q.tag(raw, SALES_INPUT_RULES))
@@ -92,10 +111,22 @@ RETURN_RULES = (
 )
 
 
+def cast_returns(raw: DataFrame) -> DataFrame:
+    """Type the raw text columns of returns, the latest row of each."""
+    typed = raw.withColumns({
+        "quantity_returned": as_int("quantity_returned"), "return_amount": as_decimal("return_amount", 14, 2),
+        "return_date": as_date("return_date")})
+    return latest_per_key(typed, ["return_id"], ["return_date"])
+
+
 def conform_returns(typed: DataFrame, sales: DataFrame) -> DataFrame:
     """Latest valid row per return, with reason and orphan flags."""
     newest = latest_per_key(typed, ["return_id"], ["return_date"])
-    valid = q.clean_rows(q.tag(newest, RETURN_RULES))
+    return link_returns(q.clean_rows(q.tag(newest, RETURN_RULES)), sales)
+
+
+def link_returns(valid: DataFrame, sales: DataFrame) -> DataFrame:
+    """Valid returns with their key and whether their receipt is unknown."""
     known = sales.select("transaction_id").distinct().withColumn("_known", F.lit(True))
     return (valid.join(known, "transaction_id", "left")
             .withColumn("is_orphan", F.col("transaction_id").isNotNull() & F.col("_known").isNull())
@@ -111,15 +142,19 @@ SPEND_RULES = (
 )
 
 
-def conform_spend(feed: DataFrame) -> DataFrame:
-    """Spend per retailer and period, with the three parts added up."""
+def total_spend(feed: DataFrame) -> DataFrame:
+    """The three parts of spend added up, with the key."""
     total = (F.col("trade_spend_usd") + F.col("broker_commission_usd")
              + F.col("field_sales_cost_usd")).cast("decimal(14,4)")
-    out = feed.withColumns({
+    return feed.withColumns({
         "total_acquisition_cost_usd": total,
         "spend_key": surrogate_key("retailer_id", "period_start_date"),
     })
-    return q.clean_rows(q.tag(out, SPEND_RULES))
+
+
+def conform_spend(feed: DataFrame) -> DataFrame:
+    """Valid spend per retailer and period."""
+    return q.clean_rows(q.tag(total_spend(feed), SPEND_RULES))
 
 
 # --- inventory -------------------------------------------------------------
@@ -162,19 +197,22 @@ STOCK_OUTPUT_RULES = (
 )
 
 
-def conform_stock(raw: DataFrame, products: DataFrame | None = None,
-                  run_ts: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Raw snapshots to (valid stock, rejected stock)."""
-    present = q.clean_rows(q.tag(raw, STOCK_INPUT_RULES))
+def shape_stock(present: DataFrame, products: DataFrame | None = None, run_ts: str | None = None) -> DataFrame:
+    """Typed and valued stock, the latest row of each position and day."""
     newest = latest_per_key(present, ["warehouse_id", "sku_id", "snapshot_date"], ["_ingested_at"])
     typed = cast_inventory_columns(newest, run_ts)
     if products is not None:
         typed = fill_cost(typed, products)
-    valued = compute_days_of_supply(compute_inventory_value(typed)).withColumns({
+    return compute_days_of_supply(compute_inventory_value(typed)).withColumns({
         "units_available": F.col("units_on_hand") - F.coalesce("units_reserved", F.lit(0)),
         "stock_key": surrogate_key("warehouse_id", "sku_id", "snapshot_date"),
     })
-    tagged = q.tag(valued, STOCK_OUTPUT_RULES)
+
+
+def conform_stock(raw: DataFrame, products: DataFrame | None = None,
+                  run_ts: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Raw snapshots to (valid stock, rejected stock)."""
+    tagged = q.tag(shape_stock(q.clean_rows(q.tag(raw, STOCK_INPUT_RULES)), products, run_ts), STOCK_OUTPUT_RULES)
     return q.clean_rows(tagged), q.rejected_rows(tagged, STOCK_OUTPUT_RULES)
 
 
@@ -259,16 +297,20 @@ def conform_events(events: DataFrame) -> DataFrame:
     return compute_downtime_hours(typed)
 
 
-def conform_batches(events: DataFrame) -> DataFrame:
-    """Finished batches with yield and quality verdict."""
-    typed = pair_batches(events).withColumns({
+def shape_batches(events: DataFrame) -> DataFrame:
+    """Typed finished batches with their yield, still to be checked."""
+    return compute_yield_rate(pair_batches(events).withColumns({
         "expected_output_cases": as_int("expected_output_cases"),
         "actual_output_cases": as_int("actual_output_cases"),
         "batch_start_ts": as_timestamp("batch_start_ts"),
         "batch_end_ts": as_timestamp("batch_end_ts"),
-    })
+    }))
+
+
+def conform_batches(events: DataFrame) -> DataFrame:
+    """Finished batches with yield and quality verdict."""
     # pair_batches yields unique, non-null batch ids: only the row rules remain.
-    tagged = q.tag(compute_yield_rate(typed), BATCH_RULES[2:])
+    tagged = q.tag(shape_batches(events), BATCH_RULES[2:])
     return aggregate_batch_qc(q.clean_rows(tagged), events)
 
 
@@ -297,12 +339,14 @@ SHIPMENT_OUTPUT_RULES = (
 )
 
 
-def conform_shipments(raw: DataFrame, run_ts: str | None = None) -> tuple[DataFrame, DataFrame]:
-    present = q.clean_rows(q.tag(raw, SHIPMENT_INPUT_RULES))
+def shape_shipments(present: DataFrame, run_ts: str | None = None) -> DataFrame:
+    """Typed shipments, the latest row of each."""
     newest = latest_per_key(present, ["shipment_id"], ["_ingested_at"])
-    typed = compute_on_time_flag(cast_shipment_columns(newest, run_ts)).withColumn(
-        "shipment_key", surrogate_key("shipment_id"))
-    tagged = q.tag(typed, SHIPMENT_OUTPUT_RULES)
+    return compute_on_time_flag(cast_shipment_columns(newest, run_ts)).withColumn("shipment_key", surrogate_key("shipment_id"))
+
+
+def conform_shipments(raw: DataFrame, run_ts: str | None = None) -> tuple[DataFrame, DataFrame]:
+    tagged = q.tag(shape_shipments(q.clean_rows(q.tag(raw, SHIPMENT_INPUT_RULES)), run_ts), SHIPMENT_OUTPUT_RULES)
     return q.clean_rows(tagged), q.rejected_rows(tagged, SHIPMENT_OUTPUT_RULES)
 
 

@@ -6,11 +6,16 @@ rules and append once, counting rows with the metrics of that write.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline import contracts as c
 from shelfline.operators import quality as q
+from shelfline.plans.gate import admit
+from shelfline.session import settle
 from shelfline.sources import files, sinks
 
 # Stoppage categories that count as planned.
@@ -189,45 +194,61 @@ def _path(config: dict, source: str, name: str) -> str:
     return f"{config['sources'][source]['base_path']}/{name}"
 
 
-def _land(mapped: DataFrame, config: dict, feed: str, source_path: str | Column, batch_id: str) -> int:
-    """Apply rules, enforce the limit and append; returns the rows written."""
-    rules = list(RAW_RULES[feed])
-    limit = config.get("thresholds", {}).get("dq_fail_rate_pct", q.DEFAULT_LIMIT_PCT)
-    clean = q.run_quality_checks(mapped, rules, fail_rate_pct=limit)["clean_df"]
-    return sinks.append_raw(add_bronze_metadata(clean, source_path, batch_id), config["tables"]["bronze"][feed])
+def _land(mapped: DataFrame, config: dict, feed: str, source_path: str | Column, batch_id: str, run_ts: str | None = None) -> int:
+    """Admit the rows of a feed and append them; returns the rows written, 0 for an empty feed."""
+    at = run_ts or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
+    clean = admit(config, mapped, RAW_RULES[feed], None, (), str(source_path), feed, at, batch_id)
+    if clean.isEmpty():
+        return 0
+    return sinks.append_raw(add_bronze_metadata(clean, source_path, batch_id, ingested_at=run_ts), config["tables"]["bronze"][feed])
 
 
-def ingest_pos_transactions(spark: SparkSession, config: dict, batch_id: str) -> int:
-    path = _path(config, "pos", "pos_transactions.json")
-    return _land(flatten_pos(files.read_ndjson(spark, path, c.POS_SCHEMA)), config, "pos_transactions", path, batch_id)
+def _keep_malformed(captured: DataFrame, config: dict, feed: str, batch_id: str, line: str) -> None:
+    bad = captured.where(F.col(c.CORRUPT).isNotNull()).select(
+        F.lit(feed).alias("feed"), F.lit(batch_id).alias("batch_id"), "_source_file", F.col(line).alias("raw_line"),
+        F.lit("MALFORMED_RECORD").alias("reason"))
+    if not bad.isEmpty():
+        sinks.append_rejects(bad, config["tables"]["bronze"]["malformed_lines"])
 
 
-def ingest_erp_sales(spark: SparkSession, config: dict, batch_id: str) -> int:
-    path = _path(config, "erp", "orders.csv")
-    orders = files.read_csv(spark, path, c.LANDING["orders"])
-    lines = files.read_csv(spark, _path(config, "erp", "order_lines.csv"), c.LANDING["order_lines"])
-    return _land(join_erp_sales(orders, lines), config, "erp_sales", path, batch_id)
+def _csv(spark: SparkSession, config: dict, source: str, name: str, batch_id: str) -> DataFrame:
+    """Well-formed rows of a delivered CSV by header name; the other lines are stored with file and reason."""
+    captured = settle(files.read_feed_csv(spark, _path(config, source, f"{name}.csv"), c.LANDING[name]), f"feed-{name}")
+    _keep_malformed(captured, config, name, batch_id, c.CORRUPT)
+    return captured.where(F.col(c.CORRUPT).isNull()).select(*c.LANDING[name])
 
 
-def ingest_returns(spark: SparkSession, config: dict, batch_id: str) -> int:
-    path = _path(config, "erp", "returns.csv")
-    return _land(map_returns(files.read_csv(spark, path, c.LANDING["returns"])), config, "erp_returns", path, batch_id)
+def _json(spark: SparkSession, config: dict, source: str, name: str, schema: T.StructType, batch_id: str) -> DataFrame:
+    """Well-formed objects of a delivered NDJSON file; the other lines are stored with file and reason."""
+    captured = settle(files.read_ndjson_capturing(spark, _path(config, source, f"{name}.json"), schema), f"feed-{name}")
+    _keep_malformed(captured, config, name, batch_id, "_line")
+    return files.well_formed(captured).drop("_source_file")
 
 
-def _production(spark: SparkSession, config: dict, name: str) -> DataFrame:
-    return files.read_ndjson(spark, _path(config, "production", f"{name}.json"), c.text_schema(*c.LANDING[name]))
+def ingest_pos_transactions(spark: SparkSession, config: dict, batch_id: str) -> int:
+    raw = _json(spark, config, "pos", "pos_transactions", c.POS_SCHEMA, batch_id)
+    return _land(flatten_pos(raw), config, "pos_transactions", _path(config, "pos", "pos_transactions.json"), batch_id)
+
+
+def ingest_erp_sales(spark: SparkSession, config: dict, batch_id: str) -> int:
+    joined = join_erp_sales(_csv(spark, config, "erp", "orders", batch_id), _csv(spark, config, "erp", "order_lines", batch_id))
+    return _land(joined, config, "erp_sales", _path(config, "erp", "orders.csv"), batch_id)
+
+
+def _production(spark: SparkSession, config: dict, name: str, batch_id: str) -> DataFrame:
+    return _json(spark, config, "production", name, c.text_schema(*c.LANDING[name]), batch_id)
 
 
 def ingest_batches(spark: SparkSession, config: dict, batch_id: str) -> DataFrame:
-    return batch_events(_production(spark, config, "batches"))
+    return batch_events(_production(spark, config, "batches", batch_id))
 
 
 def ingest_quality_checks(spark: SparkSession, config: dict, batch_id: str) -> DataFrame:
-    return check_events(_production(spark, config, "quality_checks"))
+    return check_events(_production(spark, config, "quality_checks", batch_id))
 
 
 def ingest_downtime_events(spark: SparkSession, config: dict, batch_id: str) -> DataFrame:
-    return stoppage_events(_production(spark, config, "downtime_events"))
+    return stoppage_events(_production(spark, config, "downtime_events", batch_id))
 
 
 def ingest_production(spark: SparkSession, config: dict, batch_id: str) -> int:
@@ -237,32 +258,31 @@ def ingest_production(spark: SparkSession, config: dict, batch_id: str) -> int:
     return _land(events, config, "iot_sensor_events", _path(config, "production", "batches.json"), batch_id)
 
 
+def _ingest_csv(spark: SparkSession, config: dict, source: str, name: str, feed: str, mapping, batch_id: str) -> int:
+    mapped = mapping(_csv(spark, config, source, name, batch_id))
+    return _land(mapped, config, feed, _path(config, source, f"{name}.csv"), batch_id)
+
+
+def ingest_returns(spark: SparkSession, config: dict, batch_id: str) -> int:
+    return _ingest_csv(spark, config, "erp", "returns", "erp_returns", map_returns, batch_id)
+
+
 def ingest_inventory(spark: SparkSession, config: dict, batch_id: str) -> int:
-    path = _path(config, "erp", "inventory_daily.csv")
-    raw = files.read_csv(spark, path, c.LANDING["inventory_daily"])
-    return _land(map_inventory(raw), config, "erp_inventory", path, batch_id)
+    return _ingest_csv(spark, config, "erp", "inventory_daily", "erp_inventory", map_inventory, batch_id)
 
 
 def ingest_products(spark: SparkSession, config: dict, batch_id: str, today: str | None = None) -> int:
-    import datetime as dt
-    path = _path(config, "erp", "products.csv")
-    raw = files.read_csv(spark, path, c.LANDING["products"])
-    return _land(map_products(raw, today or dt.date.today().isoformat()), config, "erp_products", path, batch_id)
+    day = today or dt.date.today().isoformat()
+    return _ingest_csv(spark, config, "erp", "products", "erp_products", lambda raw: map_products(raw, day), batch_id)
 
 
 def ingest_customers(spark: SparkSession, config: dict, batch_id: str) -> int:
-    path = _path(config, "erp", "customers.csv")
-    raw = files.read_csv(spark, path, c.LANDING["customers"])
-    return _land(map_customers(raw), config, "erp_customers", path, batch_id)
+    return _ingest_csv(spark, config, "erp", "customers", "erp_customers", map_customers, batch_id)
 
 
 def ingest_warehouses(spark: SparkSession, config: dict, batch_id: str) -> int:
-    path = _path(config, "erp", "warehouses.csv")
-    raw = files.read_csv(spark, path, c.LANDING["warehouses"])
-    return _land(map_warehouses(raw), config, "erp_warehouses", path, batch_id)
+    return _ingest_csv(spark, config, "erp", "warehouses", "erp_warehouses", map_warehouses, batch_id)
 
 
 def ingest_shipments(spark: SparkSession, config: dict, batch_id: str) -> int:
-    path = _path(config, "logistics", "shipments.csv")
-    raw = files.read_csv(spark, path, c.LANDING["shipments"])
-    return _land(map_shipments(raw), config, "logistics_shipments", path, batch_id)
+    return _ingest_csv(spark, config, "logistics", "shipments", "logistics_shipments", map_shipments, batch_id)

@@ -9,19 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline import contracts as c
-from shelfline.functions import as_int, month_label
+from shelfline.functions import as_int, month_label, surrogate_key
 from shelfline.operators import history
 from shelfline.operators import quality as q
 from shelfline.operators.dedup import latest_per_key
-from shelfline.operators.reasons import monitoring_row
 from shelfline.plans import conform, dimensions, facts, ingest, kpi_core
+from shelfline.plans.gate import admit
 from shelfline.sources import files, sinks
 
 
 def run_raw(spark: SparkSession, config: dict, batch_id: str) -> dict[str, int]:
-    """Land every feed once."""
+    """Land every feed once; returns are an optional feed."""
+    returns = f"{config['sources']['erp']['base_path']}/returns.csv"
+    optional = {"erp_returns": ingest.ingest_returns(spark, config, batch_id)} if sinks.exists(spark, returns) else {}
     return {
+        **optional,
         "pos_transactions": ingest.ingest_pos_transactions(spark, config, batch_id),
         "erp_sales": ingest.ingest_erp_sales(spark, config, batch_id),
         "iot_sensor_events": ingest.ingest_production(spark, config, batch_id),
@@ -39,41 +41,63 @@ def _raw(spark: SparkSession, config: dict, name: str, load: str | None) -> Data
     return df if load is None else df.where(F.col("_batch_id") == load)
 
 
-def _gate(config: dict, tagged: DataFrame, rules, source: str, target: str, run_ts: str, run_id: str) -> DataFrame:
-    """Log rejects and a monitoring row, enforce the table's limit, return clean rows."""
+def run_sales(spark: SparkSession, config: dict, run_ts: str, run_id: str, load: str | None = None) -> int:
+    """Receipt lines of a load: typed, checked, merged by transaction, position and product."""
+    clean = admit(config, _raw(spark, config, "pos_transactions", load), conform.SALES_INPUT_RULES,
+                  lambda rows: conform.shape_sales(rows, run_ts).withColumn("source", F.lit("POS")),
+                  conform.SALES_OUTPUT_RULES, "pos_transactions", "sales_transactions", run_ts, run_id)
+    return _merge_sales(spark, config, clean)
+
+
+def run_erp_sales(spark: SparkSession, config: dict, run_ts: str, run_id: str, load: str | None = None) -> int:
+    """Invoice lines of a load beside the receipt lines, told apart by ``source``."""
+    raw = conform.erp_sale_lines(_raw(spark, config, "erp_sales", load))
+    clean = admit(config, raw, conform.SALES_INPUT_RULES,
+                  lambda rows: conform.shape_sales(rows, run_ts).withColumn("source", F.lit("ERP")).withColumn(
+                      "transaction_key", surrogate_key(F.lit("ERP"), "transaction_id", "line_no", "sku_id")),
+                  conform.SALES_OUTPUT_RULES, "erp_sales", "sales_transactions", run_ts, run_id)
+    return _merge_sales(spark, config, clean)
+
+
+def _merge_sales(spark: SparkSession, config: dict, clean: DataFrame) -> int:
+    path = config["tables"]["silver"]["sales_transactions"]
+    if sinks.exists(spark, path):  # the feeds name different columns
+        stored = spark.read.parquet(path)
+        clean = clean.select(*[F.col(c) if c in clean.columns else F.lit(None).cast(stored.schema[c].dataType).alias(c) for c in stored.columns])
+    return sinks.upsert_partitions(spark, path, clean, ["transaction_key"], "transaction_date",
+                                   ["updated_at", "net_line_amount", "unit_price", "quantity_sold"])
+
+
+def run_returns(spark: SparkSession, config: dict, run_ts: str, run_id: str, load: str | None = None) -> int:
+    """Returns of a load with their reason and whether their receipt is known."""
     silver = config["tables"]["silver"]
-    counts = tagged.agg(F.count("*").alias("rows_read"), F.count(q.FAILED).alias("rows_rejected"))
-    seen = counts.first()
-    limit = c.HALT_LIMITS.get(target, config["thresholds"]["dq_fail_rate_pct"])
-    fixed = tagged.sparkSession.createDataFrame([tuple(seen)], counts.schema)
-    monitoring_row(fixed, run_id, target, source, target, run_ts, run_ts, limit).write.mode("append").parquet(
-        silver["pipeline_monitoring"])
-    if seen["rows_rejected"]:
-        q.reject_log(tagged, rules, source, target, run_id, run_id, run_ts).write.mode("append").partitionBy(
-            "rejection_date").parquet(silver["dq_rejected_records"])
-    q.enforce_limit(seen["rows_rejected"], seen["rows_read"], limit)
-    return q.clean_rows(tagged)
+    valid = admit(config, _raw(spark, config, "erp_returns", load), (q.not_null(["return_id"]),), conform.cast_returns,
+                  conform.RETURN_RULES, "erp_returns", "sales_returns", run_ts, run_id)
+    linked = conform.link_returns(valid, spark.read.parquet(silver["sales_transactions"]))
+    return sinks.upsert_partitions(spark, silver["sales_returns"], conform.stamp(linked, run_ts), ["return_key"], "return_date")
 
 
-def run_sales(spark: SparkSession, config: dict, run_ts: str, run_id: str, load: str | None = None) -> int:
-    raw = q.clean_rows(q.tag(_raw(spark, config, "pos_transactions", load), conform.SALES_INPUT_RULES))
-    typed = conform.compute_net_line_amount(conform.deduplicate_transactions(
-        conform.cast_and_validate_sales_transactions(raw, run_ts)))
-    rules = conform.SALES_OUTPUT_RULES
-    clean = _gate(config, q.tag(typed, rules), rules, "pos_transactions", "sales_transactions", run_ts, run_id)
-    return sinks.upsert_partitions(spark, config["tables"]["silver"]["sales_transactions"], clean, ["transaction_key"],
-                                   "transaction_date", ["updated_at", "net_line_amount", "unit_price", "quantity_sold"])
+def run_spend(spark: SparkSession, config: dict, run_ts: str, run_id: str, period: tuple[str, str], load: str | None = None) -> int:
+    """Spend per account of one period, from the account feed."""
+    feed = conform.transform_customers(_raw(spark, config, "erp_customers", load), run_ts)
+    shape = lambda rows: conform.total_spend(rows.withColumns({
+        "period_start_date": F.lit(period[0]).cast("date"), "period_end_date": F.lit(period[1]).cast("date")}))
+    clean = admit(config, feed, (q.not_null(["retailer_id"]),), shape, conform.SPEND_RULES, "erp_customers", "sales_spend", run_ts, run_id)
+    return sinks.upsert_partitions(spark, config["tables"]["silver"]["sales_spend"], clean, ["spend_key"], "period_start_date")
 
 
-def run_products(spark: SparkSession, config: dict, run_ts: str) -> int:
-    raw = q.clean_rows(q.tag(_raw(spark, config, "erp_products", None), (q.not_null(["sku_id", "product_category"]),)))
-    return sinks.write_next(conform.transform_products(raw, run_ts), config["tables"]["silver"]["products"])
+def run_products(spark: SparkSession, config: dict, run_ts: str, run_id: str = "manual") -> int:
+    rows = admit(config, _raw(spark, config, "erp_products", None), (q.not_null(["sku_id", "product_category"]),),
+                 lambda rows: conform.transform_products(rows, run_ts), (), "erp_products", "products", run_ts, run_id)
+    return sinks.write_next(rows, config["tables"]["silver"]["products"])
 
 
-def run_customers(spark: SparkSession, config: dict, run_ts: str, load: str | None = None) -> int:
-    raw = q.clean_rows(q.tag(_raw(spark, config, "erp_customers", load), (q.not_null(["retailer_id", "record_effective_date"]),)))
+def run_customers(spark: SparkSession, config: dict, run_ts: str, load: str | None = None, run_id: str = "manual") -> int:
     tracked = list(conform.TRACKED_ACCOUNT_COLUMNS)
-    feed = conform.transform_customers(raw, run_ts).select("retailer_id", *tracked, "account_activation_date", "record_effective_date")
+    rows = admit(config, _raw(spark, config, "erp_customers", load), (q.not_null(["retailer_id", "record_effective_date"]),),
+                 lambda rows: conform.transform_customers(rows, run_ts), (q.not_null(["record_effective_date"]),),
+                 "erp_customers", "customers", run_ts, run_id)
+    feed = rows.select("retailer_id", *tracked, "account_activation_date", "record_effective_date")
     root = config["tables"]["silver"]["customers"]
     state = sinks.read_current(spark, root)
     return sinks.write_next(history.apply_history(state, feed, "retailer_id", tracked, "record_effective_date"), root)
@@ -86,22 +110,25 @@ def apply_scd_type2(spark: SparkSession, df_incoming: DataFrame, target_table: s
     sinks.write_next(history.apply_history(state, df_incoming, natural_key, tracked_cols, valid_from_col), target_table)
 
 
-def run_warehouses(spark: SparkSession, config: dict, run_ts: str) -> int:
-    raw = q.clean_rows(q.tag(_raw(spark, config, "erp_warehouses", None), (q.not_null(["warehouse_id"]),)))
-    return sinks.write_next(conform.transform_warehouses(raw, run_ts), config["tables"]["silver"]["warehouses"])
+def run_warehouses(spark: SparkSession, config: dict, run_ts: str, run_id: str = "manual") -> int:
+    rows = admit(config, _raw(spark, config, "erp_warehouses", None), (q.not_null(["warehouse_id"]),),
+                 lambda rows: conform.transform_warehouses(rows, run_ts), (), "erp_warehouses", "warehouses", run_ts, run_id)
+    return sinks.write_next(rows, config["tables"]["silver"]["warehouses"])
 
 
 def run_inventory(spark: SparkSession, config: dict, run_ts: str, run_id: str, load: str | None = None) -> int:
     silver = config["tables"]["silver"]
     products = sinks.read_current(spark, silver["products"])
-    clean, _ = conform.conform_stock(_raw(spark, config, "erp_inventory", load), products, run_ts)
-    rows = sinks.upsert_partitions(spark, silver["inventory_stock"], clean, ["stock_key"], "snapshot_date")
+    clean = admit(config, _raw(spark, config, "erp_inventory", load), conform.STOCK_INPUT_RULES,
+                  lambda rows: conform.shape_stock(rows, products, run_ts), conform.STOCK_OUTPUT_RULES,
+                  "erp_inventory", "inventory_stock", run_ts, run_id)
+    rows = sinks.upsert_partitions(spark, silver["inventory_stock"], clean, ["stock_key"], "snapshot_date", key_has_partition=True)
     points = conform.reorder_points(spark.read.parquet(silver["inventory_stock"]))
     sinks.write_next(points, silver["ref_reorder_points"])
     return rows
 
 
-def run_production(spark: SparkSession, config: dict, run_ts: str, load: str | None = None) -> int:
+def run_production(spark: SparkSession, config: dict, run_ts: str, load: str | None = None, run_id: str = "manual") -> int:
     """Rebuild the batches a load touched from all their events, and store its events."""
     silver = config["tables"]["silver"]
     events = now = _raw(spark, config, "iot_sensor_events", None)
@@ -110,17 +137,21 @@ def run_production(spark: SparkSession, config: dict, run_ts: str, load: str | N
         touched = now.where("batch_id IS NOT NULL").select("batch_id").distinct()
         events = events.join(touched, "batch_id", "left_semi")
     once = latest_per_key(events, ["event_id"], ["_ingested_at"])
-    batches = conform.stamp(conform.conform_batches(once), run_ts, "production")
+    batches = admit(config, conform.shape_batches(once), conform.BATCH_RULES[2:], None, (), "iot_sensor_events",
+                    "production_batches", run_ts, run_id)
+    judged = conform.stamp(conform.aggregate_batch_qc(batches, once), run_ts, "production")
     fresh = conform.conform_events(latest_per_key(now, ["event_id"], ["_ingested_at"]))
     sinks.upsert_partitions(spark, silver["production_events"], conform.stamp(fresh, run_ts, "production"),
                             ["event_key"], "event_date")
-    return sinks.upsert_partitions(spark, silver["production_batches"], batches, ["batch_key"], "batch_date")
+    return sinks.upsert_partitions(spark, silver["production_batches"], judged, ["batch_key"], "batch_date")
 
 
 def run_shipments(spark: SparkSession, config: dict, run_ts: str, run_id: str, load: str | None = None) -> int:
     raw = _raw(spark, config, "logistics_shipments", load)
     headers = _raw(spark, config, "erp_sales", None).select("order_id", "retailer_id")
-    clean, _ = conform.conform_shipments(conform.resolve_shipment_party(raw, headers), run_ts)
+    clean = admit(config, conform.resolve_shipment_party(raw, headers), conform.SHIPMENT_INPUT_RULES,
+                  lambda rows: conform.shape_shipments(rows, run_ts), conform.SHIPMENT_OUTPUT_RULES,
+                  "logistics_shipments", "shipments", run_ts, run_id)
     return sinks.upsert_partitions(spark, config["tables"]["silver"]["shipments"], clean, ["shipment_key"], "ship_date")
 
 
@@ -142,6 +173,8 @@ def run_dimensions(spark: SparkSession, config: dict) -> dict[str, int]:
     return {"dim_date": sinks.overwrite(dim_date, gold["dim_date"], ["year"]),
             "dim_product": sinks.overwrite(dimensions.product_dimension(current("products")), gold["dim_product"]),
             "dim_customer": sinks.overwrite(dimensions.customer_dimension(current("customers")), gold["dim_customer"]),
+            "dim_region": sinks.overwrite(dimensions.region_dimension(current("customers")), gold["dim_region"]),
+            "dim_channel": sinks.overwrite(dimensions.channel_dimension(current("customers")), gold["dim_channel"]),
             "dim_warehouse": sinks.overwrite(dimensions.warehouse_dimension(places), gold["dim_warehouse"])}
 
 
@@ -191,14 +224,22 @@ def run_gold(spark: SparkSession, config: dict, since: str | None = None) -> dic
     return {**run_dimensions(spark, config), **run_facts(spark, config, since), **run_kpis(spark, config, since)}
 
 
-def run_all(spark: SparkSession, config: dict, batch_id: str, run_ts: str) -> dict[str, int]:
-    """One full run of all layers for one load."""
+def run_all(spark: SparkSession, config: dict, batch_id: str, run_ts: str, since: str | None = None, invoices: bool = False) -> dict[str, int]:
+    """One full run of all layers for one load.
+
+    With ``since`` only the months from that day on are rebuilt in the reporting layer;
+    ``invoices`` adds the invoice lines to the conformed sales.
+    """
     landed = run_raw(spark, config, batch_id)
-    run_products(spark, config, run_ts)
-    run_customers(spark, config, run_ts, batch_id)
-    run_warehouses(spark, config, run_ts)
+    run_products(spark, config, run_ts, batch_id)
+    run_customers(spark, config, run_ts, batch_id, batch_id)
+    run_warehouses(spark, config, run_ts, batch_id)
     run_sales(spark, config, run_ts, batch_id, batch_id)
+    if invoices:
+        run_erp_sales(spark, config, run_ts, batch_id, batch_id)
+    if "erp_returns" in landed:
+        run_returns(spark, config, run_ts, batch_id, batch_id)
     run_inventory(spark, config, run_ts, batch_id, batch_id)
-    run_production(spark, config, run_ts, batch_id)
+    run_production(spark, config, run_ts, batch_id, batch_id)
     run_shipments(spark, config, run_ts, batch_id, batch_id)
-    return {**landed, **run_gold(spark, config)}
+    return {**landed, **run_gold(spark, config, since)}

@@ -25,6 +25,23 @@ def read_csv_by_name(spark: SparkSession, path: str, columns: Sequence[str]) ->
     return raw.select(*[F.col(c) if c in raw.columns else F.lit(None).cast("string").alias(c) for c in columns])
 
 
+def read_feed_csv(spark: SparkSession, path: str, required: Sequence[str]) -> DataFrame:
+    """A delivered CSV by its own header: required columns as text, the text of a malformed
+    line, and the file.
+
+    The order of columns is free and further columns are ignored. A header without a required
+    column halts the read before anything is written; so does a file whose header differs from
+    the first file's. Lines with too many or too few fields are marked, not dropped.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    missing = [c for c in required if c not in header]
+    if missing:
+        raise ValueError(f"{path}: header lacks {', '.join(missing)}")
+    rows = (spark.read.schema(text_schema(*header, CORRUPT)).option("header", True).option("enforceSchema", False)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False).csv(path))
+    return rows.select(*[F.col(f"`{c}`") for c in required], CORRUPT, F.col("_metadata.file_path").alias("_source_file"))
+
+
 def _parsed_lines(spark: SparkSession, path: str, schema: T.StructType, parse) -> DataFrame:
     """Parse text lines into columns, the raw line of a bad record and its file.
 

@@ -85,29 +85,37 @@ def write_next(df: DataFrame, root: str, by: Sequence[str] = ()) -> int:
 
 
 def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: Sequence[str], by: str,
-                      update: Sequence[str] | None = None) -> int:
+                      update: Sequence[str] | None = None, key_has_partition: bool = False) -> int:
     """Merge into a partitioned table by rewriting only the partitions it touches.
 
     Touched are the partitions of the source rows and those that hold a matching key,
     found by scanning the key columns alone, so a row whose partition value changes
-    leaves no copy behind. With ``update``, matched rows take just those columns. The
-    merged rows are settled before any file is replaced. Returns the rows written.
+    leaves no copy behind. When the key determines the partition (``key_has_partition``)
+    that scan is left out. Stored partitions meet the touched ones by plain equality, so
+    they are pruned before they are read; NULL is a branch of its own. With ``update``,
+    matched rows take just those columns. The merged rows are settled before any file is
+    replaced. Returns the rows written.
     """
     if not exists(spark, path):
         return overwrite_partitions(source, path, [by])
     current = spark.read.parquet(path)
     current = current.select(*[F.col(c).cast(source.schema[c].dataType) if c in source.columns else F.col(c)
                                for c in current.columns])
-    held = current.join(source.select(*keys).distinct(), list(keys), "left_semi").select(by).distinct()
-    touched = held.unionByName(source.select(by)).distinct().withColumnRenamed(by, "_by")
-    affected = current.join(touched, F.col(by).eqNullSafe(F.col("_by")), "left_semi")
+    wanted = source.select(by).distinct()
+    held = wanted.limit(0) if key_has_partition else current.join(
+        source.select(*keys).distinct(), list(keys), "left_semi").select(by).distinct()
+    # A list of partition values: settled, so that its size is known where partitions are pruned.
+    touched = settle(held.unionByName(wanted).distinct().withColumnRenamed(by, "_by"), "touched")
+    affected = current.join(touched.where("_by IS NOT NULL"), F.col(by) == F.col("_by"), "left_semi")
+    if not touched.where("_by IS NULL").isEmpty():
+        affected = affected.unionByName(current.where(F.col(by).isNull()))
     merged = merge_upsert(affected, source, keys) if update is None else merge_columns(affected, source, keys, update)
     merged = settle(merged, "merge")
-    emptied = held.join(merged.select(by).distinct(), by, "left_anti").where(F.col(by).isNotNull()).collect()
+    # Partitions whose last row moved elsewhere: found before any file is replaced.
+    emptied = settle(touched.select(F.col("_by").alias(by)).where(F.col(by).isNotNull()).join(
+        merged.select(by).distinct(), by, "left_anti").join(current.select(by).distinct(), by, "left_semi"), "emptied")
     rows = overwrite_partitions(merged, path, [by])
-    for row in emptied:  # partitions whose last row moved elsewhere
-        fs, hadoop, _ = _folder(spark, f"{path}/{by}={row[0]}")
-        fs.delete(hadoop, True)
+    drop_partitions(spark, path, emptied)
     return rows
 
 
