@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfline.functions.time import day
@@ -38,6 +38,49 @@ def as_of_version(facts: DataFrame, versions: DataFrame, key: str, at: str,
     return dated.join(listed, match, "left").drop("_vk", "_vm", "_month")
 
 
+def overlap_totals(spans: DataFrame, stops: DataFrame, on: str, ident: str, span: tuple[str, str],
+                   stop: tuple[str, str], flag: Column, bucket_minutes: int = 60) -> DataFrame:
+    """Per ``ident``: how many ``stops`` of the same ``on`` overlap its half-open span, the seconds
+    of overlap, and the seconds of the stops that ``flag`` marks.
+
+    No pair is built: the stopped time before any moment is a running total over the stops'
+    ends, and a span's overlap is the difference of two of them. Totals run inside time buckets
+    first; the buckets' own totals, one row each, carry over. Empty or reversed spans never
+    overlap and are left out.
+    """
+    width = bucket_minutes * 60
+    a, b = F.unix_timestamp(stop[0]), F.unix_timestamp(stop[1])
+    none = F.lit(None).cast("string")
+
+    def point(t: Column, turn: int, sign: int, who: Column = none) -> Column:
+        return F.struct(t.alias("_t"), F.lit(turn).alias("_turn"), F.lit(sign).alias("_sign"), who.cast("string").alias("_who"))
+
+    # At one moment a span's end is looked up before the stops there, its start after them.
+    ends = stops.where(b > a).select(on, flag.alias("_flag"), F.explode(F.array(point(a, 1, 1), point(b, 1, -1))).alias("_p"))
+    lo, hi = F.unix_timestamp(span[0]), F.unix_timestamp(span[1])
+    asked = spans.where(hi > lo).select(on, F.lit(False).alias("_flag"), F.explode(F.array(
+        point(hi, 0, 0, F.col(ident)), point(lo, 2, 0, F.col(ident)))).alias("_p"))
+    points = ends.unionByName(asked).select(on, "_flag", "_p.*").withColumn("_bucket", F.floor(F.col("_t") / width))
+    sign, t = F.col("_sign"), F.col("_t")
+    marked = F.when(F.col("_flag"), sign).otherwise(0)
+    parts = {"_begun": F.when(sign > 0, 1).otherwise(0), "_over": F.when(sign < 0, 1).otherwise(0),
+             "_n": sign, "_m": sign * t, "_fn": marked, "_fm": marked * t}
+    earlier = Window.partitionBy(on).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = points.groupBy(on, "_bucket").agg(*[F.sum(v).alias(k) for k, v in parts.items()]).select(
+        on, "_bucket", *[F.coalesce(F.sum(k).over(earlier), F.lit(0)).alias(f"{k}0") for k in parts])
+    inside = Window.partitionBy(on, "_bucket").orderBy("_t", "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    run = points.select("*", *[F.sum(v).over(inside).alias(k) for k, v in parts.items()]).where("_who IS NOT NULL")
+    total = run.join(carried, [on, "_bucket"])
+    upto = lambda k: F.col(k) + F.col(f"{k}0")
+    is_end = F.col("_turn") == 0
+    change = lambda value: F.sum(F.when(is_end, value).otherwise(-value))
+    return (total.groupBy(F.col("_who").alias(ident)).agg(
+        F.sum(F.when(is_end, upto("_begun")).otherwise(-upto("_over"))).alias("overlaps"),
+        change(t * upto("_n") - upto("_m")).alias("seconds"),
+        change(t * upto("_fn") - upto("_fm")).alias("flagged_seconds"))
+        .where("overlaps > 0"))
+
+
 def overlap_pairs(left: DataFrame, right: DataFrame, on: str, left_span: tuple[str, str],
                   right_span: tuple[str, str], bucket_minutes: int = 60) -> DataFrame:
     """Pairs of the same ``on`` whose half-open time spans overlap, with the

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions import pct, surrogate_key
-from shelfline.operators.intervals import overlap_pairs
+from shelfline.operators.intervals import overlap_totals
 
 DOWNTIME = ("DOWNTIME_UNPLANNED", "DOWNTIME_PLANNED")
 
@@ -104,9 +104,12 @@ def compute_fact_inventory_snapshot(df_stock: DataFrame, df_rop: DataFrame,
 
 def compute_fact_production_batch(df_batches: DataFrame, df_events: DataFrame,
                                   df_dim_date: DataFrame) -> DataFrame:
-    """Batch fact with the hours of the stoppages recorded against the batch."""
+    """Batch fact with the hours of the stoppages recorded against the batch, planned and unplanned."""
+    none = F.lit(0).cast("decimal(8,2)")
+    kind = lambda name: F.sum(F.when(F.col("event_type") == name, F.col("downtime_hours"))).cast("decimal(8,2)")
     lost = (df_events.where(F.col("event_type").isin(*DOWNTIME) & F.col("batch_id").isNotNull())
-            .groupBy("batch_id").agg(F.sum("downtime_hours").cast("decimal(8,2)").alias("_lost")))
+            .groupBy("batch_id").agg(F.sum("downtime_hours").cast("decimal(8,2)").alias("_lost"),
+                                     kind("DOWNTIME_PLANNED").alias("_planned"), kind("DOWNTIME_UNPLANNED").alias("_unplanned")))
     joined = with_date_key(df_batches.join(lost, "batch_id", "left"), "batch_date", df_dim_date)
     return joined.select(
         "batch_key", "date_key", surrogate_key("sku_id").alias("product_key"),
@@ -114,24 +117,31 @@ def compute_fact_production_batch(df_batches: DataFrame, df_events: DataFrame,
         F.col("expected_output_cases").cast("int").alias("expected_output_units"),
         F.col("actual_output_cases").cast("int").alias("actual_output_units"),
         "yield_rate_pct", "qc_pass_flag", "qc_status",
-        F.coalesce("_lost", F.lit(0).cast("decimal(8,2)")).alias("downtime_hours"), "batch_date")
+        F.coalesce("_lost", none).alias("downtime_hours"), F.coalesce("_planned", none).alias("planned_downtime_hours"),
+        F.coalesce("_unplanned", none).alias("unplanned_downtime_hours"), "batch_date")
 
 
 def attribute_downtime(df_batches: DataFrame, df_events: DataFrame) -> DataFrame:
-    """Hours of line stoppages that overlap each batch, planned and unplanned apart.
+    """Seconds of line stoppages that overlap each batch, all and unplanned.
 
-    Stoppages name a line, not a batch, so they are matched by time.
+    Stoppages name a line, not a batch, so they are matched by time, through running totals.
     """
     spans = df_batches.select("batch_id", "production_line_id", "batch_start_ts", "batch_end_ts")
     stops = (df_events.where(F.col("event_type").isin(*DOWNTIME))
              .select("production_line_id", "event_type", "downtime_start_ts", "downtime_end_ts"))
-    pairs = overlap_pairs(spans, stops, "production_line_id", ("batch_start_ts", "batch_end_ts"),
-                          ("downtime_start_ts", "downtime_end_ts"))
-    unplanned = F.col("event_type") == "DOWNTIME_UNPLANNED"
-    return pairs.groupBy("batch_id").agg(
-        F.count("*").alias("stoppages"),
-        F.sum("overlap_seconds").alias("downtime_seconds"),
-        F.coalesce(F.sum(F.when(unplanned, F.col("overlap_seconds"))), F.lit(0)).alias("unplanned_seconds"))
+    return overlap_totals(spans, stops, "production_line_id", "batch_id", ("batch_start_ts", "batch_end_ts"),
+                          ("downtime_start_ts", "downtime_end_ts"), F.col("event_type") == "DOWNTIME_UNPLANNED").select(
+        "batch_id", F.col("overlaps").alias("stoppages"), F.col("seconds").alias("downtime_seconds"),
+        F.col("flagged_seconds").alias("unplanned_seconds"))
+
+
+def booked_hours(attributed: DataFrame) -> DataFrame:
+    """Attributed seconds as one planned and one unplanned entry of hours per batch."""
+    hours = lambda s: (s.cast("decimal(18,0)") / F.lit(3600).cast("decimal(4,0)")).cast("decimal(20,10)")
+    planned = F.col("downtime_seconds") - F.col("unplanned_seconds")
+    entry = lambda kind, s: F.struct(F.lit(kind).alias("event_type"), hours(s).alias("downtime_hours"))
+    return attributed.select("batch_id", F.explode(F.array(
+        entry("DOWNTIME_PLANNED", planned), entry("DOWNTIME_UNPLANNED", F.col("unplanned_seconds")))).alias("e")).select("batch_id", "e.*")
 
 
 def compute_fact_shipment(df_ship: DataFrame, df_customers: DataFrame,

@@ -186,8 +186,7 @@ def run_facts(spark: SparkSession, config: dict, since: str | None = None) -> di
     products, customers, days = current("products"), current("customers"), spark.read.parquet(gold["dim_date"])
     batches = recent("production_batches", "batch_date")
     hit = facts.attribute_downtime(batches, spark.read.parquet(silver["production_events"]))
-    booked = hit.select("batch_id", F.lit("DOWNTIME_PLANNED").alias("event_type"),
-                        (F.col("downtime_seconds") / 3600).cast("decimal(8,2)").alias("downtime_hours"))
+    booked = facts.booked_hours(hit)
     plans = (
         ("fact_sales", "transaction_date", facts.compute_fact_sales(
             recent("sales_transactions", "transaction_date"), products, customers, days)),

@@ -334,11 +334,7 @@ class Frames:
     def fact_batch(self) -> DataFrame:
         """Batch fact; stoppages reach their batch by time overlap."""
         hit = facts.attribute_downtime(self.batches, self.prod_events)
-        booked = hit.select(
-            "batch_id", F.lit("DOWNTIME_PLANNED").alias("event_type"),
-            (F.col("downtime_seconds").cast("decimal(18,0)") / F.lit(3600).cast("decimal(4,0)"))
-            .cast("decimal(8,2)").alias("downtime_hours"))
-        return facts.compute_fact_production_batch(self.batches, booked, self.event_days)
+        return facts.compute_fact_production_batch(self.batches, facts.booked_hours(hit), self.event_days)
 
     @cached_property
     def fact_shipment(self) -> DataFrame:

@@ -226,8 +226,12 @@ SELECT batch_key, CAST(strftime(batch_date, '%Y%m%d') AS INTEGER) AS date_key, {
        CAST(NULL AS BIGINT) AS warehouse_key, b.batch_id, production_line_id,
        expected_output_cases AS expected_output_units, actual_output_cases AS actual_output_units,
        yield_rate_pct, qc_pass_flag, qc_status,
-       coalesce({ratio('o.s', '3600', 8, 2)}, CAST(0 AS DECIMAL(8,2))) AS downtime_hours, batch_date
-FROM batches b LEFT JOIN (SELECT batch_id, sum(overlap_seconds) AS s FROM stop_overlaps GROUP BY batch_id) o
+       coalesce({ratio('o.s', '3600', 8, 2)}, CAST(0 AS DECIMAL(8,2))) AS downtime_hours,
+       coalesce({ratio('o.p', '3600', 8, 2)}, CAST(0 AS DECIMAL(8,2))) AS planned_downtime_hours,
+       coalesce({ratio('o.u', '3600', 8, 2)}, CAST(0 AS DECIMAL(8,2))) AS unplanned_downtime_hours, batch_date
+FROM batches b LEFT JOIN (SELECT batch_id, sum(overlap_seconds) AS s,
+    coalesce(sum(overlap_seconds) FILTER (event_type = 'DOWNTIME_PLANNED'), 0) AS p,
+    coalesce(sum(overlap_seconds) FILTER (event_type = 'DOWNTIME_UNPLANNED'), 0) AS u FROM stop_overlaps GROUP BY batch_id) o
   ON b.batch_id = o.batch_id""",
     "fact_shipment": f"""
 SELECT {key('shipment_id')} AS shipment_key, CAST(strftime(ship_date, '%Y%m%d') AS INTEGER) AS date_key,
