@@ -9,7 +9,9 @@ exactly, in bounded blocks, and only classes and link counts leave a block, neve
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -27,6 +29,8 @@ RECALL = 0.9999  # of one pair at the threshold, over all runs
 DEPTH = 6  # levels of a path
 BUCKET = 512  # sets a bucket may hold to be compared pair by pair
 SKETCH = 128  # min-wise tokens of a set
+DENSE = 0.4  # mean share of equal min-wise tokens that makes a large bucket one group of near copies
+PROBES = 16  # tokens compared for that
 SLACK = 0.16  # a sketch estimate this far below the threshold still counts as maybe similar
 BLOCK = 256  # sets of a cluster compared with another such block in one go
 FORK = 1 / THRESHOLD - 1  # chance of a second child: 1 / threshold children on average
@@ -187,8 +191,9 @@ def _bucket_edges(least_equal: int) -> Callable:
 def candidate_edges(sets: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL, bucket: int = BUCKET, depth: int = DEPTH) -> DataFrame:
     """Edges (a, b) between nodes that some run of the tree brought together and whose sketches look similar.
 
-    ``sets``: node, sketch, short. Buckets still too large at the last level are joined as they are: whatever
-    shares ``depth`` sampled tokens goes to the exact comparison.
+    ``sets``: node, sketch, short. A large bucket whose sets resemble its least one on average is a group of near
+    copies that no token splits: it is joined as it is, as are buckets still too large at the last level. All
+    of their sets go to the exact comparison.
     """
     roots = []
     for run in range(runs_for(recall, depth, threshold)):
@@ -202,14 +207,16 @@ def candidate_edges(sets: DataFrame, threshold: float = THRESHOLD, recall: float
     leaves, stars = [], []
     for level in range(1, depth + 1):
         counts = settle(rows.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("lead")).where("n > 1"), "buckets")
-        leaves.append(rows.join(counts.where(F.col("n") <= bucket).select("key"), "key").select("key", "node"))
+        leaves.append(rows.join(counts.where(F.col("n") <= bucket).select("key").hint("merge"), "key").select("key", "node"))
         large = counts.where(F.col("n") > bucket)
         if large.isEmpty():
             break
+        whole = large if level == depth else _dense(rows, large, sets)
+        stars.append(rows.join(whole.select("key", "lead"), "key").select(F.col("node").alias("a"), F.col("lead").alias("b")))
         if level == depth:
-            stars.append(rows.join(large.select("key", "lead"), "key").select(F.col("node").alias("a"), F.col("lead").alias("b")))
             break
-        again = rows.join(large.select("key"), "key").join(sets.select("node", "sketch"), "node")
+        split = large.join(whole.select("key"), "key", "left_anti")
+        again = rows.join(split.select("key"), "key").join(sets.select("node", "sketch"), "node")
         child = lambda i: F.xxhash64("key", F.lit(i), F.expr(
             f"substring(sketch, CAST(4 * pmod(xxhash64(key, {i}), {SKETCH}) + 1 AS INT), 4)"))
         fork = F.pmod(F.xxhash64("key", F.lit(99)), F.lit(1000)) < int(1000 * FORK)
@@ -217,7 +224,7 @@ def candidate_edges(sets: DataFrame, threshold: float = THRESHOLD, recall: float
     members = leaves[0]
     for more in leaves[1:]:
         members = members.unionByName(more)
-    keyed = members.join(sets.select("node", "short"), "node").select("key", "node", "short")
+    keyed = members.join(sets.select("node", "short").hint("merge"), "node").select("key", "node", "short")
     found = keyed.repartition("key").sortWithinPartitions("key").mapInArrow(
         _bucket_edges(math.ceil((threshold - SLACK) * SKETCH)), "a bigint, b bigint")
     for star in stars:
@@ -225,6 +232,16 @@ def candidate_edges(sets: DataFrame, threshold: float = THRESHOLD, recall: float
     return found
 
 
+def _dense(rows: DataFrame, large: DataFrame, sets: DataFrame) -> DataFrame:
+    """The large buckets (key, lead) whose sets share ``DENSE`` of their sampled tokens with the bucket's least set."""
+    own, lead = sets.select("node", "short"), sets.select(F.col("node").alias("lead"), F.col("short").alias("lead_short"))
+    beside = rows.join(large.join(lead, "lead").select("key", "lead", "lead_short"), "key").join(own, "node")
+    step = SKETCH // PROBES
+    equal = [(F.substring("short", i * step + 1, 1) == F.substring("lead_short", i * step + 1, 1)).cast("int") for i in range(PROBES)]
+    share = functools.reduce(operator.add, equal) / F.lit(PROBES)
+    return settle(beside.groupBy("key", "lead").agg(F.avg(share).alias("share")).where(F.col("share") >= DENSE), "dense")
+
+
 def _exact(threshold: float) -> Callable:
     """Per pair of blocks: one row a set with the links it has there, and the root of its component there."""
 
@@ -331,7 +348,7 @@ def classified(docs: DataFrame, threshold: float = THRESHOLD, recall: float = RE
         .select("print", "first_id", "copies", F.col("root").alias("cluster"), blocks.alias("blocks"))
         .withColumn("block", F.pmod(F.xxhash64("print"), F.col("blocks")).cast("int")), "members")
     of = members.select("print", "first_id")
-    texts = named.join(of, F.col("doc_id").eqNullSafe(F.col("first_id"))).select("text", "print")
+    texts = named.join(of.hint("merge"), F.col("doc_id").eqNullSafe(F.col("first_id"))).select("text", "print")
     compact = texts.mapInArrow(_member_sets, "print binary, set binary").dropDuplicates(["print"])
     dealt = (
         members.drop("first_id").join(compact, "print")
