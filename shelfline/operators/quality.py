@@ -89,18 +89,23 @@ def custom(fails: str, flag: str, severity: str = "warning", columns: Sequence[s
                 f"custom_check_failed:{flag}", flag)
 
 
+def _literal(value: str) -> str:
+    """A SQL text literal; quotes and backslashes stay what they are."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def matches(column: str, pattern: str, severity: str = "error", rule_id: str | None = None,
             optional: bool = False) -> Rule:
     """Text must match the pattern; NULL fails unless the column is optional."""
     missing = "false" if optional else "true"
     return Rule("format", severity, (column,),
-                f"coalesce(NOT {_q(column)} RLIKE '{pattern}', {missing})", rule_id,
+                f"coalesce(NOT {_q(column)} RLIKE {_literal(pattern)}, {missing})", rule_id,
                 f"bad_format:{column}", f"_dq_format_{column}")
 
 
 def one_of(column: str, allowed: Iterable[str], severity: str = "error",
            rule_id: str | None = None, optional: bool = False) -> Rule:
-    words = ", ".join(f"'{a}'" for a in allowed)
+    words = ", ".join(map(_literal, allowed))
     missing = "false" if optional else "true"
     return Rule("format", severity, (column,),
                 f"coalesce({_q(column)} NOT IN ({words}), {missing})", rule_id,

@@ -133,3 +133,16 @@ def test_reject_log_carries_the_row(spark):
     log = q.reject_log(q.tag(df, [q.not_null(["v"], rule_id="R1")]), [q.not_null(["v"], rule_id="R1")],
                        "raw", "target", "b", "run", "2024-01-01 00:00:00").first()
     assert log.rule_id == "R1" and log.raw_record_json == '{"k":"a","v":null}' and log.rule_type == "NOT_NULL"
+
+
+def test_quotes_and_backslashes_in_rules(spark):
+    df = spark.createDataFrame([("it's",), ("a\\b",), ("7",), ("x",)], "v string")
+    assert q.clean_rows(q.tag(df, [q.one_of("v", ["it's", "a\\b"])])).count() == 2
+    assert q.clean_rows(q.tag(df, [q.matches("v", r"^\d$|'")])).count() == 2
+
+
+def test_skipped_rules_are_named(spark):
+    got = rules.skipped_rules("sales_transactions", ["retailer_id", "transaction_date"])
+    assert "missing_reference:customers" in got.values() and any(v.startswith("missing_column:") for v in got.values())
+    applied = rules.rules_for("sales_transactions", ["retailer_id", "transaction_date"], "2024-01-02 00:00:00")
+    assert len(applied) + len(got) == len(rules.CATALOG["sales_transactions"])
