@@ -371,3 +371,48 @@ SELECT * FROM (VALUES ('SLV-CUST-001', 'error', CAST(0 AS BIGINT)), ('SLV-CUST-0
 def catalog_account_versions(f: Frames):
     versions = f.account_feed.withColumns({"valid_from": F.col("record_effective_date"), "valid_to": F.lit(None).cast("date")})
     return catalog_counts(versions, "customers", "2000-01-01 00:00:00")
+
+
+# --- the catalog on planted dirt: every rule fires -------------------------------------------
+
+# Rows are made dirty by a number from their key, one fault a row; class 2 of shipments comes twice.
+_CLASSES = 40
+
+
+@query("dq_catalog_dirty_shipments", f"""
+WITH t AS (SELECT shipment_id, retailer_id, CAST(split_part(shipment_id, '-', 2) AS BIGINT) % {_CLASSES} AS j FROM shipments),
+u AS (SELECT * FROM t UNION ALL SELECT * FROM t WHERE j = 2),
+n AS (SELECT j, count(DISTINCT shipment_id) AS ids FROM u WHERE j <> 1 GROUP BY j)
+SELECT 'SLV-DIST-SHIP-001' AS rule_id, 'error' AS severity, (SELECT count(*) FROM u WHERE j = 1) AS failures UNION ALL
+SELECT 'SLV-DIST-SHIP-002', 'error', (SELECT count(*) - count(DISTINCT shipment_id) FROM u WHERE j <> 1) UNION ALL
+SELECT 'SLV-DIST-SHIP-00' || j, 'error', ids FROM n WHERE j BETWEEN 3 AND 8 UNION ALL
+SELECT 'SLV-DIST-SHIP-009', 'warning', (SELECT count(DISTINCT shipment_id) FROM u WHERE j NOT IN (1, 3, 4, 5, 6, 7, 8)
+  AND retailer_id NOT IN (SELECT retailer_id FROM accounts WHERE account_status = 'ACTIVE'))""")
+def catalog_dirty_shipments(f: Frames):
+    j = F.split_part("shipment_id", F.lit("-"), F.lit(2)).cast("bigint") % _CLASSES
+    rows = f.shipments.withColumn("_j", j)
+    rows = rows.unionByName(rows.where("_j = 2"))
+    fault = lambda n, bad, column: F.when(F.col("_j") == n, bad).otherwise(F.col(column))
+    before = F.date_sub("ship_date", 1)
+    dirty = rows.withColumns({
+        "shipment_id": fault(1, F.lit(None), "shipment_id"), "promised_delivery_date": fault(3, before, "promised_delivery_date"),
+        "logistics_cost_usd": fault(4, F.lit(-1).cast("decimal(10,2)"), "logistics_cost_usd"),
+        "cases_delivered": fault(5, F.lit(-1), "cases_delivered"), "channel": fault(6, F.lit("Other"), "channel"),
+        "actual_delivery_date": fault(7, before, "actual_delivery_date"), "quantity_ordered": fault(8, F.lit(0), "quantity_ordered")}).drop("_j")
+    active = f.accounts.where("account_status = 'ACTIVE'").select("retailer_id")
+    return catalog_counts(dirty, "shipments", "2001-08-02 00:00:00", {"customers": active})
+
+
+@query("dq_catalog_dirty_accounts", f"""
+WITH t AS (SELECT custkey % {_CLASSES} AS j, account_activation_date AS d FROM account_feed)
+SELECT 'SLV-CUST-00' || j AS rule_id, CASE j WHEN 6 THEN 'warning' ELSE 'error' END AS severity, count(*) AS failures
+FROM t WHERE j IN (1, 2, 3, 4, 6) GROUP BY j UNION ALL
+SELECT 'SLV-CUST-007', 'warning', (SELECT count(*) FROM t WHERE j NOT IN (1, 2, 3, 4) AND d > DATE '2000-01-01')""")
+def catalog_dirty_accounts(f: Frames):
+    j = F.col("custkey") % _CLASSES
+    fault = lambda n, bad, column: F.when(j == n, bad).otherwise(F.col(column))
+    dirty = f.account_feed.withColumn("valid_from", F.col("record_effective_date")).withColumns({
+        "retailer_id": fault(1, F.lit(None), "retailer_id"), "retailer_name": fault(2, F.lit(None), "retailer_name"),
+        "account_status": fault(3, F.lit("GONE"), "account_status"), "valid_to": F.when(j == 4, F.col("valid_from")),
+        "credit_terms_days": fault(6, F.lit(7), "credit_terms_days")})
+    return catalog_counts(dirty, "customers", "2000-01-01 00:00:00")

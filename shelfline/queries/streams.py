@@ -187,7 +187,7 @@ def windowed_stoppages(f: Frames):
 
 @query("str_11_freshness", f"""
 SELECT table_name, breached FROM (
-SELECT 'sales' AS table_name, true AS breached UNION ALL
+SELECT 'sales' AS table_name, (SELECT (epoch(TIMESTAMP '{EVENTS_NOW}') - epoch(max(transaction_date))) / 60 > 120 FROM sale_lines) AS breached UNION ALL
 SELECT 'production', (SELECT (epoch(TIMESTAMP '{EVENTS_NOW}') - epoch(max(event_timestamp))) / 60 > 15 FROM plant_events))""")
 def freshness(f: Frames):
     sales = profile.freshness(f.sale_lines.select(F.col("transaction_date").cast("timestamp").alias("t")), "sales", "t", EVENTS_NOW, 120)
