@@ -211,16 +211,19 @@ def candidate_edges(sets: DataFrame, threshold: float = THRESHOLD, recall: float
         large = counts.where(F.col("n") > bucket)
         if large.isEmpty():
             break
-        whole = large if level == depth else _dense(rows, large, sets)
-        stars.append(rows.join(whole.select("key", "lead"), "key").select(F.col("node").alias("a"), F.col("lead").alias("b")))
         if level == depth:
+            stars.append(rows.join(large.select("key", "lead"), "key").select(F.col("node").alias("a"), F.col("lead").alias("b")))
             break
-        split = large.join(whole.select("key"), "key", "left_anti")
-        again = rows.join(split.select("key"), "key").join(sets.select("node", "sketch"), "node")
+        # The sets of large buckets take their sketch along, so the table of sets is visited once.
+        crowd = rows.join(large.select("key", "lead"), "key")
+        crowd = settle(crowd if level > 1 else crowd.join(sets.select("node", "sketch"), "node"), "crowd")
+        whole = _dense(crowd)
+        stars.append(crowd.join(whole, "key").select(F.col("node").alias("a"), F.col("lead").alias("b")))
+        again = crowd.join(whole, "key", "left_anti")
         child = lambda i: F.xxhash64("key", F.lit(i), F.expr(
             f"substring(sketch, CAST(4 * pmod(xxhash64(key, {i}), {SKETCH}) + 1 AS INT), 4)"))
         fork = F.pmod(F.xxhash64("key", F.lit(99)), F.lit(1000)) < int(1000 * FORK)
-        rows = settle(again.select("node", F.explode(F.when(fork, F.array(child(1), child(2))).otherwise(F.array(child(1)))).alias("key")), "paths")
+        rows = settle(again.select("node", "sketch", F.explode(F.when(fork, F.array(child(1), child(2))).otherwise(F.array(child(1)))).alias("key")), "paths")
     members = leaves[0]
     for more in leaves[1:]:
         members = members.unionByName(more)
@@ -232,14 +235,13 @@ def candidate_edges(sets: DataFrame, threshold: float = THRESHOLD, recall: float
     return found
 
 
-def _dense(rows: DataFrame, large: DataFrame, sets: DataFrame) -> DataFrame:
-    """The large buckets (key, lead) whose sets share ``DENSE`` of their sampled tokens with the bucket's least set."""
-    own, lead = sets.select("node", "short"), sets.select(F.col("node").alias("lead"), F.col("short").alias("lead_short"))
-    beside = rows.join(large.join(lead, "lead").select("key", "lead", "lead_short"), "key").join(own, "node")
-    step = SKETCH // PROBES
-    equal = [(F.substring("short", i * step + 1, 1) == F.substring("lead_short", i * step + 1, 1)).cast("int") for i in range(PROBES)]
+def _dense(crowd: DataFrame) -> DataFrame:
+    """The keys of large buckets whose sets share ``DENSE`` of their sampled tokens with the bucket's least set."""
+    lead = crowd.where("node = lead").select("key", F.col("sketch").alias("lead_sketch")).dropDuplicates(["key"])
+    at = [4 * i * (SKETCH // PROBES) + 1 for i in range(PROBES)]
+    equal = [(F.substring("sketch", i, 4) == F.substring("lead_sketch", i, 4)).cast("int") for i in at]
     share = functools.reduce(operator.add, equal) / F.lit(PROBES)
-    return settle(beside.groupBy("key", "lead").agg(F.avg(share).alias("share")).where(F.col("share") >= DENSE), "dense")
+    return settle(crowd.join(lead, "key").groupBy("key").agg(F.avg(share).alias("share")).where(F.col("share") >= DENSE).select("key"), "dense")
 
 
 def _exact(threshold: float) -> Callable:
