@@ -132,8 +132,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                       text: str = "text") -> DataFrame:
     """Encode ``docs`` and write one file per range of ids; returns the manifest with each file's first id number.
 
-    The rows are dealt by id range before they are encoded, so texts move once and ids never. A task that
-    runs again writes a file of its own and renames it over the first one. Extra columns are left behind.
+    The rows are dealt by id range before they are encoded, so texts move once and ids never. Every attempt
+    of a task writes a file of its own; the manifest names those of the attempts that counted. Extra columns
+    are left behind.
     """
     size = fresh(docs, "length")
     body = (
@@ -148,7 +149,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
         context, coder, writer = TaskContext.get(), encoder(tokenizer), None
         shard = context.partitionId()
         filesystem, inner = fs.FileSystem.from_uri(folder)
-        final, draft = f"shard-{shard:06d}.bin", f"draft-{shard:06d}-{context.taskAttemptId()}"
+        name = f"{shard:06d}-{context.taskAttemptId()}"
+        final, draft = f"shard-{name}.bin", f"draft-{name}"
         bits, end = bits_for(max(coder.vocab_size, end_id + 1)), np.array([end_id], "<u4")
         first = None
         for batch in batches:
