@@ -1,10 +1,11 @@
-"""Licence scan: sentences to identifiers, identifier runs to licence rules."""
+"""Licence scan: words and sentence ends of a text, runs of them that spell a licence rule, wrapped or not."""
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -38,6 +39,47 @@ RULES = (
     ("all-rights-reserved", "All rights reserved."),
 )
 
+# Wordings as published that are wrapped or laid out as lists; ``xnamex`` stands for the name of a holder.
+PUBLISHED = (
+    ("bsd-3-clause", "Redistributions of source code must retain the above copyright notice, this list of conditions and the following "
+                     "disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+                     "the following disclaimer in the documentation and/or other materials provided with the distribution. Neither the "
+                     "name of xnamex nor the names of its contributors may be used to endorse or promote products derived from this "
+                     "software without specific prior written permission."),
+    ("gpl-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+                "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                 "License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later "
+                 "version."),
+    ("lgpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                 "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+                 "version."),
+    ("agpl-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+                 "License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later "
+                 "version."),
+    ("gpl-2.0", "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991"),
+    ("gpl-3.0", "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"),
+    ("lgpl-2.1", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 2.1, February 1999"),
+    ("lgpl-3.0", "GNU LESSER GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007"),
+    ("agpl-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE\nVersion 3, 19 November 2007"),
+    ("apache-2.0", "Apache License\nVersion 2.0, January 2004"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+            "that the above copyright notice and this permission notice appear in all copies."),
+    ("isc", "Permission to use, copy, modify, and distribute this software for any purpose with or without fee is hereby granted, provided "
+            "that the above copyright notice and this permission notice appear in all copies."),
+    ("0bsd", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted."),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, "
+                  "compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, "
+                  "commercial or non-commercial, and by any means."),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any "
+             "damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including "
+             "commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:"),
+    ("bsl-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nc-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+)
+
 _KEPT = b"abcdefghijklmnopqrstuvwxyz0123456789.!?;:\n"
 _FOLD = bytes(c if c in _KEPT else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 _MARKS = bytes(32 if c in b".!?;:\n" else c for c in range(256))
@@ -76,25 +118,87 @@ def matches(found: list[int], book: list[tuple[str, list[int]]], starts: dict[in
     return [h for h in hits if not any(within(h, other) for other in wide)]
 
 
-def scan_licences(docs: DataFrame, rules: tuple[tuple[str, str], ...] = RULES, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+_GAP = re.compile(rb"[ .!?;:\n]{2,}|[.!?;:\n]")
+_STOP = re.compile(rb"[.!?;:][ \n]")
+# Leads of comments that are words, and numbers of lists, at the start of a line.
+_LEAD, _MARK = rb"(?:(?:dnl|rem)[ \n\r])", rb"(?:(?:[0-9]{1,2}|[a-z]|[ivx]{1,4})[ .])"
+_ENDS = b"\n.\r"
+
+
+def _one_gap(run: re.Match[bytes]) -> bytes:
+    head, broken, tail = run.group().partition(b"\n")
+    stop = _STOP.search(head + broken)
+    if not broken:
+        return b"." if stop else b" "
+    return b"\r" if stop or b"\n" in tail else b"\n"
+
+
+def laid_out(folded: bytes) -> bytes:
+    """The words of a folded text with one byte between two: a space, a line break in running text (LF), a sentence
+    end (full stop), a sentence end or blank line before a new line (CR). All but the space end one of ``sentences``."""
+    return _GAP.sub(_one_gap, folded).strip(b" \n.\r")
+
+
+def rule_pattern(text: str) -> tuple[bytes, re.Pattern[bytes]]:
+    """A word that every match has, and the pattern of the rule in laid-out text; group 1 is the rule itself.
+
+    Within a sentence words may lie on two lines, an address also after a blank line; between sentences list numbers
+    and blank lines are passed over. A match begins and ends where sentences or lines do.
+    """
+    parts = re.split(rb"([ \n.\r])", laid_out((text + "\n").encode().translate(_FOLD)))
+    spelt = {b"http": rb"https?", b"xnamex": rb"[a-z0-9]+(?:[ \n.\r][a-z0-9]+){0,15}?"}
+    out = spelt.get(parts[0], parts[0])
+    for before, gap, word in zip(parts[:-1:2], parts[1::2], parts[2::2], strict=True):
+        if word == b"http" or before == b"xnamex":
+            out += rb"[ \n.\r]" + _LEAD + rb"*"
+        elif gap == b" ":
+            out += rb"(?: |\n" + _LEAD + rb"?)"
+        else:
+            out += rb"(?:[\n.\r]" + _LEAD + rb"*|[\n\r]" + _LEAD + rb"*" + _MARK + rb")"
+        out += spelt.get(word, word)
+    start = rb"(?:(?<![^\n.\r])|(?<![^\n\r])(?:" + _LEAD + rb"|" + _MARK + rb"))"
+    return max((w for w in parts[::2] if w not in spelt), key=len), re.compile(start + rb"(" + out + rb")(?![^\n.\r])")
+
+
+def licence_runs(text: str, patterns: list[tuple[bytes, re.Pattern[bytes]]]) -> tuple[list[tuple[int, int, int]], int]:
+    """(rule, first sentence, sentences) of every run that spells a rule and lies in no longer match; sentences of the text."""
+    folded = (text + "\n").encode("utf-8", "surrogatepass").translate(_FOLD)
+    near = {word for word in {word for word, _ in patterns} if word in folded}
+    if not near:
+        return [], 0
+    body = laid_out(folded)
+    hits = [(*m.span(1), k) for k, (word, pattern) in enumerate(patterns) if word in near for m in pattern.finditer(body)]
+    if not hits:
+        return [], 0
+    ends = np.flatnonzero(np.isin(np.frombuffer(body, np.uint8), np.frombuffer(_ENDS, np.uint8)))
+    runs, widest = [], (-1, -1)
+    for low, high, rule in sorted(hits, key=lambda h: (h[0], -h[1])):
+        if high <= widest[1] and (low, high) != widest:
+            continue
+        if high > widest[1]:
+            widest = (low, high)
+        first, last = np.searchsorted(ends, [low, high])
+        runs.append((rule, int(first), int(last - first) + 1))
+    return runs, len(ends) + 1
+
+
+def scan_licences(docs: DataFrame, rules: tuple[tuple[str, str], ...] = RULES + PUBLISHED, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per match: doc_id, licence, rule number, first sentence (from 0), sentences, their share of the document.
 
-    One pass over whole texts without a shuffle. NULL and empty texts match nothing; NULL, tied and repeated ids are
+    Sentences are counted as ``sentences`` cuts them, so a notice wrapped over n lines has n at least. One pass over
+    whole texts without a shuffle. NULL and empty texts match nothing; NULL, tied and repeated ids are
     scanned row by row; a licence named twice gives two rows. An empty table gives no rows; extra columns are left behind.
     """
-    known, book = rule_book(rules)
-    starts: dict[int, list[int]] = {}
-    for k, (_, ids) in enumerate(book):
-        starts.setdefault(ids[0], []).append(k)
+    names, wordings = [name for name, _ in rules], [wording for _, wording in rules]
     body = docs.select(docs[id_column].cast("bigint").alias("doc_id"), text_column(docs, text).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        patterns = [rule_pattern(w) for w in wordings]
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = [known.get(s, -1) for s in sentences(body)]
-                if max(found, default=-1) >= 0:
-                    rows += [(doc_id, book[r][0], r, at, len(book[r][1]), len(found)) for r, at in matches(found, book, starts)]
+                runs, n = licence_runs(body, patterns)
+                rows += [(doc_id, names[r], r, at, k, n) for r, at, k in runs]
             columns = list(zip(*rows, strict=True)) or [[]] * 6
             kinds = (pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)],
