@@ -9,17 +9,18 @@ from shelfline.llm import langid, line_rules, mixing, packing, setjoin
 from shelfline.llm.common import arrow_session, documents, fresh, settle
 from shelfline.llm.encode import tokenizer_path
 
+# As a part of the language's typical score: the share of a text's trigrams that a bounded list has differs by language.
 LEAST_LANGUAGE_SCORE = 0.5
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; ``und`` and weak guesses go."""
     arrow_session(spark)
-    filters = langid.learn_languages(docs.select("lang", "text"))
+    filters = langid.learn_languages(docs.select("lang", "text"), scaled=True)
     guess = fresh(docs, "language")
     return (
         docs.withColumn(guess, langid.language_of(filters, docs["text"], spark))
-        .where((F.col(guess)["lang_pred"] != langid.UNKNOWN) & (F.col(guess)["score"] >= LEAST_LANGUAGE_SCORE)).select(docs.columns)
+        .where((F.col(guess)["lang_pred"] != langid.UNKNOWN) & (F.col(guess)["score"] >= LEAST_LANGUAGE_SCORE * F.col(guess)["typical"])).select(docs.columns)
     )
 
 

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import STEP_CHARS, mixed
+from shelfline.llm.common import STEP_CHARS, mixed, settle
 
 UNKNOWN = "und"
 SLOTS = 1 << 18  # positions of the filters; one word of language bits each
@@ -59,6 +59,7 @@ class LanguageFilters:
     languages: list[str]
     slots: np.ndarray
     false_rate: np.ndarray
+    typical: dict[str, float] = field(default_factory=dict)
 
     @classmethod
     def build(cls, grams: dict[str, np.ndarray]) -> LanguageFilters:
@@ -81,16 +82,31 @@ class LanguageFilters:
 
     def predict(self, text: str | None) -> tuple[str, float]:
         """Language and score; ``und`` without a letter, or when no language was learned."""
+        real = self.shares(text)
+        if real is None:
+            return UNKNOWN, 0.0
+        best = int(np.argmax(real))
+        return self.languages[best], float(min(1.0, max(0.0, real[best])))
+
+    def shares(self, text: str | None) -> np.ndarray | None:
+        """The part of the text's trigrams in each filter, less false hits; None without a letter or a language."""
         total, counts = 0, np.zeros(len(self.languages))
         for grams in trigrams(text or ""):
             total += len(grams)
             if len(grams) and self.languages:
                 counts += self.popcounts(grams)
         if total == 0 or not self.languages:
-            return UNKNOWN, 0.0
-        real = (counts / total - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9)
-        best = int(np.argmax(real))
-        return self.languages[best], float(min(1.0, max(0.0, real[best])))
+            return None
+        return (counts / total - self.false_rate) / np.maximum(1 - self.false_rate, 1e-9)
+
+    def score_of(self, text: str | None, language: str) -> float | None:
+        """The score of one language, None where there is none."""
+        real = self.shares(text) if language in self.languages else None
+        return None if real is None else float(min(1.0, max(0.0, real[self.languages.index(language)])))
+
+    def typical_of(self, language: str) -> float:
+        """The typical score of the language's documents; 1 where none was learned."""
+        return self.typical.get(language, 1.0)
 
 
 def positions(grams: np.ndarray) -> list[np.ndarray]:
@@ -115,11 +131,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(gram), pa.string()), "gram": gram, "docs": docs, "uses": uses})
 
 
-def learn_languages(rows: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, grams_per_language: int = GRAMS_PER_LANGUAGE) -> LanguageFilters:
+def learn_languages(rows: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE, grams_per_language: int = GRAMS_PER_LANGUAGE,
+                    scaled: bool = False) -> LanguageFilters:
     """Fit the filters on ``rows`` (lang, text); NULL langs and texts teach nothing.
 
     The fit reads at most ``docs_per_language`` documents of each language, those with the smallest hashes
     of their text, and keeps at most ``grams_per_language`` trigrams each: both bound what reaches the driver.
+    ``scaled`` adds each language's typical score: the median over the sample, each half judged by filters of the other.
     An empty table gives filters without languages.
     """
     known = rows.select(F.col("lang").cast("string").alias("lang"), "text").where("lang IS NOT NULL AND text IS NOT NULL")
@@ -131,22 +149,35 @@ def learn_languages(rows: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
     limit = F.lit(None)
     for lang, n in sizes.items():
         limit = F.when(F.col("lang") == lang, F.lit(int(min(1.0, 1.2 * docs_per_language / n) * (1 << 40)))).otherwise(limit)
-    from pyspark.sql import Window
 
     sample = (
         draw.where(F.col("draw") < limit)
         .withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text")))
         .where(F.col("rank") <= docs_per_language).select("lang", "text")
     )
+    seen = {lang: min(n, docs_per_language) for lang, n in sizes.items()}
+    if not scaled:
+        return _fit(sample, seen, grams_per_language)
+    half = F.pmod(F.xxhash64("text", F.lit(21)), F.lit(2)).cast("int")
+    sample = settle(sample.withColumn("half", half), "language-sample")
+    halves = []
+    for k in (0, 1):
+        part = sample.where(F.col("half") == k)
+        halves.append(_fit(part, {r["lang"]: r["count"] for r in part.groupBy("lang").count().collect()}, grams_per_language))
+    filters = _fit(sample, seen, grams_per_language)
+    filters.typical = _typical(sample, halves)
+    return filters
+
+
+def _fit(sample: DataFrame, seen: dict[str, int], grams_per_language: int) -> LanguageFilters:
     # The ranked rows of a language lie in one task; deal them out before the counting.
-    dealt = sample.repartition(F.xxhash64("text"))
+    dealt = sample.select("lang", "text").repartition(F.xxhash64("text"))
     counted = dealt.mapInArrow(_count, "lang string, gram bigint, docs bigint, uses bigint").groupBy("lang", "gram").agg(
         F.sum("docs").alias("docs"), F.sum("uses").alias("uses"))
     top = Window.partitionBy("lang").orderBy(F.desc("docs"), F.desc("uses"), "gram")
     found = counted.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= grams_per_language).toPandas()
     if found.empty:
         return LanguageFilters.build({})
-    seen = {lang: min(n, docs_per_language) for lang, n in sizes.items()}
     found["rate"] = found["uses"] / found.groupby("lang")["uses"].transform("sum")
     found["best"] = found.groupby("gram")["rate"].transform("max")
     share = found["docs"] / found["lang"].map(seen)
@@ -154,13 +185,29 @@ def learn_languages(rows: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE,
     return LanguageFilters.build({lang: g["gram"].to_numpy(np.int64) for lang, g in keep.groupby("lang")} if len(keep) else {})
 
 
+def _typical(sample: DataFrame, halves: list[LanguageFilters]) -> dict[str, float]:
+    """Median score of each language's sample by its own filter, learned from the other half of the sample."""
+    shared = sample.sparkSession.sparkContext.broadcast(halves)
+
+    @F.pandas_udf("double")
+    def own(langs: pd.Series, texts: pd.Series, half: pd.Series) -> pd.Series:
+        scores = [shared.value[1 - h].score_of(t, lang) for lang, t, h in zip(langs, texts, half, strict=True)]
+        return pd.Series(scores, dtype="float64")
+
+    dealt = sample.repartition(F.xxhash64("text")).select("lang", own("lang", "text", "half").alias("score"))
+    # Arrow gives a score that is missing as NULL or NaN.
+    scored = dealt.where("score IS NOT NULL AND NOT isnan(score)").groupBy("lang").agg(F.median("score").alias("score"))
+    return {r["lang"]: r["score"] for r in scored.collect()}
+
+
 def language_of(filters: LanguageFilters, text: Column, spark) -> Column:
-    """A struct (lang_pred, score) for a text column."""
+    """A struct (lang_pred, score, typical score of lang_pred) for a text column."""
     shared = spark.sparkContext.broadcast(filters)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, typical double")
     def predict(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.predict(t) for t in texts], columns=["lang_pred", "score"])
+        found = [shared.value.predict(t) for t in texts]
+        return pd.DataFrame([(*f, shared.value.typical_of(f[0])) for f in found], columns=["lang_pred", "score", "typical"])
 
     return predict(text)
 

@@ -1,11 +1,13 @@
 """Whole jobs: inputs beyond what the given tables hold."""
 
 import collections
+import random
 import re
 import textwrap
 
 import pytest
 
+import corpus_pipeline
 from shelfline.llm import licences
 from shelfline.llm.common import arrow_session, documents
 
@@ -79,3 +81,19 @@ def test_licences_on_unwrapped_texts_are_those_of_the_sentences(spark, sf_dir):
     assert want and sorted(map(tuple, got)) == sorted(want)
     odd = "a.b: c\n;; d  e. . .\n\n\n2. F;g ; h\r\n!\n" * 3
     assert len(re.split(rb"[\n.\r]", licences.laid_out((odd + "\n").encode().translate(licences._FOLD)))) == len(licences.sentences(odd))
+
+
+def test_language_stage_keeps_languages_of_large_alphabets(spark):
+    rng = random.Random(4)
+    signs = [chr(0x4E00 + i) for i in range(4000)]
+    words = {"zh": ["".join(rng.choices(signs, k=rng.choice((1, 2, 2)))) for _ in range(6000)],
+             "en": ["".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 5))) + " " for _ in range(300)]}
+    shares = {k: [1 / (i + 8) for i in range(len(v))] for k, v in words.items()}
+    rows = [(i, "".join(rng.choices(words[lang], shares[lang], k=200)), lang) for i, lang in enumerate(["zh", "en"] * 150)]
+    junk = [(1000 + i, " ".join("".join(rng.choices("qxzjkvwpyb", k=7)) for _ in range(40)), None) for i in range(5)]
+    docs = spark.createDataFrame(rows + junk, "doc_id bigint, text string, lang string")
+    got = [r.lang for r in corpus_pipeline.language_stage(spark, docs, "").collect()]
+    filters = corpus_pipeline.langid.learn_languages(docs.select("lang", "text"))
+    scores = sorted(filters.predict(text)[1] for _, text, lang in rows if lang == "zh")
+    assert scores[75] < 0.5, "the case is not one of a large alphabet"
+    assert collections.Counter(got) == {"zh": 150, "en": 150}
