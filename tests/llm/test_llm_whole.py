@@ -8,7 +8,7 @@ import textwrap
 import pytest
 
 import corpus_pipeline
-from shelfline.llm import licences
+from shelfline.llm import licences, mixing
 from shelfline.llm.common import arrow_session, documents
 
 
@@ -97,3 +97,23 @@ def test_language_stage_keeps_languages_of_large_alphabets(spark):
     scores = sorted(filters.predict(text)[1] for _, text, lang in rows if lang == "zh")
     assert scores[75] < 0.5, "the case is not one of a large alphabet"
     assert collections.Counter(got) == {"zh": 150, "en": 150}
+
+
+def test_mixing_takes_more_sources_than_the_driver_holds(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, rng.choice([None, "", "a", "b", "é", "big", "big", "big"] + [f"s{k}" for k in range(20)]), "w " * rng.randint(0, 40)) for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string").repartition(4).cache()
+    few = {r.doc_id: r for r in mixing.mix_plan(docs, block_docs=4).collect()}
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 10)
+    monkeypatch.setattr(mixing, "BINS", 8)
+    many = mixing.mix_plan(docs, block_docs=4).collect()
+    assert len(many) == len(rows) and all((r.size, r.source_size) == (few[r.doc_id].size, few[r.doc_id].source_size) for r in many)
+    assert all(abs(r.target - few[r.doc_id].target) < 1e-6 * (1 + r.target) for r in many)
+    taken, shards = collections.Counter(), collections.Counter()
+    for r in many:
+        taken[r.source] += r.size * len(r.draws)
+        shards.update(r.draws)
+    target = {r.source: r.target for r in many}
+    assert all(abs(taken[s] - t) <= 40 for s, t in target.items()) and set(shards) == set(range(mixing.SHARDS))
+    assert all(shards[k] > 0.3 * sum(shards.values()) / mixing.SHARDS for k in shards)
+    assert mixing.mix(docs, block_docs=4).count() == sum(shards.values())
