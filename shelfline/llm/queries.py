@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import balltree, chats, langid, licences, line_rules, mixing, packing, quality, setjoin, token_files
+from shelfline.llm import balltree, chats, langid, licences, line_rules, merkle, mixing, packing, quality, setjoin, token_files
 from shelfline.llm.common import documents, work_dir
 from shelfline.llm.encode import tokenizer_path
 
@@ -131,6 +131,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=0).drop("ids", "bucket")
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and tamper check of every document."""
+    return merkle.prove(merkle.build_manifest(documents(spark, sf_dir))).select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One query per operator, by number."""
     own = [v for k, v in globals().items() if k.startswith("op") and callable(v)]
@@ -139,4 +145,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """Check statements of the operators that SQL can express."""
-    return {"op1_line_frequency": OP1_SQL, "op5_licences": _licence_sql(), "op6_top_k": OP6_SQL, "op8_chats": chats.SQL}
+    return {"op1_line_frequency": OP1_SQL, "op5_licences": _licence_sql(), "op6_top_k": OP6_SQL, "op8_chats": chats.SQL,
+            "op13_merkle": merkle.SQL}

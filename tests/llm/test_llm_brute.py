@@ -33,7 +33,7 @@ def test_matches_sql(spark, sf_dir, name):
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(k[2:].split("_")[0]) for k in LLM) == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert {int(k[2:].split("_")[0]) for k in LLM} >= set(range(1, 11)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
