@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from shelfline.session import configure, settle, work_dir
 
-__all__ = ["arrow_session", "documents", "fresh", "in_slices", "mixed", "settle", "text_column", "work_dir"]
+__all__ = ["arrow_session", "documents", "fresh", "in_slices", "mixed", "numbered", "settle", "text_column", "work_dir"]
 
 # Rows per Arrow batch: documents may be megabytes long, so few are in memory at once.
 BATCH_ROWS = 256
@@ -66,3 +66,22 @@ def mixed(x: np.ndarray) -> np.ndarray:
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of an Arrow batch, NULL as the empty string."""
     return [t or "" for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
+
+
+def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
+    """``df`` with its place from 0 in the given order, nulls first; no task sees more than one range of the rows.
+
+    The rows are sorted range by range and stored with their place inside the range; only one count a range
+    reaches the driver. The order must not leave ties.
+    """
+    spark = df.sparkSession
+    ranks = [F.asc_nulls_first(c) for c in order]
+    placed = settle(df.repartitionByRange(*ranks).sortWithinPartitions(*ranks).withColumn("_at", F.monotonically_increasing_id()), "ranges")
+    part = F.shiftright("_at", 33)
+    counts, start, starts = placed.groupBy(part.alias("part")).count().collect(), 0, []
+    for r in sorted(counts):
+        starts.append((r["part"], start))
+        start += r["count"]
+    firsts = spark.createDataFrame(starts, "_part bigint, _first bigint")
+    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return placed.join(F.broadcast(firsts), part == F.col("_part")).withColumn(name, F.col("_first") + inside).drop("_at", "_part", "_first")

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import arrow_session, settle
+from shelfline.llm.common import arrow_session, numbered, settle
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 # Levels that one stored row climbs: it links a node to its ancestor that many levels up and holds the siblings between.
@@ -67,25 +67,6 @@ def encoded(value: Column) -> Column:
     return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
 
-def numbered(df: DataFrame, order: list[str], name: str) -> DataFrame:
-    """``df`` with its place from 0 in the given order, nulls first; no task sees more than one range of the rows.
-
-    The rows are sorted range by range and stored with their place inside the range; only one count a range
-    reaches the driver. The order must not leave ties.
-    """
-    spark = df.sparkSession
-    ranks = [F.asc_nulls_first(c) for c in order]
-    placed = settle(df.repartitionByRange(*ranks).sortWithinPartitions(*ranks).withColumn("_at", F.monotonically_increasing_id()), "ranges")
-    part = F.shiftright("_at", 33)
-    counts, start, starts = placed.groupBy(part.alias("part")).count().collect(), 0, []
-    for r in sorted(counts):
-        starts.append((r["part"], start))
-        start += r["count"]
-    firsts = spark.createDataFrame(starts, "_part bigint, _first bigint")
-    inside = F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
-    return placed.join(F.broadcast(firsts), part == F.col("_part")).withColumn(name, F.col("_first") + inside).drop("_at", "_part", "_first")
-
-
 def _build(spark, level: DataFrame, station: int, fan_out: int, hop: int) -> DataFrame:
     """The links of one stored level: nodes in blocks of ``fan_out ** hop``, one group each."""
     block = fan_out**hop

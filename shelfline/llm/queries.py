@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import balltree, chats, langid, licences, line_rules, merkle, mixing, packing, quality, setjoin, token_files
+from shelfline.llm import balltree, chats, divergence, langid, licences, line_rules, merkle, mixing, packing, passages, quality, setjoin, token_files
 from shelfline.llm.common import documents, work_dir
 from shelfline.llm.encode import tokenizer_path
 
@@ -131,6 +131,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=0).drop("ids", "bucket")
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every pair of a language's sources, and each source's most telling terms."""
+    return divergence.audit_sources(documents(spark, sf_dir))
+
+
+def op12_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated passages of fifty words leave of every document."""
+    return passages.without_repeats(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots, proof and tamper check of every document."""
     return merkle.prove(merkle.build_manifest(documents(spark, sf_dir))).select(
@@ -146,4 +156,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     """Check statements of the operators that SQL can express."""
     return {"op1_line_frequency": OP1_SQL, "op5_licences": _licence_sql(), "op6_top_k": OP6_SQL, "op8_chats": chats.SQL,
-            "op13_merkle": merkle.SQL}
+            "op11_divergence": divergence.SQL, "op12_passages": passages.SQL, "op13_merkle": merkle.SQL}
