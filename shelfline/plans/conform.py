@@ -238,16 +238,34 @@ def compute_downtime_hours(df: DataFrame) -> DataFrame:
 
 def aggregate_batch_qc(df_batches: DataFrame, df_events: DataFrame) -> DataFrame:
     """Batch verdict: PASS iff no failed check; without checks the own status decides."""
-    verdict = (df_events.where("event_type = 'QC_CHECK'").groupBy("batch_id")
-               .agg(F.bool_and(~F.coalesce(F.col("qc_status") == "FAIL", F.lit(False))).alias("_ok")))
+    verdict = df_events.where("event_type = 'QC_CHECK'").groupBy("batch_id").agg(_checks_passed().alias("_ok"))
+    return _judged(df_batches.join(verdict, "batch_id", "left"))
+
+
+def _checks_passed() -> Column:
+    """Whether no check failed; NULL without a check."""
+    is_check = F.col("event_type") == "QC_CHECK"
+    return F.bool_and(F.when(is_check, ~F.coalesce(F.col("qc_status") == "FAIL", F.lit(False))))
+
+
+def _judged(batches: DataFrame) -> DataFrame:
     own = F.when(F.col("qc_status") == "PASS", True).when(F.col("qc_status") == "FAIL", False)
-    return (df_batches.join(verdict, "batch_id", "left")
-            .withColumn("qc_pass_flag", F.coalesce("_ok", own))
+    return (batches.withColumn("qc_pass_flag", F.coalesce("_ok", own))
             .withColumn("qc_status", F.when(F.col("_ok"), "PASS").when(~F.col("_ok"), "FAIL")
                         .otherwise(F.col("qc_status")))
             .drop("_ok"))
 
 
+def _fold(end_events: Column) -> list[Column]:
+    is_end = F.col("event_type") == "BATCH_END"
+    is_start = F.col("event_type") == "BATCH_START"
+    when = F.struct("event_timestamp", "event_id")
+    end = F.struct("production_line_id", "sku_id", "expected_output_cases", "actual_output_cases",
+                   "qc_status", F.col("event_timestamp").alias("batch_end_ts"))
+    return [F.min_by(F.when(is_end, end), F.when(is_end, when)).alias("_end"),
+            F.min(F.when(is_start, F.col("event_timestamp"))).alias("batch_start_ts"), end_events.alias("end_events")]
+
+
 def pair_batches(events: DataFrame) -> DataFrame:
     """One row per finished batch, folding its start and end events in one aggregate.
 
@@ -255,16 +273,14 @@ def pair_batches(events: DataFrame) -> DataFrame:
     visible in ``end_events``. No self join, and partial aggregation reduces a hot
     batch before the shuffle.
     """
-    is_end = F.col("event_type") == "BATCH_END"
-    when = F.struct("event_timestamp", "event_id")
-    end = F.struct("production_line_id", "sku_id", "expected_output_cases", "actual_output_cases",
-                   "qc_status", F.col("event_timestamp").alias("batch_end_ts"))
-    folded = (events.where(F.col("event_type").isin(*BATCH_EVENTS)).groupBy("batch_id").agg(
-        F.min_by(F.when(is_end, end), F.when(is_end, when)).alias("_end"),
-        F.min(F.when(~is_end, F.col("event_timestamp"))).alias("batch_start_ts"),
-        F.count_if(is_end).alias("end_events")))
+    count = F.count_if(F.col("event_type") == "BATCH_END")
+    return _paired(events.where(F.col("event_type").isin(*BATCH_EVENTS)).groupBy("batch_id").agg(*_fold(count)))
+
+
+def _paired(folded: DataFrame) -> DataFrame:
+    kept = [c for c in folded.columns if c not in ("batch_id", "_end", "batch_start_ts", "end_events")]
     out = folded.where("end_events > 0 AND batch_id IS NOT NULL").select(
-        "batch_id", "_end.*", "batch_start_ts", "end_events")
+        "batch_id", "_end.*", "batch_start_ts", "end_events", *kept)
     status = F.col("qc_status")
     return out.withColumns({
         "batch_date": as_timestamp("batch_start_ts").cast("date"),
@@ -274,6 +290,24 @@ def pair_batches(events: DataFrame) -> DataFrame:
     })
 
 
+def fold_batches(events: DataFrame) -> DataFrame:
+    """All that a batch's events say of it, one row a batch: usable as the state of a stream.
+
+    Every part is a minimum, a set or a conjunction, so a repeated event changes nothing and
+    events may come in any order.
+    """
+    ends = F.collect_set(F.when(F.col("event_type") == "BATCH_END", F.col("event_id")))
+    folded = events.where("batch_id IS NOT NULL AND event_id IS NOT NULL").groupBy("batch_id").agg(
+        *_fold(F.size(ends).cast("bigint")), _checks_passed().alias("_ok"))
+    return folded
+
+
+def finish_batches(folded: DataFrame) -> DataFrame:
+    """Finished batches out of ``fold_batches``, equal to ``conform_batches`` of the same events."""
+    tagged = q.tag(_typed_batches(_paired(folded)), BATCH_RULES[2:])
+    return _judged(q.clean_rows(tagged))
+
+
 BATCH_RULES = (
     q.not_null(["batch_id"]),
     q.unique(["batch_id"]),
@@ -299,7 +333,11 @@ def conform_events(events: DataFrame) -> DataFrame:
 
 def shape_batches(events: DataFrame) -> DataFrame:
     """Typed finished batches with their yield, still to be checked."""
-    return compute_yield_rate(pair_batches(events).withColumns({
+    return _typed_batches(pair_batches(events))
+
+
+def _typed_batches(paired: DataFrame) -> DataFrame:
+    return compute_yield_rate(paired.withColumns({
         "expected_output_cases": as_int("expected_output_cases"),
         "actual_output_cases": as_int("actual_output_cases"),
         "batch_start_ts": as_timestamp("batch_start_ts"),
