@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -56,7 +57,7 @@ def super_kmers(texts: list[bytes], window: int = WINDOW, gram: int = GRAM) -> R
         return Runs(words, none, none, none, none)
     code = {w: i for i, w in enumerate(known)}
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
-    flat = hashes[np.fromiter((c for ws in words for c in map(code.__getitem__, ws)), np.int64, int(sizes.sum()))]
+    flat = hashes[np.fromiter(map(code.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(sizes.sum()))]
     n = len(flat)
     with np.errstate(over="ignore"):
         grams = flat[: n - gram + 1].copy()
@@ -218,7 +219,7 @@ def count_windows(packs: dict[bytes, list], window: int) -> tuple[list[bytes], l
     words = [r[0].split() for r in packs.values()]
     sizes = np.fromiter(map(len, words), np.int64, len(words))
     known: dict[bytes, int] = {w: i for i, w in enumerate(set().union(*words))}
-    codes = np.fromiter((c for ws in words for c in map(known.__getitem__, ws)), np.int64, int(sizes.sum()))
+    codes = np.fromiter(map(known.__getitem__, itertools.chain.from_iterable(words)), np.int64, int(sizes.sum()))
     owner = np.repeat(np.arange(len(words)), sizes)
     ends = np.cumsum(sizes)
     at = np.flatnonzero(np.arange(len(codes)) + window <= ends[owner])
@@ -346,11 +347,15 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text: str = "tex
         .mapInArrow(_count_buckets(window), "pack binary, lows array<bigint>")
     )
     distinct = settle(source.mapInArrow(_packed(hot, window, True), strings).groupBy("pack").agg(
-        F.min("low").alias("low"), F.first("words").alias("words")).select("pack", "words", "low"), "hot-strings")
-    windows = settle(distinct.mapInArrow(_windows(window), "pack binary, at int, key binary, low bigint"), "hot-windows")
-    least = windows.groupBy("key").agg(F.min("low").alias("least"))
-    hot_verdicts = windows.select("pack", "at", "key").join(least, "key").groupBy("pack").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("at", "least"))), lambda x: x["least"]).alias("lows"))
+        F.min("low").alias("low"), F.max("high").alias("high"), F.first("words").alias("words")), "hot-strings")
+    windows = settle(distinct.select("pack", "words", "low").mapInArrow(_windows(window), "pack binary, at int, key binary, low bigint"), "hot-windows")
+    # A window of one string alone has the string's own least document: only the others come back.
+    least = settle(windows.groupBy("key").agg(F.min("low").alias("least"), F.count("*").alias("n")).where("n > 1").select("key", "least"), "hot-least")
+    told = windows.select("pack", "at", "key").join(least, "key").groupBy("pack").agg(
+        F.map_from_entries(F.collect_list(F.struct("at", "least"))).alias("told"))
+    sizes = windows.groupBy("pack").agg(F.count("*").cast("int").alias("n"))
+    hot_verdicts = distinct.select("pack", "low", "high").join(sizes, "pack").join(told, "pack", "left").where("low < high OR told IS NOT NULL").select(
+        "pack", F.expr("transform(sequence(0, n - 1), i -> coalesce(try_element_at(told, i), low))").alias("lows"))
 
     runs = found.select("row", "doc_id", F.explode(F.arrays_zip("pack", "first")).alias("r")).select("row", "doc_id", "r.pack", "r.first")
     gone = F.transform("lows", lambda low: low < F.col("doc_id"))
