@@ -200,7 +200,7 @@ def audit_sources(docs: DataFrame, lang: str = "lang", source: str = "source", t
     body = docs.select(*[F.coalesce(docs[c].cast("string"), F.lit("")).alias(a) for c, a in ((lang, "lang"), (source, "source"), (text, "text"))])
     kept = settle(body.select("lang", "text").mapInArrow(_frequencies, "lang string, term string, docs bigint")
                   .groupBy("lang", "term").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= min_docs).select("lang", "term"), "terms")
-    sizes = kept.groupBy("lang").agg(F.count("*").alias("v"))
+    sizes = settle(kept.groupBy("lang").agg(F.count("*").alias("v")), "sizes")
     dealt = kept.join(sizes, "lang").withColumn("shards", F.ceil(F.col("v") / shard_terms).cast("int"))
     shards = settle(
         dealt.groupBy("lang", F.pmod(F.xxhash64("term"), "shards").cast("int").alias("shard"), "shards").agg(F.collect_list("term").alias("terms"))
