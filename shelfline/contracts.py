@@ -180,7 +180,7 @@ def lake_config(source_root: str, lake_root: str) -> dict:
                  "customers", "products", "warehouses", "dq_rejected_records", "pipeline_monitoring")
     gold = ("dim_date", "dim_product", "dim_customer", "dim_warehouse", "dim_region", "dim_channel", "fact_sales", "fact_inventory",
             "fact_production", "fact_shipment", "kpi_daily_revenue", "kpi_inv_turnover", "kpi_prod_yield",
-            "kpi_fulfillment")
+            "kpi_fulfillment", "fact_sales_lines", "kpi")
     return {
         "sources": {k: {"base_path": f"{source_root}/{v}"} for k, v in feeds.items()},
         "tables": {

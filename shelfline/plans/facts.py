@@ -86,6 +86,40 @@ def fact_sales_full(sales: DataFrame, returns: DataFrame, products: DataFrame,
         pct("gross_margin_amount", "net_revenue", 18, 4).alias("gross_margin_pct"))
 
 
+def sales_line_fact(sales: DataFrame, returns: DataFrame, shipments: DataFrame, products: DataFrame, customers: DataFrame,
+                    run_ts: str) -> DataFrame:
+    """Sale fact of one row a line: real returns, all dimension keys, the warehouse that shipped it, the margin share.
+
+    Returns name a receipt and a product; their sum stands at that product's first line of the
+    receipt, so no money is counted twice. Receipts name no warehouse; the lines of an order
+    take the least of the warehouses that shipped it.
+    """
+    money = "decimal(18,4)"
+    returned = returns.groupBy("transaction_id", "sku_id").agg(F.sum("return_amount").cast(money).alias("_amount"))
+    first = (sales.select("transaction_id", "sku_id", "transaction_key").join(returned, ["transaction_id", "sku_id"])
+             .groupBy("transaction_id", "sku_id").agg(F.min("transaction_key").alias("transaction_key"), F.first("_amount").alias("return_amount"))
+             .select("transaction_key", "return_amount"))
+    shipped = (shipments.where("order_id IS NOT NULL").groupBy(F.col("order_id").alias("transaction_id"))
+               .agg(F.min("warehouse_id").alias("_warehouse")))
+    cost = products.select("sku_id", F.col("standard_cost_per_unit").alias("_cost"))
+    who = customers.where("is_current").select("retailer_id", surrogate_key("retailer_id", "valid_from").alias("customer_key"))
+    none, qty = F.lit(0).cast(money), F.col("quantity_sold")
+    lines = (sales.join(first, "transaction_key", "left").join(shipped, "transaction_id", "left")
+             .join(cost, "sku_id", "left").join(who, "retailer_id", "left")
+             .withColumns({"gross_sales_amount": (F.col("unit_price") * qty).cast(money), "return_amount": F.coalesce("return_amount", none),
+                           "cogs": (F.coalesce("_cost", F.lit(0).cast("decimal(10,2)")) * qty).cast(money)})
+             .withColumn("net_revenue", (F.col("gross_sales_amount") - F.col("return_amount")).cast(money))
+             .withColumn("gross_margin_amount", (F.col("net_revenue") - F.col("cogs")).cast(money)))
+    return lines.select(
+        "transaction_key", F.date_format("transaction_date", "yyyyMMdd").cast("int").alias("date_key"),
+        surrogate_key("sku_id").alias("product_key"), "customer_key",
+        F.when(F.col("_warehouse").isNotNull(), surrogate_key("_warehouse")).alias("warehouse_key"),
+        surrogate_key("channel").alias("channel_key"), surrogate_key("region").alias("region_key"),
+        "transaction_date", "transaction_id", "sku_id", "retailer_id", "quantity_sold", "unit_price", "gross_sales_amount", "return_amount",
+        "net_revenue", "cogs", "gross_margin_amount", pct("gross_margin_amount", "net_revenue", 18, 4).alias("gross_margin_pct"),
+        F.lit(run_ts).cast("timestamp").alias("last_updated_ts"))
+
+
 def compute_fact_inventory_snapshot(df_stock: DataFrame, df_rop: DataFrame,
                                     df_dim_date: DataFrame) -> DataFrame:
     """Stock per (sku, warehouse, day) with its reorder alert."""

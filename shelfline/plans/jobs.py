@@ -6,6 +6,8 @@ jobs, so each can be rerun on its own. Dates and times are parameters.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,8 +15,9 @@ from shelfline.functions import as_int, month_label, surrogate_key
 from shelfline.operators import history
 from shelfline.operators import quality as q
 from shelfline.operators.dedup import latest_per_key
-from shelfline.plans import conform, dimensions, facts, ingest, kpi_core
+from shelfline.plans import changes, conform, dimensions, facts, ingest, kpi_core, kpi_tables
 from shelfline.plans.gate import admit
+from shelfline.session import settle
 from shelfline.sources import files, sinks
 
 
@@ -128,14 +131,21 @@ def run_inventory(spark: SparkSession, config: dict, run_ts: str, run_id: str, l
     return rows
 
 
+EVENT_RULES = (q.not_null(["event_id"], rule_id="EVT-ID"),)
+
+
 def run_production(spark: SparkSession, config: dict, run_ts: str, load: str | None = None, run_id: str = "manual") -> int:
-    """Rebuild the batches a load touched from all their events, and store its events."""
+    """Rebuild the batches a load touched from all their events, and store its events.
+
+    Events without an id are rejected and logged, as in the stream.
+    """
     silver = config["tables"]["silver"]
-    events = now = _raw(spark, config, "iot_sensor_events", None)
+    now = admit(config, _raw(spark, config, "iot_sensor_events", load), EVENT_RULES, None, (), "iot_sensor_events", "production_events", run_ts, run_id)
+    events = now
     if load is not None:
-        now = events.where(F.col("_batch_id") == load)
         touched = now.where("batch_id IS NOT NULL").select("batch_id").distinct()
-        events = events.join(touched, "batch_id", "left_semi")
+        earlier = _raw(spark, config, "iot_sensor_events", None).where("event_id IS NOT NULL")
+        events = earlier.join(touched, "batch_id", "left_semi")
     once = latest_per_key(events, ["event_id"], ["_ingested_at"])
     batches = admit(config, conform.shape_batches(once), conform.BATCH_RULES[2:], None, (), "iot_sensor_events",
                     "production_batches", run_ts, run_id)
@@ -199,8 +209,7 @@ def run_facts(spark: SparkSession, config: dict, since: str | None = None) -> di
     return {name: put(df, gold[name], [by]) for name, by, df in plans}
 
 
-def run_kpis(spark: SparkSession, config: dict, since: str | None = None) -> dict[str, int]:
-    """The four standing KPI tables, one partition per month."""
+def _kpi_plans(spark: SparkSession, config: dict, since: str | None) -> dict[str, DataFrame]:
     silver, gold = config["tables"]["silver"], config["tables"]["gold"]
     current = lambda name: sinks.read_current(spark, silver[name])
     fact = lambda name, date: _from(spark.read.parquet(gold[name]), date, since)
@@ -209,30 +218,157 @@ def run_kpis(spark: SparkSession, config: dict, since: str | None = None) -> dic
     # Receipts name no warehouse; their cost counts once a feed does.
     located = sales if "warehouse_key" in sales.columns else sales.withColumn("warehouse_key", F.lit(None).cast("bigint"))
     monthly = lambda df: df.withColumn("report_month", month_label("report_date"))
-    plans = {
+    return {
         "kpi_daily_revenue": monthly(kpi_core.compute_kpi_daily_revenue(sales, products, customers)),
         "kpi_fulfillment": monthly(kpi_core.compute_kpi_fulfillment_rate(fact("fact_shipment", "ship_date"), customers)),
         "kpi_inv_turnover": kpi_core.compute_kpi_inventory_turnover(fact("fact_inventory", "snapshot_date"), located),
         "kpi_prod_yield": monthly(kpi_core.compute_kpi_production_yield(fact("fact_production", "batch_date"))),
     }
+
+
+def run_kpis(spark: SparkSession, config: dict, since: str | None = None) -> dict[str, int]:
+    """The four standing KPI tables, one partition per month."""
     put = sinks.overwrite if since is None else sinks.overwrite_partitions
-    return {name: put(df, gold[name], ["report_month"]) for name, df in plans.items()}
+    return {name: put(df, config["tables"]["gold"][name], ["report_month"]) for name, df in _kpi_plans(spark, config, since).items()}
+
+
+# Conformed tables whose merges the reporting layer follows, and the date they are stored by.
+FOLLOWED = {"sales_transactions": "transaction_date", "sales_returns": "return_date", "inventory_stock": "snapshot_date",
+            "production_batches": "batch_date", "production_events": "event_date", "shipments": "ship_date"}
+
+
+def _returns(spark: SparkSession, config: dict) -> DataFrame:
+    """Stored returns; none before the first return."""
+    path = config["tables"]["silver"]["sales_returns"]
+    if sinks.exists(spark, path):
+        return spark.read.parquet(path)
+    return spark.createDataFrame([], "transaction_id string, sku_id string, return_amount decimal(12,2), return_date date")
+
+
+def kpi_inputs(spark: SparkSession, config: dict) -> dict[str, DataFrame]:
+    """What the specification's KPI tables are built from, out of the conformed tables."""
+    silver = config["tables"]["silver"]
+    current = lambda name: sinks.read_current(spark, silver[name])
+    stored = lambda name: spark.read.parquet(silver[name])
+    accounts = current("customers").where("is_current")
+    places = accounts.select("retailer_id", F.col("region").alias("_region"), F.col("channel").alias("_channel"))
+
+    def placed(df: DataFrame) -> DataFrame:
+        """Region and channel of the account where the feed names none."""
+        with_both = df.join(places, "retailer_id", "left")
+        own = lambda c: F.coalesce(c, f"_{c}") if c in df.columns else F.col(f"_{c}")
+        return with_both.withColumns({"region": own("region"), "channel": own("channel")}).drop("_region", "_channel")
+
+    shipments = stored("shipments")
+    if "batch_id" not in shipments.columns:  # the feed names no batch: no chain is complete
+        shipments = shipments.withColumn("batch_id", F.lit(None).cast("string"))
+    spend = stored("sales_spend") if sinks.exists(spark, silver["sales_spend"]) else spark.createDataFrame(
+        [], "retailer_id string, period_start_date date, total_acquisition_cost_usd decimal(18,2)")
+    return {"sales": placed(stored("sales_transactions")), "returns": _returns(spark, config), "products": current("products"),
+            "stock": stored("inventory_stock"), "reorder": current("ref_reorder_points"), "batches": stored("production_batches"),
+            "events": stored("production_events"), "shipments": placed(shipments), "accounts": accounts, "spend": spend}
+
+
+def run_sales_lines(spark: SparkSession, config: dict, run_ts: str, span: changes.Span | None = None) -> int:
+    """The sale fact of one row a line with its returns, whole or for some months."""
+    i, path = kpi_inputs(spark, config), config["tables"]["gold"]["fact_sales_lines"]
+    history_rows = sinks.read_current(spark, config["tables"]["silver"]["customers"])
+    sales = i["sales"] if span is None else i["sales"].where(changes.in_months("transaction_date", span))
+    fact = facts.sales_line_fact(sales, i["returns"], i["shipments"], i["products"], history_rows, run_ts)
+    return sinks.overwrite(fact, path, ["transaction_date"]) if span is None else changes.replace_months(fact, path, "transaction_date", span)
+
+
+def run_changed(spark: SparkSession, config: dict, run_ts: str) -> dict[str, int]:
+    """Bring the reporting layer up to date with the merges since the last run, however old the rows they brought.
+
+    Each merge recorded the days it touched. A changed day rebuilds its month in the facts it
+    feeds and in the KPI tables that look at it, following the windows: weeks begin in the
+    month before, streaks run on, stoppages meet batches of the next day, returns go back to
+    their receipt. All other partitions keep their files. Tables about the day of the run are
+    written for that day. The record goes only when everything is written: a run that broke
+    off is done again.
+    """
+    silver, gold = config["tables"]["silver"], config["tables"]["gold"]
+    new = changes.Changes(spark, {name: silver[name] for name in FOLLOWED})
+    out = run_dimensions(spark, config)
+    current = lambda name: sinks.read_current(spark, silver[name])
+    products, customers, days = current("products"), current("customers"), spark.read.parquet(gold["dim_date"])
+    month = changes.months_reached
+    returned = [] if not new.days["sales_returns"] else changes.receipts_of(
+        spark.read.parquet(silver["sales_returns"]), spark.read.parquet(silver["sales_transactions"]), new.days["sales_returns"])
+    spans = {
+        "fact_sales": month(new.days["sales_transactions"]),
+        "fact_inventory": month(new.days["inventory_stock"]),
+        "fact_production": changes.merged(month(new.days["production_batches"]), month(new.days["production_events"], -1, 1)),
+        "fact_shipment": month(new.days["shipments"]),
+    }
+    stored = lambda table, fact: spark.read.parquet(silver[table]).where(changes.in_months(FOLLOWED[table], spans[fact]))
+
+    def production() -> DataFrame:
+        batches = stored("production_batches", "fact_production")
+        hit = facts.attribute_downtime(batches, spark.read.parquet(silver["production_events"]))
+        return facts.compute_fact_production_batch(batches, facts.booked_hours(hit), days)
+
+    plans = {
+        "fact_sales": ("transaction_date", lambda: facts.compute_fact_sales(stored("sales_transactions", "fact_sales"), products, customers, days)),
+        "fact_inventory": ("snapshot_date", lambda: facts.compute_fact_inventory_snapshot(
+            stored("inventory_stock", "fact_inventory"), current("ref_reorder_points"), days)),
+        "fact_production": ("batch_date", production),
+        "fact_shipment": ("ship_date", lambda: facts.compute_fact_shipment(stored("shipments", "fact_shipment"), customers, days)),
+    }
+    for name, (by, plan) in plans.items():
+        if spans[name]:
+            out[name] = changes.replace_months(plan(), gold[name], by, spans[name])
+    lines = changes.merged(spans["fact_sales"], month(returned))
+    if lines:
+        out["fact_sales_lines"] = run_sales_lines(spark, config, run_ts, lines)
+    out |= _write_kpis(spark, config, {
+        "kpi_daily_revenue": spans["fact_sales"], "kpi_fulfillment": spans["fact_shipment"], "kpi_prod_yield": spans["fact_production"],
+        "kpi_inv_turnover": changes.merged(spans["fact_inventory"], spans["fact_sales"])})
+    changed = {"sales": [*new.days["sales_transactions"], *returned], "batches": new.days["production_batches"],
+               "events": new.days["production_events"], "shipments": new.days["shipments"]}
+    out |= kpi_tables.write_kpi_tables(kpi_inputs(spark, config), gold["kpi"], run_ts[:10], changed=changed)
+    new.done()
+    return out
+
+
+def _write_kpis(spark: SparkSession, config: dict, spans: dict[str, changes.Span]) -> dict[str, int]:
+    """The standing KPI tables of the given months."""
+    gold, out = config["tables"]["gold"], {}
+    for name, df in _kpi_plans(spark, config, None).items():
+        span = spans[name]
+        if span:
+            month = F.to_date("report_month", "yyyy-MM")
+            rows = settle(df.where(changes.in_months("report_date" if "report_date" in df.columns else month, span)), name)
+            stored = spark.read.schema(rows.schema).parquet(gold[name]).select("report_month").distinct() if sinks.exists(spark, gold[name]) else rows.select("report_month").limit(0)
+            gone = settle(stored.where(changes.in_months(month, span)).join(rows.select("report_month").distinct(), "report_month", "left_anti"), "gone")
+            out[name] = sinks.overwrite_partitions(rows, gold[name], ["report_month"])
+            sinks.drop_partitions(spark, gold[name], gone)
+    return out
 
 
 def run_gold(spark: SparkSession, config: dict, since: str | None = None) -> dict[str, int]:
+    """The reporting layer rebuilt, whole or from a month on."""
     return {**run_dimensions(spark, config), **run_facts(spark, config, since), **run_kpis(spark, config, since)}
 
 
-def run_all(spark: SparkSession, config: dict, batch_id: str, run_ts: str, since: str | None = None, invoices: bool = False) -> dict[str, int]:
+def run_all(spark: SparkSession, config: dict, batch_id: str, run_ts: str, since: str | None = None, invoices: bool = False,
+            spend_period: tuple[str, str] | None = None) -> dict[str, int]:
     """One full run of all layers for one load.
 
-    With ``since`` only the months from that day on are rebuilt in the reporting layer;
-    ``invoices`` adds the invoice lines to the conformed sales.
+    The reporting layer follows what the load changed in the conformed tables. With ``since``
+    its months from that day on are rebuilt besides; ``invoices`` adds the invoice lines to
+    the conformed sales. The account feed's spend is booked for ``spend_period``, by
+    default the month of the run.
     """
     landed = run_raw(spark, config, batch_id)
     run_products(spark, config, run_ts, batch_id)
     run_customers(spark, config, run_ts, batch_id, batch_id)
     run_warehouses(spark, config, run_ts, batch_id)
+    if {"trade_spend_usd", "broker_commission_usd", "field_sales_cost_usd"} <= set(_raw(spark, config, "erp_customers", None).columns):
+        today = dt.date.fromisoformat(run_ts[:10])
+        last = (today.replace(day=28) + dt.timedelta(days=4)).replace(day=1) - dt.timedelta(days=1)
+        run_spend(spark, config, run_ts, batch_id, spend_period or (str(today.replace(day=1)), str(last)), batch_id)
     run_sales(spark, config, run_ts, batch_id, batch_id)
     if invoices:
         run_erp_sales(spark, config, run_ts, batch_id, batch_id)
@@ -241,4 +377,5 @@ def run_all(spark: SparkSession, config: dict, batch_id: str, run_ts: str, since
     run_inventory(spark, config, run_ts, batch_id, batch_id)
     run_production(spark, config, run_ts, batch_id, batch_id)
     run_shipments(spark, config, run_ts, batch_id, batch_id)
-    return {**landed, **run_gold(spark, config, since)}
+    followed = run_changed(spark, config, run_ts)
+    return {**landed, **followed, **(run_gold(spark, config, since) if since else {})}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -9,7 +10,12 @@ from pyspark.sql import functions as F
 
 from shelfline.operators.dedup import latest_per_key
 from shelfline.operators.upsert import merge_columns, merge_upsert
-from shelfline.session import settle
+from shelfline.session import settle, work_dir
+from shelfline.sources import key_index
+
+
+# Fixed value: how Spark names the folder of a NULL partition value.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
@@ -88,41 +94,116 @@ def upsert_partitions(spark: SparkSession, path: str, source: DataFrame, keys: S
                       update: Sequence[str] | None = None, key_has_partition: bool = False) -> int:
     """Merge into a partitioned table by rewriting only the partitions it touches.
 
-    Touched are the partitions of the source rows and those that hold a matching key,
-    found by scanning the key columns alone, so a row whose partition value changes
-    leaves no copy behind. When the key determines the partition (``key_has_partition``)
-    that scan is left out. Stored partitions meet the touched ones by plain equality, so
-    they are pruned before they are read; NULL is a branch of its own. With ``update``,
+    Touched are the partitions of the source rows and those that hold a matching key, so a
+    row whose partition value changes leaves no copy behind. An index of Bloom filters beside
+    the table names the partitions that may hold a key; only their key columns are read, to
+    keep those that do. When the key determines the partition (``key_has_partition``)
+    there is nothing to look up. With ``update``,
     matched rows take just those columns. The merged rows are settled before any file is
-    replaced. Returns the rows written.
+    replaced, and a note beside the table lets the next merge finish one that broke off.
+    Returns the rows written.
     """
     if not exists(spark, path):
-        return overwrite_partitions(source, path, [by])
+        if not key_has_partition:
+            source = settle(source, "first")
+            key_index.add_keys(spark, path, source, keys, by)
+        rows = overwrite_partitions(source, path, [by])
+        _record_change(source.select(by).distinct(), path, by, "first")
+        return rows
+    _finish_merge(spark, path, by)
     current = spark.read.parquet(path)
     current = current.select(*[F.col(c).cast(source.schema[c].dataType) if c in source.columns else F.col(c)
                                for c in current.columns])
+    source = settle(source, "source")
     wanted = source.select(by).distinct()
-    held = wanted.limit(0) if key_has_partition else current.join(
-        source.select(*keys).distinct(), list(keys), "left_semi").select(by).distinct()
-    # A list of partition values: settled, so that its size is known where partitions are pruned.
-    touched = settle(held.unionByName(wanted).distinct().withColumnRenamed(by, "_by"), "touched")
-    affected = current.join(touched.where("_by IS NOT NULL"), F.col(by) == F.col("_by"), "left_semi")
-    if not touched.where("_by IS NULL").isEmpty():
-        affected = affected.unionByName(current.where(F.col(by).isNull()))
+    if key_has_partition:
+        held = wanted.limit(0)
+    else:
+        if not exists(spark, key_index.index_path(path)):
+            key_index.rebuild(spark, path, keys, by)
+        maybe = settle(key_index.parts_that_may_hold(spark, path, source, keys, by), "maybe")
+        held = settle(_of_parts(current, maybe, by).join(source.select(*keys).distinct(), list(keys), "left_semi").select(by).distinct(), "held")
+        key_index.add_keys(spark, path, source, keys, by)
+    touched = settle(held.unionByName(wanted).distinct(), "touched")
+    affected = _of_parts(current, touched, by)
     merged = merge_upsert(affected, source, keys) if update is None else merge_columns(affected, source, keys, update)
-    merged = settle(merged, "merge")
+    base = work_dir(spark, "merge")
+    merged.write.parquet(f"{base}/rows")
+    merged = spark.read.schema(merged.schema).parquet(f"{base}/rows")
     # Partitions whose last row moved elsewhere: found before any file is replaced.
-    emptied = settle(touched.select(F.col("_by").alias(by)).where(F.col(by).isNotNull()).join(
-        merged.select(by).distinct(), by, "left_anti").join(current.select(by).distinct(), by, "left_semi"), "emptied")
-    rows = overwrite_partitions(merged, path, [by])
-    drop_partitions(spark, path, emptied)
+    kept = merged.select(F.col(by).alias("_kept")).distinct()
+    held.join(kept, F.col(by).eqNullSafe(F.col("_kept")), "left_anti").write.parquet(f"{base}/emptied")
+    touched.select(F.col(by).cast("string").alias("part")).write.parquet(f"{base}/touched")
+    spark.createDataFrame([(base,)], "base string").coalesce(1).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").parquet(_note(path))
+    return _finish_merge(spark, path, by)
+
+
+def _note(path: str) -> str:
+    return f"{path.rstrip('/')}_merging"
+
+
+def _finish_merge(spark: SparkSession, path: str, by: str) -> int:
+    """Publish the merge that the note names, once more if it broke off before; then the note goes."""
+    if not exists(spark, f"{_note(path)}/_SUCCESS"):
+        return 0
+    base = spark.read.parquet(_note(path)).first()["base"]
+    rows = overwrite_partitions(spark.read.parquet(f"{base}/rows"), path, [by])
+    drop_partitions(spark, path, spark.read.parquet(f"{base}/emptied"))
+    _record_change(spark.read.parquet(f"{base}/touched"), path, "part", base.rsplit("/", 1)[-1])
+    drop_folder(spark, _note(path))
     return rows
 
 
+def _changes(path: str) -> str:
+    return f"{path.rstrip('/')}_changes"
+
+
+def _record_change(parts: DataFrame, path: str, by: str, ident: str) -> None:
+    """Keep the partition values a merge touched, for what is built from the table; repeating it changes nothing."""
+    parts.select(F.col(by).cast("string").alias("part")).distinct().coalesce(1).write.mode("overwrite").option(
+        "partitionOverwriteMode", "static").parquet(f"{_changes(path)}/id={ident}")
+
+
+def change_ids(spark: SparkSession, path: str) -> list[str]:
+    """Merges recorded beside a table and not yet forgotten."""
+    fs, hadoop, jvm = _folder(spark, _changes(path))
+    if not fs.exists(hadoop):
+        return []
+    found = (s.getPath() for s in fs.listStatus(hadoop))
+    return sorted(p.getName()[3:] for p in found if p.getName().startswith("id=") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def changed_days(spark: SparkSession, path: str, ids: Sequence[str]) -> list[dt.date | None]:
+    """Days that the given merges touched: a list of partition values, no rows."""
+    if not ids:
+        return []
+    read = spark.read.schema("part string").parquet(*[f"{_changes(path)}/id={i}" for i in ids])
+    return [r[0] for r in read.select(F.col("part").cast("date")).distinct().collect()]
+
+
+def forget_changes(spark: SparkSession, path: str, ids: Sequence[str]) -> None:
+    for i in ids:
+        drop_folder(spark, f"{_changes(path)}/id={i}")
+
+
+def _of_parts(current: DataFrame, parts: DataFrame, by: str) -> DataFrame:
+    """Stored rows of the listed partitions. The list, a value a partition, prunes folders before any file is opened."""
+    listed = [r[0] for r in parts.collect()]
+    found = F.col(by).isin([v for v in listed if v is not None])
+    return current.where(found | F.col(by).isNull() if None in listed else found)
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    fs, hadoop, _ = _folder(spark, path)
+    fs.delete(hadoop, True)
+
+
 def drop_partitions(spark: SparkSession, root: str, parts: DataFrame) -> None:
     """Delete whole partitions, listed by their column values: a few names, no rows."""
     for row in parts.collect():
-        fs, hadoop, _ = _folder(spark, "/".join([root, *(f"{k}={v}" for k, v in row.asDict().items())]))
+        names = (f"{k}={NULL_FOLDER if v is None else v}" for k, v in row.asDict().items())
+        fs, hadoop, _ = _folder(spark, "/".join([root, *names]))
         fs.delete(hadoop, True)
 
 
