@@ -10,17 +10,28 @@ import functools
 import json
 import os
 import re
+import unicodedata
+from array import array
+from collections.abc import Iterable
 
 import numpy as np
 
 GENERATION = 400_000  # pieces kept in the younger half of the cache; the older half has as many
-JOINED = 2_000  # new pieces handed over in one call
 
-GLUE = "\x1f"  # leads a piece that had no space before it
+GLUE = "\x1f"  # leads the first piece of a text, which had no space before it
+STOPS = ".,;:!?"
+# Letters below this code point are letters to every edition of Unicode; pieces beyond it go to the tokenizer whole.
+PLAIN_END = "\u0530"
 # A space or line break after other white space: runs are tokens of their own there.
 _RUN = re.compile(r"\s(?=[ \n])")
-# Stops and commas that do not follow a letter or digit may belong to a longer run of symbols.
-_STUCK = re.compile(r"(?:^|[\W_])[.,]|[Σ]")
+
+
+@functools.cache
+def _byte_letters() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: printable ones stand for themselves."""
+    own = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in own else next(rest)) for b in range(256)]
 
 
 class PieceEncoder:
@@ -28,6 +39,11 @@ class PieceEncoder:
 
     Two layouts are recognised: byte-level pieces that own their leading space, and word pieces with an
     end-of-word suffix, where white space only separates. Any other tokenizer encodes whole texts.
+
+    A text is cut at spaces and line breaks. A new piece is normalised by the tokenizer's own normaliser;
+    if that leaves letters alone, with at most one stop behind them, the tokenizer's model is
+    asked for the word and for the stop, since the pattern parts the two. All other pieces go to the
+    tokenizer as they are.
     """
 
     def __init__(self, path: str):
@@ -42,9 +58,12 @@ class PieceEncoder:
         self.vocab_size = max(vocab.values()) + 1
         leads = (spec.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and spec.get("normalizer") is None
         self.layout = "suffix" if suffix else "leading" if leads else "whole"
-        self.marks = np.zeros(self.vocab_size, dtype=bool)
-        for token, i in vocab.items():
-            self.marks[i] = token.endswith(suffix) if suffix else token.startswith("Ġ")
+        self.model, self.normalizer = self.tokenizer.model, self.tokenizer.normalizer
+        self.letters = _byte_letters()
+        self.space = self.letters[32]
+        plain = self.layout != "whole"
+        self.stops = {c: self._word(c) for c in STOPS} if plain else {}
+        self.breaks = array("I", [t.id for t in self.model.tokenize(self.letters[10])]).tobytes() if plain else b""
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -53,67 +72,107 @@ class PieceEncoder:
 
     def _pieces(self, text: str) -> list[str] | None:
         if self.layout == "suffix":
-            if not _STUCK.search(text):
-                text = text.replace(",", " ,").replace(".", " .")
+            try:  # these characters are lowered one by one, and none of them composes with another
+                text.encode("latin-1")
+                text = text.lower()
+            except UnicodeEncodeError:
+                pass
             return text.replace("\n", " ").split(" ")
         if self.layout == "leading" and not _RUN.search(text) and GLUE not in text:
-            if not _STUCK.search(text):
-                text = text.replace(",", f" {GLUE},").replace(".", f" {GLUE}.")
-            return text.replace("\n", " \n").split(" ")
+            return (GLUE + text).replace("\n", " \n").split(" ")
         return None
 
     def _whole(self, piece: str) -> str:
+        """The part of the text that a piece stands for."""
         if self.layout == "suffix" or piece[:1] == "\n":
             return piece
         return piece[1:] if piece[:1] == GLUE else " " + piece
 
-    def _learn(self, missing: list[str]) -> None:
-        """Encode new pieces: letters only many at a time, told apart by the marked ids; the rest alone."""
-        plain = [p for p in missing if p.isalpha()]
-        other = [p for p in missing if not p.isalpha()]
-        for i in range(0, len(plain), JOINED):
-            some = plain[i : i + JOINED]
-            ids = np.array(self.tokenizer.encode(" " + " ".join(some), add_special_tokens=False).ids, dtype="<u4")
-            at = np.flatnonzero(self.marks[ids])
-            if len(at) != len(some) or (self.layout == "leading" and len(at) and at[0] != 0):
-                other += some
+    def _word(self, word: str, lead: str = "") -> bytes:
+        """Ids of letters, or of one stop, by the model alone."""
+        if not word.isascii():
+            word = "".join([self.letters[b] for b in word.encode()])
+        return array("I", [t.id for t in self.model.tokenize(lead + word)]).tobytes()
+
+    def _normal(self, piece: str) -> str:
+        """What the tokenizer's normaliser makes of a piece; plain letters need no call of it."""
+        if self.layout != "suffix":
+            return piece
+        if piece.isascii():
+            return piece.lower()
+        if max(piece) < PLAIN_END and "Σ" not in piece:
+            return unicodedata.normalize("NFC", piece).lower()
+        return self.normalizer.normalize_str(piece)
+
+    def _plain(self, piece: str) -> bytes | None:
+        """Ids of a piece of letters with at most one stop; None for any other."""
+        lead, space = b"", ""
+        if self.layout == "leading":
+            first = piece[:1]
+            if first == GLUE or first == "\n":
+                piece = piece[1:]
+                lead = self.breaks if first == "\n" else b""
+            else:
+                space = self.space
+        piece = self._normal(piece)
+        stop = self.stops.get(piece[-1:], b"")
+        if stop:
+            piece = piece[:-1]
+        if not piece.isalpha() or not (piece.isascii() or max(piece) < PLAIN_END):
+            return None
+        return lead + self._word(piece, space) + stop
+
+    def _learn(self, missing: Iterable[str]) -> None:
+        other = []
+        model, space, lower = self.model.tokenize, self.space if self.layout == "leading" else "", self.layout == "suffix"
+        for piece in missing:
+            if piece.isascii() and piece.isalpha():
+                self.young[piece] = array("I", [t.id for t in model(piece.lower() if lower else space + piece)]).tobytes()
                 continue
-            edges = np.append(at, len(ids)) if self.layout == "leading" else np.append(0, at + 1)
-            raw, edges = ids.tobytes(), (edges * 4).tolist()
-            for k, piece in enumerate(some):
-                self.young[piece] = raw[edges[k] : edges[k + 1]]
-        for i in range(0, len(other), JOINED):
-            some = other[i : i + JOINED]
-            found = self.tokenizer.encode_batch_fast([self._whole(p) for p in some], add_special_tokens=False)
-            for piece, e in zip(some, found, strict=True):
-                self.young[piece] = np.array(e.ids, dtype="<u4").tobytes()
+            ids = self._plain(piece)
+            if ids is None:
+                other.append(piece)
+            else:
+                self.young[piece] = ids
+        found = self.tokenizer.encode_batch_fast([self._whole(p) for p in other], add_special_tokens=False)
+        for piece, e in zip(other, found, strict=True):
+            self.young[piece] = array("I", e.ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._pieces(t) for t in texts]
-        wanted: set[str] = set()
-        for pieces in cut:
-            if pieces is not None:
-                wanted.update(pieces if self.layout == "suffix" else pieces[1:])
         if len(self.young) > GENERATION:
             self.old, self.young = self.young, {}
-        missing = []
-        for piece in wanted:
-            if piece not in self.young:
-                known = self.old.get(piece)
-                if known is None:
-                    missing.append(piece)
-                else:
-                    self.young[piece] = known
+        cut = [self._pieces(t) for t in texts]
+        wanted = set().union(*[c for c in cut if c is not None])
+        # The pieces of these texts alone: a small table that stays in the processor's cache.
+        hits = wanted & self.young.keys()
+        near: dict[str, bytes] = dict(zip(hits, map(self.young.__getitem__, hits), strict=True))
+        stopped: list[tuple[str, str]] = []
+        missing: set[str] = set()
+        young, old, stops = self.young.get, self.old.get, self.stops
+        for piece in wanted - hits:
+            key = piece
+            if piece[-1:] in stops:
+                base = piece[:-1]
+                if base.isascii() and base.isalpha():  # known by its word and its stop
+                    stopped.append((piece, base))
+                    if base in near:
+                        continue
+                    key = base
+            ids = young(key)
+            if ids is None:
+                ids = old(key)
+                if ids is None:
+                    missing.add(key)
+                    continue
+                self.young[key] = ids
+            near[key] = ids
         self._learn(missing)
-        look, out = self.young.__getitem__, []
-        for text, pieces in zip(texts, cut, strict=True):
-            if pieces is None:
-                out.append(self._ids(text))
-            elif self.layout == "suffix":
-                out.append(b"".join(map(look, pieces)))
-            else:
-                out.append(self._ids(pieces[0]) + b"".join(map(look, pieces[1:])))
-        return out
+        for piece in missing:
+            near[piece] = self.young[piece]
+        for piece, base in stopped:
+            near[piece] = near[base] + stops[piece[-1]]
+        look = near.__getitem__
+        return [self._ids(text) if pieces is None else b"".join(map(look, pieces)) for text, pieces in zip(texts, cut, strict=True)]
 
 
 @functools.cache

@@ -10,6 +10,7 @@ first. Empty and NULL texts are documents of one end id; an empty table gives no
 from __future__ import annotations
 
 import json
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -35,20 +36,40 @@ def bits_for(vocab_size: int) -> int:
     return max(1, (vocab_size - 1).bit_length())
 
 
+def _lanes(bits: int) -> Iterator[tuple[int, int, int]]:
+    """The ids of one period of whole 64-bit words: number in the period, word, shift."""
+    for k in range(64 // math.gcd(bits, 64)):
+        yield k, k * bits >> 6, k * bits & 63
+
+
 def pack(ids: np.ndarray, bits: int) -> bytes:
-    """Ids as consecutive ``bits``-bit numbers, lowest bit first."""
-    if bits in (8, 16, 32):
-        return ids.astype(f"<u{bits // 8}").tobytes()
-    spread = (ids.astype(np.uint32)[:, None] >> np.arange(bits, dtype=np.uint32)) & np.uint32(1)
-    return np.packbits(spread.astype(np.uint8).reshape(-1), bitorder="little").tobytes()
+    """Ids as consecutive ``bits``-bit numbers, lowest bit first: every id is shifted into its 64-bit word."""
+    period, step = 64 // math.gcd(bits, 64), bits // math.gcd(bits, 64)
+    whole = -(-len(ids) // period)
+    wide = np.zeros(whole * period, np.uint64)
+    wide[: len(ids)] = ids
+    wide = wide.reshape(whole, period)
+    words = np.zeros((whole, step + 1), np.uint64)
+    for k, word, shift in _lanes(bits):
+        words[:, word] |= wide[:, k] << np.uint64(shift)
+        if shift + bits > 64:
+            words[:, word + 1] |= wide[:, k] >> np.uint64(64 - shift)
+    return words[:, :step].astype("<u8").tobytes()[: -(-len(ids) * bits // 8)]
 
 
 def unpack(data: bytes, bits: int, count: int) -> np.ndarray:
     """The first ``count`` ids of a packed block."""
-    if bits in (8, 16, 32):
-        return np.frombuffer(data, f"<u{bits // 8}", count).astype("<u4")
-    flat = np.unpackbits(np.frombuffer(data, np.uint8), count=count * bits, bitorder="little")
-    return (flat.reshape(count, bits).astype(np.uint32) << np.arange(bits, dtype=np.uint32)).sum(axis=1, dtype=np.uint32).astype("<u4")
+    period, step = 64 // math.gcd(bits, 64), bits // math.gcd(bits, 64)
+    whole = -(-count // period)
+    raw = np.zeros(whole * step * 8, np.uint8)
+    raw[: min(len(data), len(raw))] = np.frombuffer(data, np.uint8)[: len(raw)]
+    words = raw.view("<u8").reshape(whole, step)
+    out = np.empty((whole, period), np.uint64)
+    for k, word, shift in _lanes(bits):
+        out[:, k] = words[:, word] >> np.uint64(shift)
+        if shift + bits > 64:
+            out[:, k] |= words[:, word + 1] << np.uint64(64 - shift)
+    return (out.reshape(-1)[:count] & np.uint64((1 << bits) - 1)).astype("<u4")
 
 
 class ShardWriter:

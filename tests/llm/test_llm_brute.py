@@ -2,6 +2,7 @@
 
 import collections
 import random
+import unicodedata
 
 import duckdb
 import numpy as np
@@ -39,12 +40,24 @@ def test_all_operators_are_registered():
 @pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 def test_pieces_give_the_ids_of_the_text(file):
     coder = encode.PieceEncoder(encode.tokenizer_path(file))
-    parts = ["a", "B", "don't", "'s", " ", "  ", "\n", "\n\n", "\t", ".", ",", "...", "!.", "é", "é", "3.14", "_", "中文", "\x1f", " ", "<|endoftext|>", "Σ", "Word", "other"]
+    parts = ["a", "B", "don't", "'s", " ", "  ", "\n", "\n\n", "\t", ".", ",", "...", "!.", "é", "é", "3.14", "_", "中文", "\x1f", " ", "<|endoftext|>", "Σ", "Word", "other", "İ", "क़", "שּׁ", "̇", "ﬁ", "ǅ", "Ж", ";", "?", "a.b"]
     texts = ["".join(RNG.choice(parts) for _ in range(RNG.randint(0, 40))) for _ in range(1500)]
     for raw, text in zip(coder.encode(texts), texts, strict=True):
         assert np.frombuffer(raw, "<u4").tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_every_code_point_before_a_stop(file):
+    coder = encode.PieceEncoder(encode.tokenizer_path(file))
+    known = [chr(i) for i in range(0x110000) if unicodedata.category(chr(i)) not in ("Cs", "Cn", "Co")]
+    texts = [f"a{c}, b{c}. {c}! x" for c in known]
+    for i in range(0, len(texts), 2000):
+        some = texts[i : i + 2000]
+        want = coder.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+        for text, raw, w in zip(some, coder.encode(some), want, strict=True):
+            assert np.frombuffer(raw, "<u4").tolist() == w.ids, ascii(text)
+
+
 @pytest.mark.parametrize("bits", [1, 5, 13, 16, 17, 24, 32])
 def test_bit_packing_round_trip(bits, tmp_path):
     ids = np.random.default_rng(bits).integers(0, 1 << bits, 3 * token_files.BLOCK + 77, dtype=np.uint64).astype("<u4")
