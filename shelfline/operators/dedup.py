@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfline.session import settle
+
 
 def _sortable(df: DataFrame, skip: set[str]) -> list[Column]:
     """Ascending order over the remaining sortable columns: the tie-break."""
@@ -33,23 +35,37 @@ def mark_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | N
                  flag: str = "_repeat", eligible: Column | None = None) -> DataFrame:
     """Flag every row of a key but its first; all rows are kept.
 
-    Two chained windows bound the work per task. The first ranks a key's rows
-    inside each input partition; the second lets only those local winners compete
-    per key, so its groups hold at most one row per input partition. Rows outside
-    ``eligible`` are never flagged and do not compete.
+    Hashes of the keys are counted first, with map-side sums, and those seen twice are stored.
+    Rows of any other hash are their key's only row: they pass without a shuffle or sort as
+    long as the stored hashes are few. Only the rest are ranked, exactly, so keys that share a
+    hash do no harm. Rows outside ``eligible`` are never flagged and do not compete.
+    ``df`` is read once for the count and once for each of the two parts.
     """
-    tie = _sortable(df, set(keys))
-    order = [*(order or []), *tie]
     open_rows = F.lit(True) if eligible is None else eligible
-    split = df.withColumn("_open", open_rows).withColumn("_part", F.spark_partition_id())
-    local = Window.partitionBy(*keys, "_open", "_part").orderBy(*order)
+    hashed = F.xxhash64(*[F.col(k) for k in keys])
+    twice = settle(df.where(open_rows).groupBy(hashed.alias("_twice")).agg(F.count("*").alias("_n"))
+                   .where("_n > 1").select("_twice"), "repeated-keys")
+    split = df.withColumn("_open", F.coalesce(open_rows, F.lit(False))).withColumn("_hash", hashed)
+    met = F.col("_open") & (F.col("_hash") == F.col("_twice"))
+    alone = split.join(twice, met, "left_anti").drop("_open", "_hash").withColumn(flag, F.lit(False))
+    ranked = _rank_repeats(split.join(twice, met, "left_semi").drop("_open", "_hash"), keys, order, flag)
+    return alone.unionByName(ranked)
+
+
+def _rank_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None, flag: str) -> DataFrame:
+    """Two chained windows bound the work per task. The first ranks a key's rows inside each
+    input partition; the second lets only those local winners compete per key, so its groups
+    hold at most one row per input partition.
+    """
+    order = [*(order or []), *_sortable(df, set(keys))]
+    split = df.withColumn("_part", F.spark_partition_id())
+    local = Window.partitionBy(*keys, "_part").orderBy(*order)
     split = split.withColumn("_local", F.row_number().over(local))
     split = split.withColumn("_lane", F.when(F.col("_local") == 1, F.lit(-1)).otherwise(F.col("_part")))
-    final = Window.partitionBy(*keys, "_open", "_lane").orderBy(*order, F.col("_part"))
+    final = Window.partitionBy(*keys, "_lane").orderBy(*order, F.col("_part"))
     split = split.withColumn("_final", F.row_number().over(final))
     first = (F.col("_local") == 1) & (F.col("_final") == 1)
-    return (split.withColumn(flag, F.col("_open") & ~first)
-            .drop("_open", "_part", "_local", "_lane", "_final"))
+    return split.withColumn(flag, ~first).drop("_part", "_local", "_lane", "_final")
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import surrogate_key
 from shelfline.operators.dedup import mark_repeats
+from shelfline.session import settle as stored
 
 FAILED = "_dq_failed"
 REASON = "_dq_failure_reason"
@@ -156,6 +157,7 @@ def tag(df: DataFrame, rules: Sequence[Rule | None], order: Sequence[Column] | N
     out = df.withColumn(FAILED, F.lit(None).cast("int"))
     pending: list[tuple[int, Column]] = []
     flags: list[str] = []
+    ranked = False
 
     def settle(frame: DataFrame) -> DataFrame:
         if not pending:
@@ -169,6 +171,9 @@ def tag(df: DataFrame, rules: Sequence[Rule | None], order: Sequence[Column] | N
             continue
         if rule.kind == "unique":
             out = settle(out)
+            if ranked:  # each such rule reads its input more than once
+                out = stored(out, "tagged")
+            ranked = True
             out = mark_repeats(out, rule.columns, order, "_dq_repeat", F.col(FAILED).isNull())
             predicate = F.col("_dq_repeat")
             if rule.blocks:
