@@ -22,6 +22,7 @@ GLUE = "\x1f"  # leads the first piece of a text, which had no space before it
 STOPS = ".,;:!?"
 # Letters below this code point are letters to every edition of Unicode; pieces beyond it go to the tokenizer whole.
 PLAIN_END = "\u0530"
+MARKED = "\u0130"  # the one of them whose lower case ends in a combining mark
 # A space or line break after other white space: runs are tokens of their own there.
 _RUN = re.compile(r"\s(?=[ \n])")
 
@@ -66,6 +67,7 @@ class PieceEncoder:
         self.breaks = array("I", [t.id for t in self.model.tokenize(self.letters[10])]).tobytes() if plain else b""
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.spaced: set[str] = set()  # cached pieces behind which a run of white space can stand
 
     def _ids(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
@@ -78,7 +80,7 @@ class PieceEncoder:
             except UnicodeEncodeError:
                 pass
             return text.replace("\n", " ").split(" ")
-        if self.layout == "leading" and not _RUN.search(text) and GLUE not in text:
+        if self.layout == "leading" and GLUE not in text:
             return (GLUE + text).replace("\n", " \n").split(" ")
         return None
 
@@ -140,7 +142,7 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         if len(self.young) > GENERATION:
-            self.old, self.young = self.young, {}
+            self.old, self.young, self.spaced = self.young, {}, set()
         cut = [self._pieces(t) for t in texts]
         wanted = set().union(*[c for c in cut if c is not None])
         # The pieces of these texts alone: a small table that stays in the processor's cache.
@@ -150,10 +152,12 @@ class PieceEncoder:
         missing: set[str] = set()
         young, old, stops = self.young.get, self.old.get, self.stops
         for piece in wanted - hits:
-            key = piece
-            if piece[-1:] in stops:
+            key, end = piece, piece[-1:]
+            if end.isspace() or not piece:
+                self.spaced.add(piece)
+            elif end in stops:
                 base = piece[:-1]
-                if base.isascii() and base.isalpha():  # known by its word and its stop
+                if base.isalpha() and (base.isascii() or (max(base) < PLAIN_END and MARKED not in base)):  # known by its word and its stop
                     stopped.append((piece, base))
                     if base in near:
                         continue
@@ -171,6 +175,9 @@ class PieceEncoder:
             near[piece] = self.young[piece]
         for piece, base in stopped:
             near[piece] = near[base] + stops[piece[-1]]
+        spaced = wanted & self.spaced
+        if spaced and self.layout == "leading":
+            cut = [None if c is not None and not spaced.isdisjoint(c) and _RUN.search(t) else c for c, t in zip(cut, texts, strict=True)]
         look = near.__getitem__
         return [self._ids(text) if pieces is None else b"".join(map(look, pieces)) for text, pieces in zip(texts, cut, strict=True)]
 
