@@ -1,41 +1,40 @@
-"""Joins on validity and overlap, kept equi-joins by time buckets."""
+"""Joins on validity, overlap and cumulative quantity, without building pairs."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.functions.time import day
-
 
-def _clamp(c: Column, since: dt.date | str, through: dt.date | str) -> Column:
-    low, high = F.trunc(day(since), "month"), F.trunc(day(through), "month")
-    return F.greatest(low, F.least(high, F.trunc(c, "month")))
 
-
-def as_of_version(facts: DataFrame, versions: DataFrame, key: str, at: str,
-                  attributes: list[str], since: str, through: str) -> DataFrame:
+def as_of_version(facts: DataFrame, versions: DataFrame, key: str, at: str, attributes: list[str]) -> DataFrame:
     """Left join each fact to the version valid on its date.
 
-    Versions are listed under every month they touch, so the join is on
-    (key, month): a hot key spreads over months and a fact meets only the
-    versions of its month. ``since``/``through`` bound the months listed; dates
-    outside are folded into the edge months and still match exactly.
+    Facts of one key and date share their answer, so only distinct (key, date) pairs are asked.
+    They are laid among the versions' starts in the order of time, and the last version before
+    each is carried to it: inside a month by a window, over months by one row a key and month.
+    No version is listed more than once and no pair is built: as many rows as versions and
+    dates asked. A version ends before ``valid_to``; NULL is an open end. Of versions that start
+    on one day the one that ends last counts. Without a date or key there is no version.
     """
-    start = _clamp(F.col("valid_from"), since, through)
-    last_day = F.coalesce(F.date_sub("valid_to", 1), day(through))
-    end = F.greatest(start, _clamp(last_day, since, through))
-    listed = versions.select(
-        F.col(key).alias("_vk"), "valid_from", "valid_to", *attributes,
-        F.explode(F.sequence(start, end, F.expr("interval 1 month"))).alias("_vm"),
-    )
-    dated = facts.withColumn("_month", _clamp(F.col(at), since, through))
-    inside = (F.col(at) >= F.col("valid_from")) & (
-        F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to")))
-    match = (F.col(key) == F.col("_vk")) & (F.col("_month") == F.col("_vm")) & inside
-    return dated.join(listed, match, "left").drop("_vk", "_vm", "_month")
+    version = F.struct(F.col("valid_from"), F.col("valid_to"), *[F.col(c) for c in attributes])
+    none = F.lit(None)
+    known = versions.where(F.col("valid_from").isNotNull()).select(
+        F.col(key).alias("_k"), F.col("valid_from").alias("_t"), F.lit(0).alias("_turn"), version.alias("_version"))
+    asked = facts.where(F.col(key).isNotNull() & F.col(at).isNotNull()).select(F.col(key).alias("_k"), F.col(at).alias("_t")).distinct().select(
+        "_k", "_t", F.lit(1).alias("_turn"), none.cast(known.schema["_version"].dataType).alias("_version"))
+    points = known.unionByName(asked).withColumn("_month", F.trunc("_t", "month"))
+    # Of one day the version that ends last comes last.
+    order = [F.col("_t"), F.col("_turn"), F.coalesce(F.col("_version.valid_to"), F.lit("9999-12-31").cast("date"))]
+    upto = Window.partitionBy("_k", "_month").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = points.withColumn("_own", F.last("_version", ignorenulls=True).over(upto)).where("_turn = 1")
+    earlier = Window.partitionBy("_k").orderBy("_month").rowsBetween(Window.unboundedPreceding, -1)
+    months = points.groupBy("_k", "_month").agg(F.max_by("_version", F.when(F.col("_turn") == 0, F.struct(*order))).alias("_last"))
+    carried = months.select("_k", "_month", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+    found = inside.join(carried, ["_k", "_month"]).select("_k", "_t", F.coalesce("_own", "_before").alias("_v")).where(
+        F.col("_v").isNotNull() & (F.col("_v.valid_to").isNull() | (F.col("_t") < F.col("_v.valid_to"))))
+    return facts.join(found, (F.col(key) == F.col("_k")) & (F.col(at) == F.col("_t")), "left").select(
+        *facts.columns, *[F.col(f"_v.{c}").alias(c) for c in ("valid_from", "valid_to", *attributes)])
 
 
 def overlap_totals(spans: DataFrame, stops: DataFrame, on: str, ident: str, span: tuple[str, str],
@@ -107,3 +106,29 @@ def overlap_pairs(left: DataFrame, right: DataFrame, on: str, left_span: tuple[s
     return (pairs.withColumn("overlap_seconds", common)
             .where((common > 0) & once)
             .drop("_bucket", "_lo_l", "_hi_l", "_first_l", "_lo_r", "_hi_r", "_first_r"))
+
+
+def allocate_in_order(given: DataFrame, taken: DataFrame, on: list[str], given_order: list[str], taken_order: list[str],
+                      quantity: str, given_id: list[str], taken_id: list[str]) -> DataFrame:
+    """First in, first out: which part of each ``given`` quantity meets which ``taken`` quantity of the same ``on``.
+
+    Both sides lie end to end along one axis of cumulative quantity. All ends of either side cut
+    the axis; each piece between two cuts belongs to one given and one taken row, the ones whose
+    ends come next. So there are as many pieces as rows, and no pair is tried. Pieces
+    beyond the shorter side belong to none. Rows without a positive quantity take no part.
+    """
+    def ends(df: DataFrame, order: list[str], ids: list[str], name: str, other: str, other_type) -> DataFrame:
+        run = Window.partitionBy(*on).orderBy(*order, *ids).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        who = F.struct(*[F.col(c) for c in ids])
+        placed = df.where(F.col(quantity) > 0).select(*on, F.sum(quantity).over(run).alias("_end"), who.alias(name))
+        return placed.withColumn(other, F.lit(None).cast(other_type))
+
+    kinds = {name: df.select(F.struct(*ids).alias(name)).schema[name].dataType for name, df, ids in (("_given", given, given_id), ("_taken", taken, taken_id))}
+    cuts = ends(given, given_order, given_id, "_given", "_taken", kinds["_taken"]).unionByName(
+        ends(taken, taken_order, taken_id, "_taken", "_given", kinds["_given"])).groupBy(*on, "_end").agg(
+        F.first("_given", ignorenulls=True).alias("_given"), F.first("_taken", ignorenulls=True).alias("_taken"))
+    along = Window.partitionBy(*on).orderBy("_end")
+    ahead = along.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    pieces = cuts.select(*on, (F.col("_end") - F.coalesce(F.lag("_end").over(along), F.lit(0))).alias(quantity),
+                         F.first("_given", ignorenulls=True).over(ahead).alias("_g"), F.first("_taken", ignorenulls=True).over(ahead).alias("_t"))
+    return pieces.where("_g IS NOT NULL AND _t IS NOT NULL").select(*on, "_g.*", "_t.*", quantity)

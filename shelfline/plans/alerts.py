@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -76,20 +77,28 @@ LIMITS = (
 )
 
 
-def evaluate(limit: Limit, kpi: DataFrame) -> DataFrame:
-    """Alert rows (kpi, scope, measure, severity) of one KPI frame."""
-    level = (F.when(F.expr(limit.critical), "CRITICAL").when(F.expr(limit.warn), "WARN"))
+def _alert(limit: Limit) -> Column:
+    """The alert of one limit on a KPI row; NULL when the row keeps it."""
+    level = F.when(F.expr(limit.critical), "CRITICAL").when(F.expr(limit.warn), "WARN")
     scope = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("∅")) for c in limit.scope]) \
         if limit.scope else F.lit("company")
-    return kpi.select(F.lit(limit.kpi).alias("kpi"), scope.alias("scope"),
-                      F.col(limit.measure).cast("decimal(18,4)").alias("measure_value"),
-                      level.alias("severity")).where("severity IS NOT NULL")
+    return F.when(level.isNotNull(), F.struct(
+        F.lit(limit.kpi).alias("kpi"), scope.alias("scope"), F.col(limit.measure).cast("decimal(18,4)").alias("measure_value"), level.alias("severity")))
+
+
+def evaluate(limits: Sequence[Limit], kpi: DataFrame) -> DataFrame:
+    """Alert rows (kpi, scope, measure, severity) of all limits on one KPI frame, which is read once."""
+    found = F.array_compact(F.array(*[_alert(x) for x in limits]))
+    return kpi.select(F.explode(found).alias("_a")).select("_a.*")
 
 
 def raise_alerts(tables: dict[str, DataFrame], limits: tuple[Limit, ...] = LIMITS) -> DataFrame:
-    """Alerts of every limit whose table is present."""
-    parts = [evaluate(x, tables[x.table]) for x in limits if x.table in tables]
-    return reduce(DataFrame.unionByName, parts)
+    """Alerts of every limit whose table is present; limits of one table share its scan."""
+    by_table: dict[str, list[Limit]] = {}
+    for x in limits:
+        if x.table in tables:
+            by_table.setdefault(x.table, []).append(x)
+    return reduce(DataFrame.unionByName, [evaluate(some, tables[t]) for t, some in by_table.items()])
 
 
 def alert_summary(alerts: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfline.functions import pct, ratio
 from shelfline.functions.time import day, week_start
 from shelfline.operators.dedup import latest_per_key
+from shelfline.operators.intervals import allocate_in_order
 from shelfline.operators.ranking import top_per_group
 from shelfline.plans.facts import net_sale_lines
 
@@ -67,22 +68,39 @@ def yield_anomalies(kpi_yield: DataFrame, history_days: int = 14, trend_days: in
 
 def batch_to_shelf(batches: DataFrame, shipments: DataFrame, sales: DataFrame) -> DataFrame:
     """Sales of a batch's sku by the retailers that received the batch, from the first
-    delivery on. Both sides are reduced to one row per meeting point before the join."""
+    delivery on.
+
+    What a retailer sold of a product from a day on is a running total over its days; deliveries
+    look theirs up by day, so neither batches nor sale days multiply.
+    """
     sent = (shipments.where("batch_id IS NOT NULL").groupBy("batch_id", "retailer_id")
             .agg(F.min("ship_date").alias("first_ship"), F.count("*").alias("shipments")))
     reach = batches.select("batch_id", "sku_id").join(sent, "batch_id")
-    shelf = sales.groupBy("retailer_id", "sku_id", "transaction_date").agg(
+    sold = sales.groupBy("retailer_id", "sku_id", F.col("transaction_date").alias("first_ship")).agg(
         F.count("*").alias("lines"), F.sum("quantity_sold").alias("units"))
-    later = F.col("transaction_date") >= F.col("first_ship")
-    met = reach.join(shelf, ["retailer_id", "sku_id"], "left")
-    per = met.groupBy("batch_id", "retailer_id", "shipments").agg(
-        F.sum(F.when(later, F.col("lines"))).alias("_l"), F.sum(F.when(later, F.col("units"))).alias("_u"))
-    return per.groupBy("batch_id").agg(
+    asked = reach.select("retailer_id", "sku_id", "first_ship").distinct().select(
+        "*", F.lit(0).cast("bigint").alias("lines"), F.lit(0).cast("bigint").alias("units"))
+    on = Window.partitionBy("retailer_id", "sku_id").orderBy(F.desc("first_ship")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    from_day = (sold.unionByName(asked).groupBy("retailer_id", "sku_id", "first_ship").agg(F.sum("lines").alias("l"), F.sum("units").alias("u"))
+                .select("retailer_id", "sku_id", "first_ship", F.sum("l").over(on).alias("_l"), F.sum("u").over(on).alias("_u")))
+    return reach.join(from_day, ["retailer_id", "sku_id", "first_ship"], "left").groupBy("batch_id").agg(
         F.sum("shipments").alias("shipments"), F.count("*").alias("retailers"),
         F.coalesce(F.sum("_l"), F.lit(0)).alias("shelf_lines"),
         F.coalesce(F.sum("_u"), F.lit(0)).alias("shelf_units"))
 
 
+def shelf_allocation(batches: DataFrame, shipments: DataFrame, sales: DataFrame) -> DataFrame:
+    """How many of a batch's delivered units were sold, first in first out per retailer and product, and between which days."""
+    sent = (shipments.where("batch_id IS NOT NULL").join(batches.select("batch_id", "sku_id"), "batch_id")
+            .groupBy("retailer_id", "sku_id", "batch_id", "ship_date").agg(F.sum("cases_delivered").alias("units")))
+    sold = sales.groupBy("retailer_id", "sku_id", "transaction_date").agg(F.sum("quantity_sold").alias("units"))
+    met = allocate_in_order(sent, sold, ["retailer_id", "sku_id"], ["ship_date"], ["transaction_date"], "units",
+                            ["batch_id", "ship_date"], ["transaction_date"])
+    return met.groupBy("batch_id").agg(
+        F.sum("units").cast("bigint").alias("units_sold"), F.count_distinct("retailer_id").alias("retailers"),
+        F.min("transaction_date").alias("first_sold"), F.max("transaction_date").alias("last_sold"))
+
+
 def revenue_waterfall(sales: DataFrame, returns: DataFrame) -> DataFrame:
     """Gross to net per channel: gross, discounts, returns, net."""
     gross = F.col("unit_price") * F.col("quantity_sold")

@@ -190,6 +190,22 @@ def quarantine_append(f: Frames):
     return files.table(f.spark, path, merge_schema=True).groupBy(q.REASON).agg(F.count("*").alias("rows"))
 
 
+@query("snk_13_interleaved_layout", """
+SELECT 'product' AS filtered_by, count(*) AS lines, CAST(sum(quantity_sold) AS BIGINT) AS units FROM sale_lines WHERE sku_id BETWEEN 'SKU-1' AND 'SKU-11'
+UNION ALL SELECT 'day', count(*), CAST(sum(quantity_sold) AS BIGINT) FROM sale_lines WHERE transaction_date BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'
+UNION ALL SELECT 'quantity', count(*), CAST(sum(quantity_sold) AS BIGINT) FROM sale_lines WHERE quantity_sold >= 48""")
+def interleaved_layout(f: Frames):
+    """Sale lines along a space-filling curve, read back by each of its columns."""
+    path = work_dir(f.spark, "interleaved") + "/lines"
+    sinks.write_interleaved(f.sale_lines, path, ["sku_id", "transaction_date", "quantity_sold"], files=16)
+    lines = f.spark.read.parquet(path)
+    by = {"product": "sku_id BETWEEN 'SKU-1' AND 'SKU-11'", "day": "transaction_date BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'",
+          "quantity": "quantity_sold >= 48"}
+    found = [lines.where(w).agg(F.count("*").alias("lines"), F.sum("quantity_sold").alias("units")).select(F.lit(k).alias("filtered_by"), "lines", "units")
+             for k, w in by.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query("snk_13_clustered_layout", f"SELECT transaction_date, count(*) AS lines FROM sale_lines WHERE transaction_date >= {A} - 30 GROUP BY 1")
 def clustered(f: Frames):
     path = work_dir(f.spark, "clustered") + "/lines"

@@ -19,6 +19,7 @@ from shelfline.plans import (
     conform, dimensions, facts, kpi_accounts, kpi_core, kpi_delivery, kpi_production, kpi_sales,
     kpi_stock,
 )
+from shelfline.session import settle
 
 AS_OF = "2001-07-15"
 EVENTS_AS_OF = "2024-01-30"
@@ -58,6 +59,11 @@ class Frames:
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
 
+    def share(self, *names: str) -> None:
+        """Store the named frames, in the order given, for queries that read them many times."""
+        for name in names:
+            setattr(self, name, settle(getattr(self, name), name.replace("_", "-")))
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")
 

@@ -10,7 +10,6 @@ from shelfline.plans import alerts, extras, kpi_delivery, kpi_production, kpi_sa
 from shelfline.queries import sqlframes as s
 from shelfline.queries.frames import AS_OF, EVENTS_AS_OF, Frames
 from shelfline.queries.registry import query
-from shelfline.session import settle
 
 _FRAME_QUERIES = {
     "kc_01_daily_revenue": "kc_revenue",
@@ -105,10 +104,9 @@ SELECT {s.ratio('sum(total_acquisition_spend)', 'sum(new_accounts_count)', 18, 4
 
 
 def alert_tables(f: Frames) -> dict:
-    """Every frame the limits refer to. KPI tables that several limits read are settled
-    first, as they would be stored."""
-    for name in ("kpi_s01", "kpi_s04", "kpi_d01", "kpi_d02", "kpi_d03", "fact_inventory"):
-        setattr(f, name, settle(getattr(f, name), name.replace("_", "-")))
+    """Every frame the limits refer to. The conformed tables are stored first, so that all KPIs
+    read those; so are the KPI tables that several limits read."""
+    f.share("lines", "sale_lines", "sales", "shipments", "returns", "stock", "batches", "kpi_s01", "kpi_s04", "kpi_d01", "kpi_d02", "kpi_d03", "fact_inventory")
     newest = f.fact_inventory.where(F.col("snapshot_date") == reports.newest_day(f.fact_inventory, "snapshot_date", AS_OF))
     category = f.kpi_s02.groupBy("product_category").agg(
         F.sum("current_month_revenue").alias("c"), F.sum("prior_month_revenue").alias("p"))
@@ -249,6 +247,20 @@ def batch_to_shelf(f: Frames):
     return extras.batch_to_shelf(f.batches, f.shipments, f.sale_lines)
 
 
+@query("ext_04_shelf_allocation", """
+WITH g AS (SELECT *, sum(units) OVER (PARTITION BY retailer_id, sku_id ORDER BY ship_date, batch_id ROWS UNBOUNDED PRECEDING) AS hi
+           FROM (SELECT h.retailer_id, b.sku_id, b.batch_id, h.ship_date, sum(h.cases_delivered) AS units
+                 FROM batches b JOIN shipments h ON b.batch_id = h.batch_id GROUP BY ALL) WHERE units > 0),
+t AS (SELECT *, sum(units) OVER (PARTITION BY retailer_id, sku_id ORDER BY transaction_date ROWS UNBOUNDED PRECEDING) AS hi
+      FROM (SELECT retailer_id, sku_id, transaction_date, sum(quantity_sold) AS units FROM sale_lines GROUP BY ALL) WHERE units > 0)
+SELECT batch_id, CAST(sum(least(g.hi, t.hi) - greatest(g.hi - g.units, t.hi - t.units)) AS BIGINT) AS units_sold,
+       count(DISTINCT g.retailer_id) AS retailers, min(transaction_date) AS first_sold, max(transaction_date) AS last_sold
+FROM g JOIN t ON g.retailer_id = t.retailer_id AND g.sku_id = t.sku_id AND least(g.hi, t.hi) > greatest(g.hi - g.units, t.hi - t.units)
+GROUP BY 1""")
+def shelf_allocation(f: Frames):
+    return extras.shelf_allocation(f.batches, f.shipments, f.sale_lines)
+
+
 @query("ext_05_revenue_waterfall", """
 SELECT *, CAST(gross_revenue - discounts - returned AS DECIMAL(18,4)) AS net_revenue FROM (
 SELECT channel, CAST(sum(g) AS DECIMAL(18,4)) AS gross_revenue, CAST(sum(d) AS DECIMAL(18,4)) AS discounts,
@@ -279,6 +291,7 @@ SELECT (SELECT CAST(coalesce(sum(net_revenue), 0) AS DECIMAL(18,2)) FROM company
    WHERE report_date <= DATE '2024-01-30' GROUP BY report_date ORDER BY report_date DESC LIMIT 1) AS latest_yield_pct,
   (SELECT retailer_id FROM kpi_c01 ORDER BY revenue_rank LIMIT 1) AS top_retailer_id""")
 def morning_brief(f: Frames):
+    f.share("lines")
     return extras.morning_brief(
         kpi_sales.company_daily(f.kpi_s01), kpi_delivery.rolling_on_time(f.kpi_d01),
         kpi_stock.reorder_alerts(f.fact_inventory, AS_OF), f.kc_yield, f.kpi_c01, AS_OF, EVENTS_AS_OF)

@@ -688,8 +688,7 @@ SELECT l.transaction_id, l.line_no, l.sku_id, l.warehouse_id, l.transaction_date
 FROM sale_lines l LEFT JOIN cost_history h ON l.sku_id = h.sku_id AND l.transaction_date >= h.valid_from
  AND (h.valid_to IS NULL OR l.transaction_date < h.valid_to)""")
 def as_of_cost(f: Frames):
-    joined = as_of_version(f.sale_lines, f.cost_history, "sku_id", "transaction_date", ["version_cost"],
-                           "1995-01-01", "2001-12-31")
+    joined = as_of_version(f.sale_lines, f.cost_history, "sku_id", "transaction_date", ["version_cost"])
     return joined.select("transaction_id", "line_no", "sku_id", "warehouse_id", "transaction_date", "version_cost",
                          (F.col("version_cost") * F.col("quantity_sold")).cast("decimal(14,2)").alias("historical_cogs"))
 

@@ -86,6 +86,7 @@ SELECT CAST((SELECT coalesce(sum(total_revenue), 0) FROM kc_revenue
   (SELECT {s.ratio('sum(fulfillment_rate_pct)', 'count(fulfillment_rate_pct)', 18, 1)} FROM kc_fulfillment
    WHERE report_date BETWEEN DATE '2001-07-01' AND {s.AS_OF}) AS avg_on_time_pct""")
 def month_cards(f: Frames):
+    f.share("lines")
     return reports.month_cards(f.kc_revenue, f.kc_turnover, f.kc_yield, f.kc_fulfillment, AS_OF, EVENTS_AS_OF)
 
 

@@ -52,6 +52,46 @@ def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int
     ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
 
 
+def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], bits: int = 6, files: int | None = None) -> None:
+    """Lay files out along a space-filling curve, so that a filter on any of ``columns`` prunes.
+
+    Each column is cut into 2^``bits`` ranges of about equal rows; the bits of a row's range
+    numbers are interleaved to its place on the curve. The cuts, a few dozen values a column, are
+    all that reaches the driver. NULLs lie in the first range.
+    """
+    order = {c: _ordinal(df, c) for c in columns}
+    parts = [k / (1 << bits) for k in range(1, 1 << bits)]
+    cuts = df.agg(*[F.percentile_approx(v, parts, 10_000).alias(f"c{i}") for i, v in enumerate(order.values())]).first()
+    place = F.lit(0).cast("bigint")
+    for i, value in enumerate(order.values()):
+        known = sorted(set(cuts[i] or []))
+        above = F.array(*[F.lit(x) for x in known]) if known else F.array().cast("array<double>")
+        rank = F.size(F.filter(above, _below(value)))
+        rank = F.coalesce(F.when(value.isNotNull(), rank), F.lit(0)).cast("bigint")
+        for b in range(bits):
+            place = place.bitwiseOR(F.shiftleft(F.shiftright(rank, b).bitwiseAND(F.lit(1)), b * len(columns) + i))
+    laid = df.withColumn("_curve", place)
+    ranged = laid.repartitionByRange(files, "_curve") if files else laid.repartitionByRange("_curve")
+    ranged.sortWithinPartitions("_curve").drop("_curve").write.mode("overwrite").parquet(path)
+
+
+def _below(value: Column):
+    return lambda cut: cut < value
+
+
+def _ordinal(df: DataFrame, column: str) -> Column:
+    """A number that orders like the column; a text counts by its first six bytes."""
+    kind = df.schema[column].dataType.typeName()
+    if kind == "string":
+        head = F.rpad(F.hex(F.substring(F.col(column).cast("binary"), 1, 6)), 12, "0")
+        return F.conv(head, 16, 10).cast("double")
+    if kind == "date":
+        return F.unix_date(column).cast("double")
+    if kind in ("timestamp", "timestamp_ntz"):
+        return F.unix_micros(F.col(column).cast("timestamp")).cast("double")
+    return F.col(column).cast("double")
+
+
 def _folder(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hadoop = jvm.org.apache.hadoop.fs.Path(path)

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from shelfline.operators import history
-from shelfline.operators.intervals import as_of_version, overlap_pairs
+from shelfline.operators.intervals import allocate_in_order, as_of_version, overlap_pairs
 from shelfline.operators.upsert import append_unseen, merge_columns, merge_upsert
 
 SCHEMA = "id string, name string, status string, effective date"
@@ -74,7 +74,7 @@ def test_as_of_matches_brute_force(spark):
     facts = [(k, D(1989, 1, 1) + dt.timedelta(days=37 * i)) for i in range(500) for k in ("k", "m", "none")]
     v = spark.createDataFrame(versions, "k string, valid_from date, valid_to date, cost int")
     f = spark.createDataFrame(facts, "k string, d date")
-    got = sorted((r.k, r.d, r.cost or 0) for r in as_of_version(f, v, "k", "d", ["cost"], "2024-01-01", "2024-12-31").collect())
+    got = sorted((r.k, r.d, r.cost or 0) for r in as_of_version(f, v, "k", "d", ["cost"]).collect())
     want = sorted((k, d, next((c for kk, a, b, c in versions if kk == k and a <= d and (b is None or d < b)), 0)) for k, d in facts)
     assert got == want
 
@@ -116,5 +116,37 @@ def test_append_ignores_known_events(spark):
 def test_join_conditions_stay_equi(spark):
     f = spark.createDataFrame([("k", D(2024, 1, 1))], "k string, d date")
     v = spark.createDataFrame([("k", D(2024, 1, 1), None, 1)], "k string, valid_from date, valid_to date, cost int")
-    plan = as_of_version(f, v, "k", "d", ["cost"], "2024-01-01", "2024-12-31")._jdf.queryExecution().executedPlan().toString()
+    plan = as_of_version(f, v, "k", "d", ["cost"])._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_as_of_asks_each_day_once(spark):
+    """Hot keys, NULL keys and dates, a gap between versions; rows before the last step: versions and days asked."""
+    versions = [("k", D(2024, 1, 1), D(2024, 2, 1), 1), ("k", D(2024, 3, 1), None, 2), ("m", D(2024, 1, 1), D(2024, 1, 1), 7)]
+    facts = [("k", D(2024, 1, 1) + dt.timedelta(days=i % 100)) for i in range(3000)] + [(None, D(2024, 1, 1)), ("k", None), ("m", D(2024, 1, 1))]
+    v = spark.createDataFrame(versions, "k string, valid_from date, valid_to date, cost int")
+    f = spark.createDataFrame(facts, "k string, d date").repartition(6)
+    out = as_of_version(f, v, "k", "d", ["cost"])
+    want = sorted((str(k), str(d), str(next((c for kk, a, b, c in versions if d and kk == k and a <= d and (b is None or d < b)), None))) for k, d in facts)
+    assert sorted((str(r.k), str(r.d), str(r.cost)) for r in out.collect()) == want
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Window ") == 2
+
+
+def test_allocation_is_first_in_first_out(spark):
+    given = [("a", 1, "b1", 5), ("a", 2, "b2", 7), ("a", 3, "b3", 0), ("b", 1, "b4", 3), ("c", 1, "b5", 2)]
+    taken = [("a", 1, "s1", 2), ("a", 1, "s2", 3), ("a", 4, "s3", 20), ("b", 1, "s4", 1), ("d", 1, "s5", 9)]
+    g = spark.createDataFrame(given, "k string, day int, batch string, units bigint")
+    t = spark.createDataFrame(taken, "k string, day int, sale string, units bigint")
+    got = sorted(map(tuple, allocate_in_order(g, t, ["k"], ["day"], ["day"], "units", ["batch"], ["sale"]).collect()))
+    want = []
+    for key in "abcd":
+        left = [[b, n] for k, _, b, n in sorted(given, key=lambda r: (r[1], r[2])) if k == key and n > 0]
+        for k, _, sale, n in sorted(taken, key=lambda r: (r[1], r[2])):
+            while k == key and n and left:
+                part = min(n, left[0][1])
+                want.append((key, left[0][0], sale, part))
+                n, left[0][1] = n - part, left[0][1] - part
+                if not left[0][1]:
+                    left.pop(0)
+    assert got == sorted(want) and len(got) <= len(given) + len(taken)
