@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from shelfline.llm.common import in_slices, text_column
 from shelfline.llm.encode import encoder
 
-ENCODED = 128  # documents tokenised together
+ENCODED = 256  # documents tokenised together
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, ids binary"
 
 
@@ -48,12 +49,12 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, longest: int =
                 out: list[list] = [[], [], [], [], [], []]
                 for (doc_id, _), raw in zip(some, coder.encode([t for _, t in some]), strict=True):
                     raw += end
-                    at, total = 0, len(raw) // 4
-                    for length in binary_lengths(total, longest):
-                        piece = raw[4 * at : 4 * (at + length)]
-                        for column, value in zip(out, (doc_id, at, length, zlib.crc32(piece), total, piece), strict=True):
-                            column.append(value)
-                        at += length
+                    total = len(raw) // 4
+                    lengths = binary_lengths(total, longest)
+                    starts = list(itertools.accumulate(lengths[:-1], initial=0))
+                    pieces = [raw[4 * at : 4 * (at + length)] for at, length in zip(starts, lengths, strict=True)]
+                    for column, values in zip(out, ([doc_id] * len(pieces), starts, lengths, map(zlib.crc32, pieces), [total] * len(pieces), pieces), strict=True):
+                        column += values
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 
     return body.mapInArrow(cut, PIECES).select(

@@ -128,7 +128,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of every document."""
-    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=0).drop("ids", "bucket")
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=0).drop("ids")
 
 
 def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

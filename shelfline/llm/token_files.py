@@ -26,7 +26,7 @@ from shelfline.llm.encode import encoder
 
 MAGIC = b"BITPACK1"
 BLOCK = 4096  # ids a block; a multiple of 8, so that every full block ends on a byte
-ENCODED = 128  # documents tokenised together
+ENCODED = 256  # documents tokenised together
 MANIFEST = "path string, docs bigint, tokens bigint, first_null boolean, first_id bigint, shard bigint"
 READ = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary"
 
