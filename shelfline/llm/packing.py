@@ -24,7 +24,7 @@ def binary_lengths(n: int, longest: int) -> list[int]:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, longest: int = 1024, id_column: str = "doc_id",
-                   text: str = "text") -> DataFrame:
+                   text: str = "text", with_ids: bool = True) -> DataFrame:
     """Cut every document into pieces of power-of-two length; each piece is one sequence of its own.
 
     No sequence crosses documents and none needs padding, as every length is a power of two. Sequences of
@@ -32,7 +32,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, longest: int =
     Nothing is shuffled: a document's cut depends on its own length alone. ``longest`` is a power of two.
 
     NULL and empty texts are documents of the end id alone, in one piece. NULL, tied and repeated ids are
-    packed row by row. An empty table gives no pieces; extra columns are left behind.
+    packed row by row. Very long texts are many pieces. An empty table gives no pieces; extra columns are left behind.
+    Without ``with_ids`` the column ``ids`` is NULL: what is not read need not travel.
     """
     if longest < 1 or longest & (longest - 1):
         raise ValueError("longest must be a power of two")
@@ -53,7 +54,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, longest: int =
                     lengths = binary_lengths(total, longest)
                     starts = list(itertools.accumulate(lengths[:-1], initial=0))
                     pieces = [raw[4 * at : 4 * (at + length)] for at, length in zip(starts, lengths, strict=True)]
-                    for column, values in zip(out, ([doc_id] * len(pieces), starts, lengths, map(zlib.crc32, pieces), [total] * len(pieces), pieces), strict=True):
+                    for column, values in zip(out, ([doc_id] * len(pieces), starts, lengths, map(zlib.crc32, pieces), [total] * len(pieces), pieces if with_ids else [None] * len(pieces)), strict=True):
                         column += values
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema, strict=True)], schema=schema)
 

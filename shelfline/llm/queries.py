@@ -52,7 +52,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document, written bit-packed and read back from the files."""
     docs = documents(spark, sf_dir)
     manifest = token_files.write_token_files(docs, work_dir(spark, "tokens"), tokenizer_path("word_bpe_49k.json"), end_id=1)
-    return token_files.read_token_files(manifest).drop("ids")
+    return token_files.read_token_files(manifest, with_ids=False).drop("ids")
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,7 +128,7 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Power-of-two pieces of every document."""
-    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=0).drop("ids")
+    return packing.pack_documents(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), end_id=0, with_ids=False).drop("ids")
 
 
 def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:

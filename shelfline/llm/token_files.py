@@ -204,8 +204,12 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     return manifest
 
 
-def read_token_files(manifest: DataFrame) -> DataFrame:
-    """Every document from the files: doc_id, start (ids of all documents before it), n_tokens, crc32, ids."""
+def read_token_files(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
+    """Every document from the files: doc_id, start (ids of all documents before it), n_tokens, crc32, ids.
+
+    Without ``with_ids`` the ids are read and checked but not handed on. Repeated and NULL ids are
+    documents of their own; a manifest without files gives no rows.
+    """
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()),
                         ("ids_crc32", pa.int64()), ("ids", pa.binary())])
 
@@ -221,7 +225,7 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
                         [pa.array([None if reader.nulls[k] else int(reader.doc_ids[k]) for k in some], pa.int64()),
                          pa.array([base + int(reader.starts[k]) for k in some], pa.int64()),
                          pa.array([len(raw) // 4 for raw in ids], pa.int64()),
-                         pa.array([zlib.crc32(raw) for raw in ids], pa.int64()), pa.array(ids, pa.binary())], schema=schema)
+                         pa.array([zlib.crc32(raw) for raw in ids], pa.int64()), pa.array(ids if with_ids else [None] * len(ids), pa.binary())], schema=schema)
 
     files = manifest.select("path", "start")
     return files.repartition(max(1, files.count())).mapInArrow(read, READ)
