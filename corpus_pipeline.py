@@ -45,7 +45,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sequences of power-of-two length."""
     arrow_session(spark)
-    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0).drop("ids")
+    return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"), end_id=0, with_ids=False).drop("ids")
 
 
 STAGES = [
