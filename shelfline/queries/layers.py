@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline import contracts as c
+from shelfline.functions import surrogate_key
 from shelfline.operators import history
 from shelfline.operators.dedup import latest_per_key
 from shelfline.operators.intervals import as_of_version
@@ -667,6 +668,29 @@ def fct_sales_full(f: Frames):
     return facts.fact_sales_full(f.sales, f.returns, f.products, f.account_history)
 
 
+@query("fct_01_sales_lines", f"""
+WITH l AS (SELECT *, {s.key('transaction_id', 'line_no', 'sku_id')} AS transaction_key FROM sales),
+r AS (SELECT transaction_id, sku_id, CAST(sum(return_amount) AS DECIMAL(18,4)) AS amount FROM returns GROUP BY ALL),
+f AS (SELECT min(transaction_key) AS transaction_key, any_value(amount) AS amount
+      FROM l JOIN r ON l.transaction_id = r.transaction_id AND l.sku_id = r.sku_id GROUP BY l.transaction_id, l.sku_id),
+w AS (SELECT replace(order_id, 'ORD-', 'TXN-') AS transaction_id, min(warehouse_id) AS warehouse FROM shipments GROUP BY 1),
+m AS (SELECT l.*, w.warehouse, c.surrogate_key AS customer_key, CAST(l.unit_price * l.quantity_sold AS DECIMAL(18,4)) AS gross,
+             coalesce(f.amount, CAST(0 AS DECIMAL(18,4))) AS returned, CAST(p.standard_cost_per_unit * l.quantity_sold AS DECIMAL(18,4)) AS cost
+      FROM l LEFT JOIN f ON l.transaction_key = f.transaction_key LEFT JOIN w ON l.transaction_id = w.transaction_id
+      JOIN products p ON l.sku_id = p.sku_id LEFT JOIN customers c ON l.retailer_id = c.retailer_id AND c.is_current)
+SELECT transaction_key, CAST(strftime(transaction_date, '%Y%m%d') AS INTEGER) AS date_key, {s.key('sku_id')} AS product_key, customer_key,
+       CASE WHEN warehouse IS NOT NULL THEN {s.key('warehouse')} END AS warehouse_key, {s.key('channel')} AS channel_key,
+       {s.key('region')} AS region_key, transaction_date, transaction_id, sku_id, retailer_id, quantity_sold, unit_price,
+       gross AS gross_sales_amount, returned AS return_amount, CAST(gross - returned AS DECIMAL(18,4)) AS net_revenue, cost AS cogs,
+       CAST(gross - returned - cost AS DECIMAL(18,4)) AS gross_margin_amount, {s.pct('gross - returned - cost', 'gross - returned', 18, 4)} AS gross_margin_pct
+FROM m""")
+def fct_sales_lines(f: Frames):
+    """The sale fact of one row a line, with returns, warehouse and all keys."""
+    lines = f.sales.withColumn("transaction_key", surrogate_key("transaction_id", "line_no", "sku_id"))
+    sent = f.shipments.withColumn("order_id", F.replace("order_id", F.lit("ORD-"), F.lit("TXN-")))
+    return facts.sales_line_fact(lines, f.returns, sent, f.products, f.account_history, "2001-07-15 00:00:00").drop("last_updated_ts")
+
+
 @query("fct_02_inventory_snapshot", "SELECT * FROM fact_inventory")
 def fct_inventory(f: Frames):
     return f.fact_inventory
