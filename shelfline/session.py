@@ -16,9 +16,8 @@ RUNTIME_CONF = {
     # of all rows on one key must not become one task.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
-    # Stream state lies on disk and is checkpointed by its changes: it may outgrow memory.
+    # Stream state lies on disk: it may outgrow memory.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 # Settings a session takes only when it is built.

@@ -28,6 +28,12 @@ BUCKET = "key_bucket"
 BUCKETS = 64
 
 
+def _by_changes(spark: SparkSession) -> SparkSession:
+    """State checkpoints hold what a trigger changed, not the whole state."""
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    return spark
+
+
 def read_events(spark: SparkSession, path: str, schema: T.StructType = EVENT_SCHEMA,
                 files_per_trigger: int | None = None) -> DataFrame:
     """New NDJSON files of a landing folder."""
@@ -102,7 +108,7 @@ def append_unseen_events(events: DataFrame, root: str, checkpoint: str, delay: s
         if not micro.isEmpty():
             sinks.overwrite_partitions(micro.drop("clock").withColumn("epoch", F.lit(epoch).cast("bigint")), root, ["event_date", "epoch"])
 
-    spark = events.sparkSession
+    spark = _by_changes(events.sparkSession)
     events.writeStream.foreachBatch(apply).option("checkpointLocation", f"{checkpoint}/clock").trigger(availableNow=True).start().awaitTermination()
     schema = T.StructType([*events.schema.fields, T.StructField("clock", T.TimestampType()), T.StructField("event_date", T.DateType()),
                            T.StructField("epoch", T.LongType())])
@@ -202,7 +208,7 @@ def _upsert_folded(events: DataFrame, raw_path: str, root: str, checkpoint: str,
         if not micro.isEmpty():
             sinks.append_epoch(shape(conform.finish_batches(micro)), root, epoch)
 
-    spark = events.sparkSession
+    spark = _by_changes(events.sparkSession)
     store_events(events, raw_path, f"{checkpoint}/events")
     if not sinks.exists(spark, raw_path):  # nothing delivered yet
         bucketed(spark.createDataFrame([], events.schema), "batch_id").withColumn("epoch", F.lit(0)).write.partitionBy(BUCKET, "epoch").parquet(raw_path)
