@@ -49,7 +49,7 @@ def csv_by_name(f: Frames):
 @query("src_02_ndjson_scan", "SELECT transaction_id, line_no, sku_id, quantity, unit_price, discount_pct FROM pos_raw")
 def ndjson_scan(f: Frames):
     path = work_dir(f.spark, "json") + "/pos_transactions"
-    receipts(f).write.json(path)
+    receipts(f).write.option("compression", "gzip").json(path)
     raw = files.read_ndjson(f.spark, path, c.POS_SCHEMA)
     return ingest.flatten_pos(raw).select("transaction_id", "line_no", "sku_id", "quantity", "unit_price", "discount_pct")
 

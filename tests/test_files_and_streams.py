@@ -161,3 +161,9 @@ def test_late_events_are_stored_once(spark, tmp_path):
         write(tmp_path / "drop" / f"{i}.json", as_json(part))
         st.append_unseen_events(st.read_events(spark, drop), root, ckpt).awaitTermination()
     assert sorted(r.event_id for r in spark.read.parquet(root).select("event_id").collect()) == ["e0", "e1", "e2", "e3", "e4", "e5", "e6"]
+
+
+def test_landed_ndjson_is_compressed(spark, sf_dir):
+    from shelfline.queries.catalog import PLANS
+    scanned = PLANS["src_02_ndjson_scan"](spark, sf_dir)
+    assert scanned.count() > 0 and all(p.endswith(".json.gz") for p in scanned.inputFiles())
