@@ -39,3 +39,18 @@ def test_null_keys_and_no_rows(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), ("x", 3)], "k string, v int")
     assert {r.v: r._repeat for r in mark_repeats(df, ["k"]).collect()} == {1: False, 2: True, 3: False}
     assert mark_repeats(df.limit(0), ["k"]).count() == 0
+
+
+def test_hashes_are_not_stored_in_the_rows(spark):
+    df = spark.range(0, 100).select((F.col("id") % 60).alias("k"), "id")
+    assert "_hash" not in physical(mark_repeats(df, ["k"]))
+
+
+def test_rows_meet_a_reference_with_one_verdict(spark):
+    df = spark.range(0, 100).select("id", (F.col("id") % 7).alias("a"), F.concat(F.lit("v"), "id").alias("b"))
+    rules = [q.custom("b LIKE 'v1%'", "odd", "error"), q.referential("a", spark.range(0, 5).select(F.col("id").alias("a")), "error")]
+    tagged = q.tag(df, rules)
+    joined = tagged.select(q.FAILED)._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter", 1)[1]
+    assert q.FAILED in joined.split("Aggregate", 1)[0]
+    assert {(r["a"] > 4, r[q.FAILED]) for r in tagged.where("b NOT LIKE 'v1%'").collect()} == {(False, None), (True, 1)}
+    assert tagged.where("b LIKE 'v1%' AND _dq_failed <> 0").count() == 0
