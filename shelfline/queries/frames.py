@@ -59,10 +59,10 @@ class Frames:
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
 
-    def share(self, *names: str) -> None:
-        """Store the named frames, in the order given, for queries that read them many times."""
-        for name in names:
-            setattr(self, name, settle(getattr(self, name), name.replace("_", "-")))
+    def share(self, *names: str, **parts: tuple[str, ...]) -> None:
+        """Store the named frames, in the order given, for queries that read them many times; of ``parts`` these columns only."""
+        for name, columns in {**dict.fromkeys(names, ("*",)), **parts}.items():
+            setattr(self, name, settle(getattr(self, name).select(*columns), name.replace("_", "-")))
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")

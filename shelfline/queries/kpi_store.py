@@ -61,8 +61,20 @@ def inputs(f: Frames) -> dict[str, DataFrame]:
             "events": f.prod_events, "shipments": f.shipments, "accounts": f.accounts, "spend": f.spend}
 
 
+# Inputs that several tables of a family read, each twice, and the columns they read: stored once, not derived every time.
+_SHARED = {
+    "sales": {"sales": ("transaction_id", "sku_id", "transaction_date", "region", "channel", "unit_price", "quantity_sold"),
+              "returns": ("transaction_id", "sku_id", "return_amount")},
+    "inventory": {"stock": ("sku_id", "warehouse_id", "snapshot_date", "units_on_hand", "reorder_point_units", "inventory_value"),
+                  "sales": ("sku_id", "transaction_date", "quantity_sold")},
+    "distribution": {"shipments": ("shipment_id", "order_id", "channel", "region", "route_id", "ship_date", "promised_delivery_date",
+                                   "actual_delivery_date", "is_fully_shipped", "cases_delivered", "logistics_cost_usd")},
+}
+
+
 def _family(f: Frames, family: str) -> DataFrame:
     """Written whole, then rebuilt from the last month on: the second write must change no row and no total of the measures."""
+    f.share(**_SHARED.get(family, {}))
     root = work_dir(f.spark, f"kpi-{family}")
     for since in (None, AS_OF):
         kpi_tables.write_kpi_tables(inputs(f), root, AS_OF, since, (family,))
