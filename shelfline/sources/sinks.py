@@ -57,8 +57,10 @@ def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], bits: in
 
     Each column is cut into 2^``bits`` ranges of about equal rows; the bits of a row's range
     numbers are interleaved to its place on the curve. The cuts, a few dozen values a column, are
-    all that reaches the driver. NULLs lie in the first range.
+    all that reaches the driver. NULLs lie in the first range. The rows are read for the cuts, for
+    the file bounds and for the files, so they are stored first.
     """
+    df = settle(df, "interleaved")
     order = {c: _ordinal(df, c) for c in columns}
     parts = [k / (1 << bits) for k in range(1, 1 << bits)]
     cuts = df.agg(*[F.percentile_approx(v, parts, 10_000).alias(f"c{i}") for i, v in enumerate(order.values())]).first()
