@@ -217,11 +217,16 @@ def conform_stock(raw: DataFrame, products: DataFrame | None = None,
 
 
 def reorder_points(stock: DataFrame) -> DataFrame:
-    """Reorder point of the latest snapshot per (sku, warehouse); a fifth is safety stock."""
-    slim = stock.select("sku_id", "warehouse_id", "snapshot_date", "reorder_point_units")
-    newest = latest_per_key(slim, ["sku_id", "warehouse_id"], ["snapshot_date"])
-    fifth = F.col("reorder_point_units").cast("decimal(12,0)") * F.lit("0.2").cast("decimal(2,1)")
-    return newest.drop("snapshot_date").withColumn("safety_stock_units", fifth.cast("int"))
+    """Reorder point of the latest snapshot per (sku, warehouse), of equal dates the least; a fifth is safety stock.
+
+    One aggregate by the key: Spark knows the key to be unique, and leaves out a join to it where no column of it is read.
+    """
+    points = F.col("reorder_point_units")
+    # Of one date a missing point counts as the least, as in an ascending sort.
+    order = F.struct("snapshot_date", points.isNull(), -points.cast("bigint"))
+    newest = stock.groupBy("sku_id", "warehouse_id").agg(F.max_by(points, order).alias("reorder_point_units"))
+    fifth = points.cast("decimal(12,0)") * F.lit("0.2").cast("decimal(2,1)")
+    return newest.withColumn("safety_stock_units", fifth.cast("int"))
 
 
 # --- production ------------------------------------------------------------

@@ -3,7 +3,7 @@ from decimal import Decimal as D
 
 from pyspark.sql import functions as F
 
-from shelfline.plans import conform, ingest
+from shelfline.plans import conform, facts, ingest
 
 POS = ("transaction_id string, retailer_id string, sku_id string, quantity string, unit_price string, "
        "transaction_timestamp string, channel string, _ingested_at timestamp, _batch_id string")
@@ -91,6 +91,25 @@ def test_reorder_points_take_latest(spark):
     assert (row.reorder_point_units, row.safety_stock_units) == (33, 6)
 
 
+def test_reorder_points_break_ties_and_cost_no_join(spark):
+    one, two = dt.date(2025, 1, 1), dt.date(2025, 1, 2)
+    stock = spark.createDataFrame(
+        [("s", "w", two, 40, 1), ("s", "w", two, 30, 1), ("s", "w", one, 5, 1), ("s", "x", two, None, 1), ("s", "x", two, 9, 1),
+         ("s", "y", None, 7, 1), ("s", "y", one, 8, 1), ("s", "z", None, 6, 1), (None, "w", one, 11, 1), (None, "w", one, -2**31, 1)],
+        "sku_id string, warehouse_id string, snapshot_date date, reorder_point_units int, units_on_hand int")
+    points = conform.reorder_points(stock)
+    assert points.columns == ["sku_id", "warehouse_id", "reorder_point_units", "safety_stock_units"]
+    assert points.schema["reorder_point_units"].dataType.simpleString() == "int"
+    assert {(r.sku_id, r.warehouse_id): r.reorder_point_units for r in points.collect()} == {
+        ("s", "w"): 30, ("s", "x"): None, ("s", "y"): 8, ("s", "z"): 6, (None, "w"): -2**31}
+    # The points are unique by key, so a total that reads none of them needs no join.
+    days = spark.createDataFrame([(20250101, one)], "date_key int, full_date date")
+    wide = stock.selectExpr("*", "0 AS inventory_value", "0 AS dsi_days")
+    total = facts.compute_fact_inventory_snapshot(wide, points, days).groupBy("warehouse_id").agg({"units_on_hand": "sum"})
+    plan = total._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "_rop" not in plan and "warehouse_id#" in plan and plan.count("Join ") <= 1
+
+
 def test_pairing_takes_earliest_end(spark):
     t = lambda h: dt.datetime(2025, 1, 1, h)
     cols = ("event_id string, batch_id string, production_line_id string, event_type string, event_timestamp timestamp, "
