@@ -15,6 +15,7 @@ from shelfline.queries import sqlframes as s
 from shelfline.queries.frames import AS_OF, EVENTS_NOW, Frames
 from shelfline.queries.layers import batch_records, check_records, receipts, stoppage_records
 from shelfline.queries.registry import query
+from shelfline.session import settle
 
 A = s.AS_OF
 
@@ -124,8 +125,9 @@ RULES = [
 
 
 def _rule_input(f: Frames) -> DataFrame:
-    return pos(f).select("transaction_id", "line_no", "retailer_id", "sku_id", "quantity",
-                         F.col("unit_price").try_cast("decimal(10,2)").alias("price"))
+    """Receipt lines of the rule list, stored: its uniqueness rule reads them three times."""
+    return settle(pos(f).select("transaction_id", "line_no", "retailer_id", "sku_id", "quantity",
+                                F.col("unit_price").try_cast("decimal(10,2)").alias("price")), "rule-input")
 
 
 s.FRAMES["rule_steps"] = """

@@ -5,7 +5,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from shelfline.queries import kpi_store
+from shelfline.queries import checks, kpi_store
 from shelfline.queries.frames import Frames, SCHEMAS
 from shelfline.sources import sinks
 
@@ -48,3 +48,13 @@ def test_interleaved_rows_are_computed_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(sinks, "settle", lambda df, label: stored.append(label) or df)
     sinks.write_interleaved(spark.range(0, 50), str(tmp_path / "t"), ["id"], files=2)
     assert stored == ["interleaved"] and spark.read.parquet(str(tmp_path / "t")).count() == 50
+
+
+def test_rule_list_reads_stored_lines(spark, tmp_path):
+    f = _tables(spark, tmp_path)
+    rows = checks._rule_input(f)
+    assert not [p for p in rows.inputFiles() if "lineitem" in p]
+    want = checks.pos(f).select(*rows.columns[:-1], F.col("unit_price").try_cast("decimal(10,2)").alias("price"))
+    assert rows.dtypes == want.dtypes
+    assert rows.exceptAll(want).count() == want.exceptAll(rows).count() == 0 and rows.count() == 24
+    assert checks.halt_threshold(f).first().total == 24
