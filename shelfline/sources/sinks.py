@@ -61,24 +61,35 @@ def write_interleaved(df: DataFrame, path: str, columns: Sequence[str], bits: in
     the file bounds and for the files, so they are stored first.
     """
     df = settle(df, "interleaved")
-    order = {c: _ordinal(df, c) for c in columns}
-    parts = [k / (1 << bits) for k in range(1, 1 << bits)]
-    cuts = df.agg(*[F.percentile_approx(v, parts, 10_000).alias(f"c{i}") for i, v in enumerate(order.values())]).first()
+    size = 1 << bits
+    parts = [k / size for k in range(1, size)]
+    cuts = df.agg(*[F.percentile_approx(_ordinal(df, c), parts, 10_000).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    ranked = _ranges(df.withColumns({f"_o{i}": _ordinal(df, c) for i, c in enumerate(columns)}), cuts, bits)
     place = F.lit(0).cast("bigint")
-    for i, value in enumerate(order.values()):
-        known = sorted(set(cuts[i] or []))
-        above = F.array(*[F.lit(x) for x in known]) if known else F.array().cast("array<double>")
-        rank = F.size(F.filter(above, _below(value)))
-        rank = F.coalesce(F.when(value.isNotNull(), rank), F.lit(0)).cast("bigint")
+    for i in range(len(columns)):
         for b in range(bits):
-            place = place.bitwiseOR(F.shiftleft(F.shiftright(rank, b).bitwiseAND(F.lit(1)), b * len(columns) + i))
-    laid = df.withColumn("_curve", place)
+            bit = F.shiftright(F.col(f"_r{i}"), b).bitwiseAND(F.lit(1)).cast("bigint")
+            place = place.bitwiseOR(F.shiftleft(bit, b * len(columns) + i))
+    laid = ranked.select(*df.columns, place.alias("_curve"))
     ranged = laid.repartitionByRange(files, "_curve") if files else laid.repartitionByRange("_curve")
     ranged.sortWithinPartitions("_curve").drop("_curve").write.mode("overwrite").parquet(path)
 
 
-def _below(value: Column):
-    return lambda cut: cut < value
+def _ranges(df: DataFrame, cuts: Sequence[list[float] | None], bits: int) -> DataFrame:
+    """Add ``_r{i}``, how many cuts lie below ``_o{i}``: ``bits`` halvings, one a projection, all in generated code.
+
+    Cuts are filled up to 2^``bits`` - 1 with NaN, which lies below nothing. A NULL counts no cut.
+    """
+    filled = []
+    for c in cuts:
+        known = sorted({x for x in c or [] if x == x})
+        filled.append(F.array(*[F.lit(x) for x in known + [float("nan")] * ((1 << bits) - 1 - len(known))]))
+    out = df.withColumns({f"_r{i}": F.lit(0) for i in range(len(filled))})
+    for b in reversed(range(bits)):
+        step = 1 << b
+        out = out.withColumns({f"_r{i}": F.when(F.get(cut, F.col(f"_r{i}") + (step - 1)) < F.col(f"_o{i}"), F.col(f"_r{i}") + step)
+                               .otherwise(F.col(f"_r{i}")) for i, cut in enumerate(filled)})
+    return out
 
 
 def _ordinal(df: DataFrame, column: str) -> Column:

@@ -37,3 +37,12 @@ def test_every_column_prunes(spark, tmp_path):
         assert curve <= total * 0.6, (column, curve, total)
         if column != "sku":
             assert curve < opened(tmp_path / "linear", column, low, high)[0] * 0.6
+
+
+def test_ranges_count_the_cuts_below_in_generated_code(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(0, None, 1.0), (1, 2.0, nan), (2, 2.5, None), (3, 9.0, 0.0), (4, nan, 7.0)], "id int, _o0 double, _o1 double")
+    ranged = sinks._ranges(df, [[2.0, 1.0, 2.0, 5.0, nan], None], 3)
+    assert [(r._r0, r._r1) for r in ranged.orderBy("id").collect()] == [(0, 0), (1, 0), (2, 0), (3, 0), (3, 0)]
+    # A loop over the cuts, as filter() plans it, is interpreted row by row.
+    assert "lambda" not in ranged._jdf.queryExecution().executedPlan().toString()
