@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from shelfline.session import settle
 
+# So many hashes of repeated keys a task can hold beside its rows; a key of more rows is ranked in two steps.
+FEW_KEYS = 1_000_000
+HOT_ROWS = 10_000
+
 
 def _sortable(df: DataFrame, skip: set[str]) -> list[Column]:
     """Ascending order over the remaining sortable columns: the tie-break."""
@@ -36,20 +40,36 @@ def mark_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | N
     """Flag every row of a key but its first; all rows are kept.
 
     Hashes of the keys are counted first, with map-side sums, and those seen twice are stored.
-    Rows of any other hash are their key's only row: they pass without a shuffle or sort as
-    long as the stored hashes are few. Only the rest are ranked, exactly, so keys that share a
-    hash do no harm. Rows outside ``eligible`` are never flagged and do not compete.
-    ``df`` is read once for the count and once for each of the two parts.
+    While they are few, rows of any other hash, their key's only rows, pass without a shuffle or
+    sort, and only the rest are ranked. When they are many, every row would be dealt by its hash
+    just to find out, and repeated ones twice more to be ranked; all rows are then ranked in one
+    deal, except those of hot hashes. Ranking is exact, so keys that share a hash do no harm.
+    Rows outside ``eligible`` are never flagged and do not compete.
+    ``df`` is read once for the count and once for each part.
     """
     open_rows = F.lit(True) if eligible is None else eligible
     hashed = F.xxhash64(*[F.col(k) for k in keys])
-    twice = settle(df.where(open_rows).groupBy(hashed.alias("_twice")).agg(F.count("*").alias("_n"))
-                   .where("_n > 1").select("_twice"), "repeated-keys")
+    counted = settle(df.where(open_rows).groupBy(hashed.alias("_twice")).agg(F.count("*").alias("_n"))
+                     .where("_n > 1"), "repeated-keys")
+    twice, many = counted.select("_twice"), counted.count() > FEW_KEYS
+    if many:
+        twice = settle(counted.where(F.col("_n") > HOT_ROWS).select("_twice"), "hot-keys")
+        if twice.isEmpty():
+            return _rank_once(df, keys, order, flag, open_rows)
     # The hash is computed where rows are dealt, never stored in them: random bytes do not compress.
     met = F.coalesce(open_rows, F.lit(False)) & (hashed == F.col("_twice"))
-    alone = df.join(twice, met, "left_anti").withColumn(flag, F.lit(False))
+    rest = df.join(twice, met, "left_anti")
+    rest = _rank_once(rest, keys, order, flag, open_rows) if many else rest.withColumn(flag, F.lit(False))
     ranked = _rank_repeats(df.join(twice, met, "left_semi"), keys, order, flag)
-    return alone.unionByName(ranked)
+    return rest.unionByName(ranked)
+
+
+def _rank_once(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None, flag: str, open_rows: Column) -> DataFrame:
+    """Rank keys that are not hot in one window; rows that do not compete are each a group of their own."""
+    order = [*(order or []), *_sortable(df, set(keys))]
+    split = df.withColumn("_alone", F.when(~F.coalesce(open_rows, F.lit(False)), F.monotonically_increasing_id()))
+    place = F.row_number().over(Window.partitionBy(*keys, "_alone").orderBy(*order))
+    return split.withColumn(flag, place > 1).drop("_alone")
 
 
 def _rank_repeats(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None, flag: str) -> DataFrame:

@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from shelfline.operators import dedup
 from shelfline.operators import quality as q
 from shelfline.operators.dedup import mark_repeats
 
@@ -54,3 +55,22 @@ def test_rows_meet_a_reference_with_one_verdict(spark):
     assert q.FAILED in joined.split("Aggregate", 1)[0]
     assert {(r["a"] > 4, r[q.FAILED]) for r in tagged.where("b NOT LIKE 'v1%'").collect()} == {(False, None), (True, 1)}
     assert tagged.where("b LIKE 'v1%' AND _dq_failed <> 0").count() == 0
+
+
+def test_many_repeated_keys_are_dealt_once(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "FEW_KEYS", 20)
+    n = F.col("id")
+    rows = spark.range(0, 300, 1, 5).select(F.when(n % 10 == 9, None).otherwise(n % 60).alias("k"), (n * 7 % 50).alias("v"), (n % 4 > 0).alias("open"))
+    pick = lambda df: {(r.k, r.v, r.open, r._repeat): r["count"] for r in df.groupBy("k", "v", "open", "_repeat").count().collect()}
+    once = mark_repeats(rows, ["k"], eligible=F.col("open"))
+    plan = physical(once)
+    assert plan.count("Window ") == 1 and "LeftSemi" not in plan and "LeftAnti" not in plan
+    assert once.columns == [*rows.columns, "_repeat"] and once.count() == 300
+    # Hot keys among many leave that window for the two steps.
+    monkeypatch.setattr(dedup, "HOT_ROWS", 10)
+    both = mark_repeats(rows, ["k"], eligible=F.col("open"))
+    assert physical(both).count("Window ") == 3
+    monkeypatch.setattr(dedup, "FEW_KEYS", 1_000)
+    assert pick(once) == pick(both) == pick(mark_repeats(rows, ["k"], eligible=F.col("open")))
+    assert once.where("NOT open AND _repeat").count() == 0
+    assert once.where("open AND NOT _repeat").count() == rows.where("open").select("k").distinct().count()
